@@ -1,0 +1 @@
+"""No streaming operators: every source of this pipeline is a finished batch."""
