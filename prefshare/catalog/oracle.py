@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prefshare.catalog.queries import BATCH_STARTS
+from prefshare.catalog.queries import FIRST_SCORED
 from prefshare.catalog.tables import FIRST_TYPES, LAST_TYPES, PART_TYPES
 from prefshare.functions import vocab
 
@@ -260,7 +260,7 @@ FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id""",
     ),
     "id_from": _with(
         ("customers",),
-        f"SELECT id, analytic_id FROM customers WHERE id >= {BATCH_STARTS[1]}",
+        f"SELECT id, analytic_id FROM customers WHERE id >= {FIRST_SCORED}",
     ),
     "range_union": _with(("customers",), "SELECT id, analytic_id FROM customers"),
     "package_index": _with(

@@ -29,8 +29,10 @@ from prefshare.plans import persona, preferences, scores
 from prefshare.sources import readers, writers
 from prefshare.sources.scratch import scratch_path
 
-# Range edges of the range queries: whole batches, then an open last one.
+# Starts of the id ranges that are put together again; the last one is open.
 BATCH_STARTS = (0, 500, 1_000)
+# Start of the open range: customer 0 lies before every range ever scored.
+FIRST_SCORED = vocab.RAW_SCORE_RANGE[0]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,7 +257,7 @@ def id_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.id_from(customer_index(spark, sf_dir), BATCH_STARTS[1])
+    return ranges.id_from(customer_index(spark, sf_dir), FIRST_SCORED)
 
 
 def range_union(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,19 @@ LABEL_SUBSET = Buckets("size", vocab.SIZE_PREFIX, FIRST_TYPES)
 LABEL_REST = Buckets("size", vocab.SIZE_PREFIX, LAST_TYPES)
 
 
+# Stated so that no scan has to look into the files for its columns.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
+    "p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
+    "events": "event_id bigint, user_id bigint, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(path)
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,5 +88,6 @@ def retail_inputs(spark: SparkSession, sf_dir: str, **settings) -> PackageInputs
         attributes=brand_attributes(part),
         price_rules=PART_PRICE_RULES,
         size_labels=PART_TYPES,
+        masters=(part,),
         **settings,
     )

@@ -27,13 +27,13 @@ def bucket_label(value: Column, rules: Sequence[Rule]) -> Column:
     Edges are compared as doubles, never as text, so 36.5 is above 36 and ANSI
     mode has no label to cast.
     """
+    if not rules:
+        raise ValueError("bucket_label needs at least one rule")
     number = value.cast("double")
     label = None
     for name, comparison, edge in rules:
         test = _COMPARE[comparison](number, F.lit(float(edge)))
         label = F.when(test, name) if label is None else label.when(test, name)
-    if label is None:
-        raise ValueError("bucket_label needs at least one rule")
     return label
 
 

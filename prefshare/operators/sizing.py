@@ -26,8 +26,7 @@ def _row_bytes(df: DataFrame) -> Column:
 def measured_bytes(*frames: DataFrame) -> int:
     """Payload bytes of all frames, summed in one job on the executors."""
     sizes = [df.agg(F.sum(_row_bytes(df)).alias("bytes")) for df in frames]
-    total = reduce(DataFrame.unionAll, sizes).agg(F.sum("bytes")).first()[0]
-    return int(total or 0)
+    return sum(r[0] or 0 for r in reduce(DataFrame.unionAll, sizes).collect())
 
 
 def fits(*frames: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -31,6 +31,8 @@ class PackageInputs:
     price_rules: tuple[Rule, ...] = vocab.PRICE_RULES
     size_labels: tuple[str, ...] = vocab.SIZE_LABELS
     broadcast_limit: int = BROADCAST_BYTES
+    # Stored tables the package tables are views of; measured in their place.
+    masters: tuple[DataFrame, ...] = ()
 
     @cached_property
     def few_packages(self) -> bool:
@@ -39,12 +41,8 @@ class PackageInputs:
         Everything derived from them (one row per code or per name) is no
         larger, so this one measurement covers all joins of a product.
         """
-        return fits(
-            self.old_tariff,
-            self.new_tariff,
-            self.attributes,
-            limit=self.broadcast_limit,
-        )
+        masters = self.masters or (self.old_tariff, self.new_tariff, self.attributes)
+        return fits(*masters, limit=self.broadcast_limit)
 
     def hint(self, packages: DataFrame) -> DataFrame:
         return F.broadcast(packages) if self.few_packages else packages

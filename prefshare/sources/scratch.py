@@ -15,10 +15,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only a local master may fall back to a temporary folder: executors on
     other machines could not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="prefshare-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="prefshare-"))
+        base = context.getCheckpointDir()
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
