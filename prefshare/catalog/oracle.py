@@ -130,15 +130,14 @@ def _score(select: str) -> str:
 
 def _wide(rows: str, columns: str, value: str, keys: str, exclude: str = "") -> str:
     """One column per package of ``columns``, 0 where a customer has none."""
-    grid = f"""SELECT r.*, c.package,
-    coalesce(({value}), 0) AS cell
+    grid = f"""SELECT r.*, c.package, {value} AS cell
   FROM ({rows}) AS r CROSS JOIN ({columns}) AS c
   LEFT JOIN quantities q ON q.analytic_id = r.analytic_id AND q.package = c.package"""
     return f"SELECT * {exclude} FROM (PIVOT (\n{grid}) ON package USING sum(cell) GROUP BY {keys})"
 
 
 WIDE_QUANTITIES = _wide(
-    "SELECT analytic_id FROM totals", "SELECT package FROM bought", "q.qty", "analytic_id"
+    "SELECT analytic_id FROM totals", "SELECT package FROM bought", "coalesce(q.qty, 0)", "analytic_id"
 )
 
 
@@ -213,7 +212,7 @@ FROM part""",
         _wide(
             "SELECT analytic_id FROM totals",
             "SELECT replace(package, ' ', '_') AS package FROM bought",
-            "q.qty",
+            "coalesce(q.qty, 0)",
             "analytic_id",
             exclude="EXCLUDE (red_widget)",
         ).replace("q.package = c.package", "replace(q.package, ' ', '_') = c.package"),
@@ -239,7 +238,7 @@ FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id""",
         _wide(
             "SELECT analytic_id, total FROM totals",
             "SELECT package FROM bought",
-            "q.qty / nullif(r.total, 0)",
+            "coalesce(q.qty, 0) / nullif(r.total, 0)",
             "analytic_id",
         ),
     ),
@@ -249,7 +248,7 @@ FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id""",
             """SELECT c.id, c.analytic_id, t.total
      FROM customers c JOIN totals t ON c.analytic_id = t.analytic_id""",
             "SELECT package FROM preferences",
-            "q.qty / nullif(r.total, 0)",
+            "coalesce(q.qty, 0) / nullif(r.total, 0)",
             "id, analytic_id",
         ),
     ),

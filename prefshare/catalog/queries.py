@@ -25,7 +25,7 @@ from prefshare.operators import persona as persona_ops
 from prefshare.operators.dedupe import first_per_key
 from prefshare.operators.index import dense_index, package_index
 from prefshare.operators.scores import DURATION, PRICE, project_scores
-from prefshare.plans import persona, preferences, scores
+from prefshare.plans import jobs, persona, preferences, scores
 from prefshare.sources import readers, writers
 from prefshare.sources.scratch import scratch_path
 
@@ -91,16 +91,11 @@ def attr_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_dir_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = retail_inputs(spark, sf_dir)
-    flags = scratch_path(spark, "package_preferences")
-    shares = scratch_path(spark, "customer_persona")
-    writers.write_delimited(
-        preferences.package_preferences(inputs), flags, single_file=True
-    )
-    writers.write_delimited(persona.customer_persona(inputs), shares)
+    derived = scratch_path(spark, "derived")
+    jobs.preprocess(retail_inputs(spark, sf_dir), derived)
     scored = project_scores(
-        readers.read_features(spark, shares),
-        readers.read_features(spark, flags),
+        readers.read_features(spark, f"{derived}/customer_persona"),
+        readers.read_features(spark, f"{derived}/package_preferences"),
         ["id", "analytic_id"],
         [DURATION, PRICE],
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
 from prefshare.operators.sizing import BROADCAST_BYTES, fits
-from prefshare.sources.scratch import scratch_path
+from prefshare.sources.scratch import stage
 
 
 def dense_index(df: DataFrame, key: str, name: str = "id") -> DataFrame:
@@ -20,20 +20,13 @@ def dense_index(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     computing it twice, is what makes the ids exact and lets a lost executor's
     work be read again.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "index")
-    (
-        df.repartitionByRange(quoted(key))
-        .sortWithinPartitions(quoted(key))
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn(
-            "_place",
-            F.monotonically_increasing_id()
-            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33),
-        )
-        .write.parquet(path)
+    ranged = df.repartitionByRange(quoted(key)).sortWithinPartitions(quoted(key))
+    part = F.spark_partition_id()
+    # The generated id is the partition number above 33 bits of row count.
+    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
+    placed = stage(
+        ranged.withColumns({"_part": part, "_place": place}), "dense-index"
     )
-    placed = spark.read.parquet(path)
     # One row per range partition: as many as there were shuffle partitions.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

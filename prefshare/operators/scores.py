@@ -100,9 +100,12 @@ def project_scores(
     if [r["id"] for r in rows] != list(range(len(packages))):
         raise ValueError("preference ids must number the persona's package columns")
 
+    # Shares of a zero total are null in every column, and so are its scores.
+    nothing = quoted(packages[0]) * 0 if packages else F.lit(0)
+
     def total_of(column: str) -> Column:
         members = [quoted(p) for p, r in zip(packages, rows) if r[column]]
-        return reduce(Column.__add__, members) if members else F.lit(0)
+        return reduce(Column.__add__, members) if members else nothing
 
     return persona.select(
         *keys, *[total_of(c).cast("double").alias(c) for c in columns]

@@ -12,7 +12,6 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from prefshare.functions import vocab
 from prefshare.functions.flags import quoted
@@ -26,10 +25,11 @@ from prefshare.operators.scores import (
 )
 from prefshare.plans.inputs import PackageInputs, read_inputs
 from prefshare.plans.persona import customer_persona
-from prefshare.plans.preferences import package_preferences
+from prefshare.plans.preferences import bought_package_labels, package_preferences
 from prefshare.plans.scores import indexed_scores, raw_range_scores
 from prefshare.plans.session import build_session
 from prefshare.sources import readers, writers
+from prefshare.sources.scratch import stage
 
 SCORES: dict[str, Buckets] = {
     "duration": DURATION,
@@ -44,16 +44,26 @@ def _keys_first(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*KEYS, *[quoted(c) for c in columns])
 
 
-def preprocess(inputs: PackageInputs, out: str, mode: str = "errorifexists") -> None:
+def preprocess(
+    inputs: PackageInputs,
+    out: str,
+    mode: str = "errorifexists",
+    table_format: str = "csv",
+) -> None:
     """``package_preferences`` as one file, ``customer_persona`` as many."""
-    writers.write_delimited(
-        package_preferences(inputs),
-        os.path.join(out, "package_preferences"),
-        mode=mode,
-        single_file=True,
-    )
-    writers.write_delimited(
-        customer_persona(inputs), os.path.join(out, "customer_persona"), mode=mode
+    # Both tables need the bought packages; the purchases are searched once.
+    bought = stage(bought_package_labels(inputs), "bought-packages")
+    flags = package_preferences(inputs, bought=bought)
+    path = os.path.join(out, "package_preferences")
+    if table_format == "parquet":
+        writers.write_parquet(flags, path, mode)
+    else:
+        writers.write_delimited(flags, path, mode=mode, single_file=True)
+    writers.write_table(
+        customer_persona(inputs, bought),
+        os.path.join(out, "customer_persona"),
+        table_format,
+        mode,
     )
 
 
@@ -64,29 +74,38 @@ def score(
     persona: str,
     out: str,
     mode: str = "errorifexists",
+    table_format: str = "csv",
 ) -> None:
     """One score of the derived tables."""
     scored = project_scores(
-        readers.read_features(spark, persona),
-        readers.read_features(spark, preferences),
+        readers.read_features(spark, persona, table_format),
+        readers.read_features(spark, preferences, table_format),
         KEYS,
         [SCORES[kind]],
     )
-    writers.write_delimited(scored, out, mode=mode)
+    writers.write_table(scored, out, table_format, mode)
 
 
-def all_scores(inputs: PackageInputs, out: str, mode: str = "errorifexists") -> None:
+def all_scores(
+    inputs: PackageInputs,
+    out: str,
+    mode: str = "errorifexists",
+    table_format: str = "csv",
+) -> None:
     """All scores from the purchases: one pass, one folder per score."""
     scored = indexed_scores(inputs, list(SCORES.values()))
     for kind, buckets in SCORES.items():
-        writers.write_delimited(
-            _keys_first(scored, buckets.columns), os.path.join(out, kind), mode=mode
+        writers.write_table(
+            _keys_first(scored, buckets.columns),
+            os.path.join(out, kind),
+            table_format,
+            mode,
         )
 
 
 def raw_duration(inputs: PackageInputs, out: str, mode: str = "errorifexists") -> None:
     """Raw-count duration vectors in id order, each with its id."""
-    raw = raw_range_scores(inputs).orderBy(F.col("id"))
+    raw = raw_range_scores(inputs).orderBy("id")
     writers.write_vectors(raw, out, "id", DURATION.columns, mode=mode)
 
 
@@ -101,6 +120,10 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--kind", choices=sorted(SCORES), required=True)
     job.add_argument("--preferences", required=True)
     job.add_argument("--persona", required=True)
+    for name in ("preprocess", "scores", "score"):
+        jobs.choices[name].add_argument(
+            "--table-format", choices=("csv", "parquet"), default="csv"
+        )
     for job in jobs.choices.values():
         job.add_argument("--out", required=True)
         job.add_argument("--mode", default="errorifexists")
@@ -112,7 +135,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"prefshare-{args.job}", int(args.shuffle_gb * 1024**3))
     if args.job == "score":
-        score(spark, args.kind, args.preferences, args.persona, args.out, args.mode)
+        score(
+            spark,
+            args.kind,
+            args.preferences,
+            args.persona,
+            args.out,
+            args.mode,
+            args.table_format,
+        )
         return
     older = args.job == "raw-duration"
     inputs = read_inputs(
@@ -123,5 +154,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         args.attributes,
         size_labels=vocab.OLDER_SIZE_LABELS if older else vocab.SIZE_LABELS,
     )
-    run = {"preprocess": preprocess, "scores": all_scores, "raw-duration": raw_duration}
-    run[args.job](inputs, args.out, args.mode)
+    if older:
+        raw_duration(inputs, args.out, args.mode)
+        return
+    run = {"preprocess": preprocess, "scores": all_scores}[args.job]
+    run(inputs, args.out, args.mode, args.table_format)

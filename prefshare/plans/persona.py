@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import DataFrame
 
 from prefshare.functions.weights import share_columns
@@ -34,14 +32,6 @@ def persona_tall(inputs: PackageInputs) -> DataFrame:
     return package_shares(persona_quantities(inputs), inputs.few_packages)
 
 
-def master_packages(
-    inputs: PackageInputs, excluded: Collection[str] = ()
-) -> list[str]:
-    """Bought packages that have attributes, in preference-id order."""
-    found = column_labels(bought_package_labels(inputs), "package")
-    return [p for p in found if p not in excluded]
-
-
 def persona_quantities_wide(inputs: PackageInputs) -> DataFrame:
     """``analytic_id`` and one quantity column per bought package."""
     tall = persona_quantities(inputs)
@@ -57,27 +47,32 @@ def persona_quantities_wide(inputs: PackageInputs) -> DataFrame:
     )
 
 
+def _shares_of(inputs: PackageInputs, packages: list[str]) -> DataFrame:
+    """Shares of all named purchases, with columns for the given packages.
+
+    Divided after widening, so that a zero total is null in every column.
+    """
+    counts = widen(persona_tall(inputs), ["analytic_id", "total"], packages, "qty")
+    return share_columns(counts, "total", keep=["analytic_id"])
+
+
 def persona_shares_wide(inputs: PackageInputs) -> DataFrame:
     """``analytic_id`` and one share column per bought package."""
     bought = names.bought_packages(
         inputs.transactions, inputs.new_tariff, inputs.hint
     )
-    counts = widen(
-        persona_tall(inputs),
-        ["analytic_id", "total"],
-        column_labels(bought, "package"),
-        "qty",
-    )
-    return share_columns(counts, "total", keep=["analytic_id"])
+    return _shares_of(inputs, column_labels(bought, "package"))
 
 
-def customer_persona(inputs: PackageInputs) -> DataFrame:
+def customer_persona(
+    inputs: PackageInputs, bought: DataFrame | None = None
+) -> DataFrame:
     """``id``, ``analytic_id`` and one share column per master package.
 
-    Shares are of all named purchases: those of packages without attributes
-    count in the total but get no column.
+    The columns are the bought packages that have attributes, in preference-id
+    order. Purchases of other packages count in the total but get no column.
     """
-    wide = widen(
-        persona_tall(inputs), ["analytic_id"], master_packages(inputs), "share"
+    labels = bought_package_labels(inputs) if bought is None else bought
+    return dense_index(
+        _shares_of(inputs, column_labels(labels, "package")), "analytic_id"
     )
-    return dense_index(wide, "analytic_id")

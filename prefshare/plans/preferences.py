@@ -55,10 +55,16 @@ def preference_flags(inputs: PackageInputs) -> list[Column]:
     ]
 
 
-def package_preferences(inputs: PackageInputs, with_name: bool = False) -> DataFrame:
-    """``id`` in package-name order and one 0/1 flag per bucket."""
-    indexed = package_index(
-        bought_package_labels(inputs), "package", limit=inputs.broadcast_limit
-    )
+def package_preferences(
+    inputs: PackageInputs,
+    with_name: bool = False,
+    bought: DataFrame | None = None,
+) -> DataFrame:
+    """``id`` in package-name order and one 0/1 flag per bucket.
+
+    ``bought`` takes the bought packages' labels where they are staged already.
+    """
+    labels = bought_package_labels(inputs) if bought is None else bought
+    indexed = package_index(labels, "package", limit=inputs.broadcast_limit)
     name = ["package"] if with_name else []
     return indexed.select("id", *name, *preference_flags(inputs))

@@ -44,13 +44,18 @@ def read_attributes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(
-    spark: SparkSession, path: str, text: Sequence[str] = ("analytic_id",)
+    spark: SparkSession,
+    path: str,
+    table_format: str = "csv",
+    text: Sequence[str] = ("analytic_id",),
 ) -> DataFrame:
-    """Wide derived table written by ``write_delimited``: id, keys, numbers.
+    """Wide derived table written by ``write_table``: id, keys, numbers.
 
-    The feature columns come from the header, all as doubles but ``id`` and the
-    ``text`` columns.
+    In a delimited folder the columns come from the header, all as doubles but
+    ``id`` and the ``text`` columns.
     """
+    if table_format == "parquet":
+        return read_parquet(spark, path)
     raw = spark.read.option("header", True).option("sep", "|").csv(path)
     kinds = {"id": "bigint", **{c: "string" for c in text}}
     return raw.select(
@@ -64,7 +69,7 @@ def read_vectors(spark: SparkSession, path: str, values: Sequence[str]) -> DataF
     numbers = F.split(F.btrim(line[1], F.lit("[]")), ", ")
     return spark.read.text(path).select(
         line[0].cast("bigint").alias("key"),
-        *[numbers[i].cast("double").alias(v) for i, v in enumerate(values)],
+        *[numbers[i].try_cast("double").alias(v) for i, v in enumerate(values)],
     )
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -23,3 +23,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="prefshare-"))
         base = context.getCheckpointDir()
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a written table: what reads it twice computes it once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,9 +33,22 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).parquet(path)
 
 
+def write_table(
+    df: DataFrame, path: str, table_format: str = "csv", mode: str = "errorifexists"
+) -> None:
+    """A derived table, as pipe-delimited text or as Parquet."""
+    if table_format == "parquet":
+        write_parquet(df, path, mode)
+    else:
+        write_delimited(df, path, mode=mode)
+
+
 def vector_text(key: str, values: Sequence[str]) -> Column:
     """``key|[v1, v2, ...]`` as one text column."""
-    numbers = F.concat_ws(", ", *[quoted(v).cast("string") for v in values])
+    # A null keeps its place as a word.
+    numbers = F.concat_ws(
+        ", ", *[F.coalesce(quoted(v).cast("string"), F.lit("null")) for v in values]
+    )
     return F.concat(
         quoted(key).cast("string"), F.lit("|["), numbers, F.lit("]")
     ).alias("value")

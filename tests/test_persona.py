@@ -30,7 +30,7 @@ def test_wide_persona_has_master_packages_only(spark):
     assert persona.columns == ["id", "analytic_id", "A", "B B"]
     assert rows_of(persona) == [
         (0, "c1", 0.2, 0.3),
-        (1, "c2", 0.0, 0.0),
+        (1, "c2", None, None),
         (2, "c3", 0.0, 0.0),
         (3, "c4", 1.0, 0.0),
     ]

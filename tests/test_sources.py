@@ -69,7 +69,7 @@ def test_single_file_only_for_small_tables(spark, tmp_path, monkeypatch):
 
 def test_vectors_keep_their_ids(spark, tmp_path):
     path = str(tmp_path / "v")
-    df = spark.createDataFrame([(4, 0.5, 2.0), (7, 0.0, 1.25)], "id bigint, a double, b double")
+    df = spark.createDataFrame([(4, 0.5, 2.0), (7, None, 1.25)], "id bigint, a double, b double")
     writers.write_vectors(df, path, "id", ["a", "b"])
     assert "4|[0.5, 2.0]" in [r[0] for r in spark.read.text(path).collect()]
     assert rows_of(readers.read_vectors(spark, path, ["a", "b"])) == rows_of(df)
@@ -134,30 +134,40 @@ def files(tmp_path):
     }
 
 
-def test_jobs_from_files_to_scores(spark, files, tmp_path):
+@pytest.mark.parametrize("table_format", ["csv", "parquet"])
+def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format):
     inputs = read_inputs(spark, **files)
     out = str(tmp_path / "derived")
-    jobs.preprocess(inputs, out)
+    jobs.preprocess(inputs, out, table_format=table_format)
     for kind, buckets in (("duration", DURATION), ("quota", QUOTA)):
         path = str(tmp_path / kind)
         jobs.score(
-            spark, kind, out + "/package_preferences", out + "/customer_persona", path
+            spark,
+            kind,
+            out + "/package_preferences",
+            out + "/customer_persona",
+            path,
+            table_format=table_format,
         )
-        scored = readers.read_features(spark, path)
+        scored = readers.read_features(spark, path, table_format)
         assert scored.columns == ["analytic_id", "id", *buckets.columns]
         want = indexed_scores(sample_inputs(spark), [buckets])
         got = {r["analytic_id"]: r for r in scored.collect()}
         for row in want.collect():
             for c in ["id", *buckets.columns]:
-                if row[c] is not None:
-                    assert got[row["analytic_id"]][c] == pytest.approx(row[c], abs=1e-12)
+                assert got[row["analytic_id"]][c] == pytest.approx(row[c], abs=1e-12)
 
-    jobs.all_scores(inputs, str(tmp_path / "scores"))
-    one_pass = readers.read_features(spark, str(tmp_path / "scores/duration"))
+    jobs.all_scores(inputs, str(tmp_path / "scores"), table_format=table_format)
+    one_pass = readers.read_features(
+        spark, str(tmp_path / "scores/duration"), table_format
+    )
     assert rows_of(one_pass.select("id", "analytic_id", *DURATION.columns)) == rows_of(
         indexed_scores(sample_inputs(spark), [DURATION])
     )
-    jobs.raw_duration(inputs, str(tmp_path / "raw"))
+
+
+def test_raw_vectors_job(spark, files, tmp_path):
+    jobs.raw_duration(read_inputs(spark, **files), str(tmp_path / "raw"))
     raw = readers.read_vectors(spark, str(tmp_path / "raw"), DURATION.columns)
     assert [r[0] for r in rows_of(raw)] == [1, 2, 3]
 
