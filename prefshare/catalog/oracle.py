@@ -272,6 +272,11 @@ FROM bought""",
     ),
     "score_duration": _score(_shares("duration", STEPS, vocab.DURATION_PREFIX)),
     "score_price": _score(_shares("price", STEPS, vocab.PRICE_PREFIX)),
+    "score_price_events": "WITH labelled AS (SELECT user_id AS analytic_id, CAST(1 AS DOUBLE) AS q,\n"
+    + PRICE_CASE.format("value")
+    + " AS price FROM events)\nSELECT analytic_id,\n"
+    + _shares("price", STEPS, vocab.PRICE_PREFIX)
+    + "\nFROM labelled GROUP BY analytic_id",
     "score_label_subset": _score(_shares("size", FIRST_TYPES, vocab.SIZE_PREFIX)),
     "score_label_rest": _score(_shares("size", LAST_TYPES, vocab.SIZE_PREFIX)),
     "scores_in_id_order": _with(

@@ -24,10 +24,15 @@ from prefshare.operators import encode, matrix, names, ranges
 from prefshare.operators import persona as persona_ops
 from prefshare.operators.dedupe import first_per_key
 from prefshare.operators.index import dense_index, package_index
-from prefshare.operators.scores import DURATION, PRICE, project_scores
+from prefshare.operators.scores import (
+    DURATION,
+    PRICE,
+    bucket_scores,
+    project_scores,
+)
 from prefshare.plans import jobs, persona, preferences, scores
 from prefshare.sources import readers, writers
-from prefshare.sources.scratch import scratch_path
+from prefshare.sources.scratch import scratch_path, stage
 
 # Starts of the id ranges that are put together again; the last one is open.
 BATCH_STARTS = (0, 500, 1_000)
@@ -263,7 +268,11 @@ def range_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def package_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return package_index(bought_packages(spark, sf_dir), "package")
+    inputs = retail_inputs(spark, sf_dir)
+    bought = names.bought_packages(
+        inputs.transactions, inputs.new_tariff, inputs.hint
+    )
+    return package_index(bought, "package", few=inputs.few_packages)
 
 
 def package_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,6 +290,16 @@ def score_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.customer_scores(retail_inputs(spark, sf_dir), [PRICE])
 
 
+def score_price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by the price bucket of their events, with the standard edges."""
+    labelled = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("analytic_id"),
+        F.lit(1).alias("events"),
+        price_bucket(F.col("value")).alias("price"),
+    )
+    return bucket_scores(labelled, ["analytic_id"], "events", [PRICE])
+
+
 def score_label_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.customer_scores(retail_inputs(spark, sf_dir), [LABEL_SUBSET])
 
@@ -302,7 +321,9 @@ def score_raw_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sparse_matmul(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = retail_inputs(spark, sf_dir)
-    flags = preferences.package_preferences(inputs, with_name=True)
+    # The flags are measured and joined: staged, the purchases are searched once.
+    bought = stage(preferences.bought_package_labels(inputs), "bought-packages")
+    flags = preferences.package_preferences(inputs, with_name=True, bought=bought)
     columns = [c for c in flags.columns if c not in ("id", "package")]
     quantities = persona.persona_quantities(inputs).select(
         F.col("analytic_id").alias("row"),
@@ -347,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "package_preferences": package_preferences,
     "score_duration": score_duration,
     "score_price": score_price,
+    "score_price_events": score_price_events,
     "score_label_subset": score_label_subset,
     "score_label_rest": score_label_rest,
     "scores_in_id_order": scores_in_id_order,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
-from prefshare.operators.sizing import BROADCAST_BYTES, fits
+from prefshare.operators.sizing import fits
 from prefshare.sources.scratch import stage
 
 
@@ -40,10 +40,14 @@ def dense_index(df: DataFrame, key: str, name: str = "id") -> DataFrame:
 
 
 def package_index(
-    df: DataFrame, key: str, name: str = "id", limit: int = BROADCAST_BYTES
+    df: DataFrame, key: str, name: str = "id", few: bool | None = None
 ) -> DataFrame:
-    """The same numbering for a package-sized table: one window, no files."""
-    if not fits(df, limit=limit):
+    """The same numbering for a package-sized table: one window, no files.
+
+    ``few`` says whether the table is that small where this is known; otherwise
+    it is measured.
+    """
+    if not (fits(df) if few is None else few):
         return dense_index(df, key, name)
     row = F.row_number().over(Window.orderBy(quoted(key)))
     return df.select(

@@ -29,6 +29,10 @@ def package_quantities(named: DataFrame) -> DataFrame:
     )
 
 
+def quantity_totals(quantities: DataFrame) -> DataFrame:
+    return quantities.groupBy("analytic_id").agg(F.sum("qty").alias("total"))
+
+
 def package_shares(quantities: DataFrame, few_packages: bool) -> DataFrame:
     """Each quantity with its customer's total and its share of it.
 
@@ -41,8 +45,7 @@ def package_shares(quantities: DataFrame, few_packages: bool) -> DataFrame:
         mine = Window.partitionBy("analytic_id")
         totalled = quantities.withColumn("total", F.sum("qty").over(mine))
     else:
-        totals = quantities.groupBy("analytic_id").agg(F.sum("qty").alias("total"))
-        totalled = quantities.join(totals, "analytic_id")
+        totalled = quantities.join(quantity_totals(quantities), "analytic_id")
     return totalled.withColumn("share", share(F.col("qty"), F.col("total")))
 
 

@@ -11,10 +11,12 @@ from prefshare.operators.index import dense_index
 from prefshare.operators.persona import (
     package_quantities,
     package_shares,
+    quantity_totals,
     widen,
 )
 from prefshare.plans.inputs import PackageInputs
 from prefshare.plans.preferences import bought_package_labels
+from prefshare.sources.scratch import stage
 
 
 def named_purchases(inputs: PackageInputs) -> DataFrame:
@@ -47,21 +49,15 @@ def persona_quantities_wide(inputs: PackageInputs) -> DataFrame:
     )
 
 
-def _shares_of(inputs: PackageInputs, packages: list[str]) -> DataFrame:
-    """Shares of all named purchases, with columns for the given packages.
-
-    Divided after widening, so that a zero total is null in every column.
-    """
-    counts = widen(persona_tall(inputs), ["analytic_id", "total"], packages, "qty")
-    return share_columns(counts, "total", keep=["analytic_id"])
-
-
 def persona_shares_wide(inputs: PackageInputs) -> DataFrame:
     """``analytic_id`` and one share column per bought package."""
     bought = names.bought_packages(
         inputs.transactions, inputs.new_tariff, inputs.hint
     )
-    return _shares_of(inputs, column_labels(bought, "package"))
+    packages = column_labels(bought, "package")
+    # Divided after widening, so that a zero total is null in every column.
+    counts = widen(persona_tall(inputs), ["analytic_id", "total"], packages, "qty")
+    return share_columns(counts, "total", keep=["analytic_id"])
 
 
 def customer_persona(
@@ -73,6 +69,13 @@ def customer_persona(
     order. Purchases of other packages count in the total but get no column.
     """
     labels = bought_package_labels(inputs) if bought is None else bought
-    return dense_index(
-        _shares_of(inputs, column_labels(labels, "package")), "analytic_id"
+    packages = column_labels(labels, "package")
+    # Staged, because the ids need all customers first. They are numbered as
+    # narrow rows and meet the tall ones, so no wide row is sorted or staged.
+    tall = stage(persona_quantities(inputs), "quantities")
+    customers = dense_index(quantity_totals(tall), "analytic_id")
+    keys = ["id", "analytic_id"]
+    counts = widen(
+        tall.join(customers, "analytic_id"), [*keys, "total"], packages, "qty"
     )
+    return share_columns(counts, "total", keep=keys)

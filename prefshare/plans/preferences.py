@@ -65,6 +65,6 @@ def package_preferences(
     ``bought`` takes the bought packages' labels where they are staged already.
     """
     labels = bought_package_labels(inputs) if bought is None else bought
-    indexed = package_index(labels, "package", limit=inputs.broadcast_limit)
+    indexed = package_index(labels, "package", few=inputs.few_packages)
     name = ["package"] if with_name else []
     return indexed.select("id", *name, *preference_flags(inputs))

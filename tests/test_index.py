@@ -39,7 +39,7 @@ def test_package_index_agrees_with_the_distributed_one(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c c",)], "package string")
     small = rows_of(package_index(df, "package"))
     assert small == [(0, "a"), (1, "b"), (2, "c c")]
-    assert rows_of(package_index(df, "package", limit=0)) == small
+    assert rows_of(package_index(df, "package", few=False)) == small
 
 
 def test_ranges(spark):

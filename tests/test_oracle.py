@@ -1,8 +1,8 @@
-"""Every query equals its SQL twin on the same tables."""
+"""Every query equals its SQL twin on the same tables, without Python on rows."""
 
 import duckdb
 import pytest
-from tests.conftest import SF_DIR
+from tests.conftest import SF_DIR, plan_of
 
 from prefshare.catalog.oracle import ORACLE
 from prefshare.catalog.queries import QUERIES
@@ -37,3 +37,6 @@ def test_query_equals_sql(spark, duck, name):
     want = by_name([c[0] for c in result.description], result.fetchall())
     assert got == want
     assert got[1]
+    plan = plan_of(df)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct"):
+        assert node not in plan

@@ -1,6 +1,7 @@
 import pytest
 from tests.samples import sample_inputs
 
+from prefshare.functions import vocab
 from prefshare.plans.persona import (
     customer_persona,
     persona_quantities,
@@ -69,6 +70,17 @@ def test_preferences(spark, limit):
     }
 
 
+def test_preferences_of_the_older_vocabulary(spark):
+    inputs = sample_inputs(
+        spark,
+        attributes=[("old A", 3.0, 6.0, "Full speed")],
+        size_labels=vocab.OLDER_SIZE_LABELS,
+    )
+    flags = package_preferences(inputs)
+    assert len(flags.columns) == 1 + 23
+    assert flags.first()["Package_Size_Full_speed"] == 1
+
+
 def test_same_current_name_keeps_smallest_code(spark):
     inputs = sample_inputs(
         spark,

@@ -6,10 +6,10 @@ import pytest
 from tests.conftest import SF_DIR, plan_of
 from tests.samples import sample_inputs
 
-from prefshare.catalog.queries import QUERIES
 from prefshare.catalog.tables import purchases, retail_inputs
 from prefshare.operators.scores import DURATION, PRICE, QUOTA, SPEED
 from prefshare.plans.persona import (
+    customer_persona,
     persona_quantities_wide,
     persona_shares_wide,
     persona_tall,
@@ -63,6 +63,13 @@ def test_wide_tables_shuffle_tall_rows_not_wide_ones(spark, no_auto_broadcast):
         assert not [s for s in shuffles(plan) if "pivot" in s.lower()]
 
 
+def test_persona_ids_meet_tall_rows(spark, no_auto_broadcast):
+    plan = plan_of(customer_persona(sample_inputs(spark)))
+    # The staged quantities and the numbered customers, both by customer.
+    assert len(on_customer(plan)) == 2
+    assert "rangepartitioning" not in plan
+
+
 def test_bought_packages_do_not_read_the_orders(spark):
     inputs = retail_inputs(spark, SF_DIR)
     plan = plan_of(package_preferences(inputs))
@@ -75,13 +82,6 @@ def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_runs_python_on_rows(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF_DIR))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct"):
-        assert node not in plan
-
-
 def test_settings_grow_with_the_shuffle():
     assert settings_for(0)["spark.sql.shuffle.partitions"] == "8"
     assert settings_for(10 * 2**40)["spark.sql.shuffle.partitions"] == "81920"
