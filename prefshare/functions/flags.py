@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def sql_name(name: str) -> str:
+    """The name as an SQL identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by exact name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by exact name."""
+    return F.col(sql_name(name))
 
 
 def safe_name(name: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefshare.functions.flags import quoted, unique_names
+from prefshare.functions.flags import sql_name, unique_names
 from prefshare.functions.weights import share
 
 
@@ -60,6 +60,6 @@ def widen(
     """
     unique_names([*keys, *packages])
     wide = tall.groupBy(*keys).pivot("package", list(packages)).agg(F.sum(value))
-    return wide.select(
-        *keys, *[F.coalesce(quoted(p), F.lit(0)).alias(p) for p in packages]
+    return wide.selectExpr(
+        *keys, *[f"coalesce({sql_name(p)}, 0) AS {sql_name(p)}" for p in packages]
     )

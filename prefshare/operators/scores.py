@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefshare.functions import vocab
-from prefshare.functions.flags import quoted, safe_name
-from prefshare.functions.weights import share
+from prefshare.functions.flags import quoted, safe_name, sql_name
+from prefshare.functions.weights import share_columns
 
 
 @dataclass(frozen=True)
@@ -48,11 +47,11 @@ def bucket_sums(
     combine their rows before the shuffle, which leaves a hot key one row per
     task.
     """
-    amount = F.col(quantity)
+    amount, none = F.col(quantity), F.lit(0)
     sums = [
-        F.coalesce(
-            F.sum(F.when(F.col(s.attribute) == label, amount)), F.lit(0)
-        ).alias(s.column(label))
+        F.coalesce(F.sum(F.when(F.col(s.attribute) == label, amount)), none).alias(
+            s.column(label)
+        )
         for s in scores
         for label in s.labels
     ]
@@ -70,10 +69,8 @@ def bucket_scores(
     Whole quantities are summed first and divided once, so the result does not
     depend on the order of the rows. A zero total gives null scores.
     """
-    sums = bucket_sums(labelled, keys, quantity, scores)
-    columns = [c for s in scores for c in s.columns]
-    return sums.select(
-        *keys, *[share(quoted(c), F.col("total")).alias(c) for c in columns]
+    return share_columns(
+        bucket_sums(labelled, keys, quantity, scores), "total", keep=keys
     )
 
 
@@ -101,12 +98,18 @@ def project_scores(
         raise ValueError("preference ids must number the persona's package columns")
 
     # Shares of a zero total are null in every column, and so are its scores.
-    nothing = quoted(packages[0]) * 0 if packages else F.lit(0)
+    nothing = f"{sql_name(packages[0])} * 0" if packages else "0"
 
-    def total_of(column: str) -> Column:
-        members = [quoted(p) for p, r in zip(packages, rows) if r[column]]
-        return reduce(Column.__add__, members) if members else nothing
+    def total_of(column: str) -> str:
+        members = [sql_name(p) for p, r in zip(packages, rows) if r[column]]
+        return f"CAST({_sum_text(members) or nothing} AS DOUBLE) AS {sql_name(column)}"
 
-    return persona.select(
-        *keys, *[total_of(c).cast("double").alias(c) for c in columns]
-    )
+    return persona.selectExpr(*keys, *[total_of(c) for c in columns])
+
+
+def _sum_text(terms: list[str]) -> str:
+    """Sum of the terms, halved over and over so that it does not nest deeply."""
+    if len(terms) < 2:
+        return "".join(terms)
+    half = len(terms) // 2
+    return f"({_sum_text(terms[:half])} + {_sum_text(terms[half:])})"

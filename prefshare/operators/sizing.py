@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefshare.functions.flags import quoted
+
 # Payload up to which a table may be sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Row overhead counted on top of the payload.
@@ -18,7 +20,7 @@ def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(ROW_BYTES + 8 * len(df.columns)).cast("bigint")
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            text = F.col("`" + f.name.replace("`", "``") + "`")
+            text = quoted(f.name)
             size = size + F.coalesce(F.octet_length(text), F.lit(0))
     return size
 

@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-MIB = 1024 * 1024
-# Bytes one shuffle task should hold.
-TASK_BYTES = 128 * MIB
-MAX_SHUFFLE_PARTITIONS = 100_000
+# Bytes one task should hold, until that would take more tasks than the most.
+TASK_BYTES = 128 * 1024 * 1024
+MOST_TASKS = 50_000
 
 
 def settings_for(shuffle_bytes: int) -> dict[str, str]:
     """Partition counts for a shuffle of that size.
 
     Partitions start at the target size; the runtime re-plan merges those that
-    map-side combining left small and splits those a hot key made large.
+    map-side combining left small and splits those a hot key made large. Very
+    large inputs get larger tasks rather than ever more of them: the blocks
+    exchanged grow with the square of the tasks.
     """
-    partitions = min(max(8, -(-shuffle_bytes // TASK_BYTES)), MAX_SHUFFLE_PARTITIONS)
+    task_bytes = max(TASK_BYTES, shuffle_bytes // MOST_TASKS)
+    partitions = max(8, -(-shuffle_bytes // task_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(2 * TASK_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
         "spark.sql.session.timeZone": "UTC",
     }
 

@@ -84,5 +84,7 @@ def test_scans_read_only_what_is_used(spark):
 
 def test_settings_grow_with_the_shuffle():
     assert settings_for(0)["spark.sql.shuffle.partitions"] == "8"
-    assert settings_for(10 * 2**40)["spark.sql.shuffle.partitions"] == "81920"
-    assert settings_for(10**18)["spark.sql.shuffle.partitions"] == "100000"
+    assert settings_for(2**40)["spark.sql.shuffle.partitions"] == "8192"
+    large = settings_for(100 * 10**12)
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(2 * 10**9)

@@ -85,6 +85,70 @@ def test_wide_tables_must_match(spark):
         )
 
 
+def test_wide_tables_of_many_packages(spark):
+    columns = [f"package {i}" for i in range(600)]
+    persona = spark.createDataFrame(
+        [(0, "c", *[1.0] * 600)],
+        "id bigint, analytic_id string, " + ", ".join(f"`{c}` double" for c in columns),
+    )
+    flags = spark.range(600).selectExpr(
+        "id", *[f"cast(id % 6 = {i} as int) AS {c}" for i, c in enumerate(DURATION.columns)]
+    )
+    scored = project_scores(persona, flags, ["id", "analytic_id"], [DURATION])
+    assert rows_of(scored) == [(0, "c", *[100.0] * 5)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_masters_against_brute_force(spark, seed):
+    """Repeated codes, shared and missing names, gaps and empty labels."""
+    rng = random.Random(seed)
+    codes = [f"p{i}" for i in range(12)]
+    olds, news = [f"old {i}" for i in range(8)], [f"new {i}" for i in range(5)]
+    old_tariff = [(rng.choice(codes), rng.choice(olds)) for _ in range(14)]
+    new_tariff = [(rng.choice(codes), rng.choice([*news, None])) for _ in range(14)]
+    attributes = [
+        (old, float(rng.choice([1, 5, 7, 10, 20, 31])), 5.0, rng.choice(["Social", None]))
+        for old in olds
+    ]
+    purchases = [
+        (rng.choice(["a", "b", "c", None]), rng.choice(codes), float(rng.randrange(4)))
+        for _ in range(60)
+    ]
+
+    def last(name):
+        return (name is None, name or "")
+
+    bridge = {}
+    for old in olds:
+        listed = [
+            (code, last(new), new)
+            for code, name in old_tariff
+            if name == old
+            for new in ([n for c, n in new_tariff if c == code] or [None])
+        ]
+        if listed:
+            bridge[old] = min(listed)
+    found = {}
+    for old, days, _, size in attributes:
+        code, _, new = bridge.get(old, (None, None, None))
+        if size is not None and new is not None:
+            found.setdefault(new, []).append((code, old, days))
+    label = {1: "XS", 5: "S", 7: "M", 10: "L", 20: None, 31: "XL"}
+    bucket = {new: label[int(min(rows)[2])] for new, rows in found.items()}
+    total, part = defaultdict(float), defaultdict(float)
+    for customer, code, n in purchases:
+        for c, new in new_tariff:
+            if customer is not None and c == code and new is not None:
+                total[customer] += n
+                part[customer, bucket.get(new)] += n
+    want = sorted(
+        (c, *[part[c, b] / t if t else None for b in ("XS", "S", "M", "L", "XL")])
+        for c, t in total.items()
+    )
+    inputs = sample_inputs(spark, purchases, old_tariff, new_tariff, attributes)
+    assert rows_of(customer_scores(inputs, [DURATION])) == want
+
+
 def random_matrix(rows, cols, seed):
     rng = random.Random(seed)
     return [[rng.choice([0.0, 0.0, rng.random()]) for _ in range(cols)] for _ in range(rows)]
