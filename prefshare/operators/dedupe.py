@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefshare.functions.flags import quoted
+from prefshare.functions.flags import quoted, sql_name
 
 
 def first_per_key(
@@ -17,20 +17,21 @@ def first_per_key(
 
     A minimum, not a window: each task keeps one row per key before the
     shuffle, so a key with very many copies costs nothing extra. Ties fall to
-    the remaining columns in their written order.
+    the remaining columns in their written order, nulls last as well.
     """
     rest = [c for c in df.columns if c not in keys]
-    lead = [
-        part.alias(f"_{i}{kind}")
-        for i, c in enumerate(order)
-        for kind, part in (("n", quoted(c).isNull()), ("v", quoted(c)))
+    compared = [*order, *[c for c in rest if c not in order]]
+    fields = [
+        f"{sql_name(c)} IS NULL AS _n{i}, {sql_name(c)} AS _v{i}"
+        for i, c in enumerate(compared)
     ]
-    smallest = F.min(F.struct(*lead, *[quoted(c) for c in rest])).alias("_first")
+    place = {c: i for i, c in enumerate(compared)}
+    smallest = F.expr(f"min(struct({', '.join(fields)}))").alias("_first")
     return (
         df.groupBy(*[quoted(k) for k in keys])
         .agg(smallest)
-        .select(
-            *[quoted(k) for k in keys],
-            *[F.col("_first").getField(c).alias(c) for c in rest],
+        .selectExpr(
+            *[sql_name(k) for k in keys],
+            *[f"_first._v{place[c]} AS {sql_name(c)}" for c in rest],
         )
     )

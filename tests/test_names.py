@@ -11,6 +11,12 @@ def test_first_row_is_the_smallest_with_nulls_last(spark):
     assert rows_of(first_per_key(df, ["k"], ["o"])) == [("k", 2, "a"), (None, 5, "x")]
 
 
+def test_ties_prefer_known_values(spark):
+    rows = [("k", 1, None, "x"), ("k", 1, "a", None), ("k", 1, "a", "z")]
+    df = spark.createDataFrame(rows, "k string, o int, `v w` string, u string")
+    assert rows_of(first_per_key(df, ["k"], ["o"])) == [("k", 1, "a", "z")]
+
+
 def test_first_row_does_not_depend_on_input_order(spark):
     rows = [(i % 7, i, str(i)) for i in range(200)]
     one = spark.createDataFrame(rows, "k int, o int, v string").repartition(1)
