@@ -287,6 +287,15 @@ FROM bought""",
 {_shares("l.size", PART_TYPES, vocab.SIZE_PREFIX)}
 FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
 GROUP BY c.id, c.analytic_id ORDER BY c.id""",
+    ),
+    "tall_dir_roundtrip": _with(
+        ("labelled", "customers"),
+        f"""SELECT c.id, c.analytic_id,
+{_shares("l.duration", STEPS, vocab.DURATION_PREFIX)},
+{_shares("l.price", STEPS, vocab.PRICE_PREFIX)},
+{_shares("l.size", PART_TYPES, vocab.SIZE_PREFIX)}
+FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
+GROUP BY c.id, c.analytic_id""",
     ),
     "score_raw_range": _with(
         ("labelled", "customers"),

@@ -29,6 +29,7 @@ from prefshare.operators.scores import (
     PRICE,
     bucket_scores,
     project_scores,
+    tall_scores,
 )
 from prefshare.plans import jobs, persona, preferences, scores
 from prefshare.sources import readers, writers
@@ -112,6 +113,19 @@ def derived_dir_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tall_dir_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    derived = scratch_path(spark, "derived-tall")
+    jobs.preprocess(
+        retail_inputs(spark, sf_dir), derived, table_format="parquet", shape="tall"
+    )
+    return tall_scores(
+        readers.read_features(spark, f"{derived}/customer_persona", "parquet"),
+        readers.read_features(spark, f"{derived}/package_preferences", "parquet"),
+        ["id", "analytic_id"],
+        [DURATION, PRICE, LABEL_SUBSET, LABEL_REST],
+    )
+
+
 def score_text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "duration_vectors")
     raw = scores.raw_range_scores(retail_inputs(spark, sf_dir))
@@ -338,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "tariff_csv_roundtrip": tariff_csv_roundtrip,
     "attr_csv_roundtrip": attr_csv_roundtrip,
     "derived_dir_roundtrip": derived_dir_roundtrip,
+    "tall_dir_roundtrip": tall_dir_roundtrip,
     "score_text_vectors": score_text_vectors,
     "persona_preview": persona_preview,
     "name_bridge": name_bridge,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from prefshare.functions import vocab
 from prefshare.functions.flags import quoted, safe_name, sql_name
 from prefshare.functions.weights import share_columns
+from prefshare.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,29 @@ def bucket_scores(
     )
 
 
+def tall_scores(
+    persona: DataFrame,
+    preferences: DataFrame,
+    keys: Sequence[str],
+    scores: Sequence[Buckets],
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Scores of tall persona rows, matched to the flags by package name.
+
+    For persona tables with too many packages to be columns.
+    """
+    columns = [c for s in scores for c in s.columns]
+    flags = preferences.select("package", *[quoted(c) for c in columns])
+    matched = persona.join(broadcast_if_small(flags, limit), "package", "left")
+    quantity, none = F.col("qty"), F.lit(0)
+    sums = [
+        F.coalesce(F.sum(F.when(quoted(c) == 1, quantity)), none).alias(c)
+        for c in columns
+    ]
+    totalled = matched.groupBy(*keys).agg(F.sum(quantity).alias("total"), *sums)
+    return share_columns(totalled, "total", keep=keys)
+
+
 def project_scores(
     persona: DataFrame,
     preferences: DataFrame,

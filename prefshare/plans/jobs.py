@@ -22,9 +22,10 @@ from prefshare.operators.scores import (
     SPEED,
     Buckets,
     project_scores,
+    tall_scores,
 )
 from prefshare.plans.inputs import PackageInputs, read_inputs
-from prefshare.plans.persona import customer_persona
+from prefshare.plans.persona import customer_persona, customer_persona_tall
 from prefshare.plans.preferences import bought_package_labels, package_preferences
 from prefshare.plans.scores import indexed_scores, raw_range_scores
 from prefshare.plans.session import build_session
@@ -49,18 +50,24 @@ def preprocess(
     out: str,
     mode: str = "errorifexists",
     table_format: str = "csv",
+    shape: str = "wide",
 ) -> None:
-    """``package_preferences`` as one file, ``customer_persona`` as many."""
+    """``package_preferences`` as one file, ``customer_persona`` as many.
+
+    The wide persona has a column per package; the tall one has a row, and the
+    preferences then carry the package name.
+    """
     # Both tables need the bought packages; the purchases are searched once.
     bought = stage(bought_package_labels(inputs), "bought-packages")
-    flags = package_preferences(inputs, bought=bought)
+    tall = shape == "tall"
+    flags = package_preferences(inputs, with_name=tall, bought=bought)
     path = os.path.join(out, "package_preferences")
     if table_format == "parquet":
         writers.write_parquet(flags, path, mode)
     else:
         writers.write_delimited(flags, path, mode=mode, single_file=True)
     writers.write_table(
-        customer_persona(inputs, bought),
+        customer_persona_tall(inputs) if tall else customer_persona(inputs, bought),
         os.path.join(out, "customer_persona"),
         table_format,
         mode,
@@ -75,9 +82,11 @@ def score(
     out: str,
     mode: str = "errorifexists",
     table_format: str = "csv",
+    shape: str = "wide",
 ) -> None:
     """One score of the derived tables."""
-    scored = project_scores(
+    scorer = tall_scores if shape == "tall" else project_scores
+    scored = scorer(
         readers.read_features(spark, persona, table_format),
         readers.read_features(spark, preferences, table_format),
         KEYS,
@@ -124,6 +133,10 @@ def _parser() -> argparse.ArgumentParser:
         jobs.choices[name].add_argument(
             "--table-format", choices=("csv", "parquet"), default="csv"
         )
+    for name in ("preprocess", "score"):
+        jobs.choices[name].add_argument(
+            "--shape", choices=("wide", "tall"), default="wide"
+        )
     for job in jobs.choices.values():
         job.add_argument("--out", required=True)
         job.add_argument("--mode", default="errorifexists")
@@ -143,6 +156,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.out,
             args.mode,
             args.table_format,
+            args.shape,
         )
         return
     older = args.job == "raw-duration"
@@ -156,6 +170,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     )
     if older:
         raw_duration(inputs, args.out, args.mode)
-        return
-    run = {"preprocess": preprocess, "scores": all_scores}[args.job]
-    run(inputs, args.out, args.mode, args.table_format)
+    elif args.job == "scores":
+        all_scores(inputs, args.out, args.mode, args.table_format)
+    else:
+        preprocess(inputs, args.out, args.mode, args.table_format, args.shape)

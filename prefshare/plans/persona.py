@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from prefshare.functions.weights import share_columns
+from prefshare.functions.weights import share, share_columns
 from prefshare.operators import names
 from prefshare.operators.encode import column_labels
 from prefshare.operators.index import dense_index
@@ -60,6 +61,33 @@ def persona_shares_wide(inputs: PackageInputs) -> DataFrame:
     return share_columns(counts, "total", keep=["analytic_id"])
 
 
+def numbered_quantities(inputs: PackageInputs) -> DataFrame:
+    """analytic_id, package, qty, total and the customer's dense ``id``.
+
+    The quantities are staged, because the ids need all customers first. These
+    are numbered as narrow rows and meet the tall ones, so no wide row is ever
+    sorted or staged.
+    """
+    tall = stage(persona_quantities(inputs), "quantities")
+    customers = dense_index(quantity_totals(tall), "analytic_id")
+    return tall.join(customers, "analytic_id")
+
+
+def customer_persona_tall(inputs: PackageInputs) -> DataFrame:
+    """The persona with one row per customer and package, for any number of them.
+
+    Packages without attributes are kept: they are part of the total.
+    """
+    return numbered_quantities(inputs).select(
+        "id",
+        "analytic_id",
+        "package",
+        "qty",
+        "total",
+        share(F.col("qty"), F.col("total")).alias("share"),
+    )
+
+
 def customer_persona(
     inputs: PackageInputs, bought: DataFrame | None = None
 ) -> DataFrame:
@@ -70,12 +98,6 @@ def customer_persona(
     """
     labels = bought_package_labels(inputs) if bought is None else bought
     packages = column_labels(labels, "package")
-    # Staged, because the ids need all customers first. They are numbered as
-    # narrow rows and meet the tall ones, so no wide row is sorted or staged.
-    tall = stage(persona_quantities(inputs), "quantities")
-    customers = dense_index(quantity_totals(tall), "analytic_id")
     keys = ["id", "analytic_id"]
-    counts = widen(
-        tall.join(customers, "analytic_id"), [*keys, "total"], packages, "qty"
-    )
+    counts = widen(numbered_quantities(inputs), [*keys, "total"], packages, "qty")
     return share_columns(counts, "total", keep=keys)

@@ -47,7 +47,7 @@ def read_features(
     spark: SparkSession,
     path: str,
     table_format: str = "csv",
-    text: Sequence[str] = ("analytic_id",),
+    text: Sequence[str] = ("analytic_id", "package"),
 ) -> DataFrame:
     """Wide derived table written by ``write_table``: id, keys, numbers.
 

@@ -134,11 +134,13 @@ def files(tmp_path):
     }
 
 
-@pytest.mark.parametrize("table_format", ["csv", "parquet"])
-def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format):
+@pytest.mark.parametrize(
+    "table_format, shape", [("csv", "wide"), ("parquet", "wide"), ("csv", "tall")]
+)
+def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format, shape):
     inputs = read_inputs(spark, **files)
     out = str(tmp_path / "derived")
-    jobs.preprocess(inputs, out, table_format=table_format)
+    jobs.preprocess(inputs, out, table_format=table_format, shape=shape)
     for kind, buckets in (("duration", DURATION), ("quota", QUOTA)):
         path = str(tmp_path / kind)
         jobs.score(
@@ -148,6 +150,7 @@ def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format):
             out + "/customer_persona",
             path,
             table_format=table_format,
+            shape=shape,
         )
         scored = readers.read_features(spark, path, table_format)
         assert scored.columns == ["analytic_id", "id", *buckets.columns]
