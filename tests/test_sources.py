@@ -141,7 +141,8 @@ def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format, shape):
     inputs = read_inputs(spark, **files)
     out = str(tmp_path / "derived")
     jobs.preprocess(inputs, out, table_format=table_format, shape=shape)
-    for kind, buckets in (("duration", DURATION), ("quota", QUOTA)):
+    kinds = [("duration", DURATION), ("quota", QUOTA)]
+    for kind, buckets in kinds if table_format == "csv" else kinds[:1]:
         path = str(tmp_path / kind)
         jobs.score(
             spark,
@@ -160,10 +161,10 @@ def test_jobs_from_files_to_scores(spark, files, tmp_path, table_format, shape):
             for c in ["id", *buckets.columns]:
                 assert got[row["analytic_id"]][c] == pytest.approx(row[c], abs=1e-12)
 
-    jobs.all_scores(inputs, str(tmp_path / "scores"), table_format=table_format)
-    one_pass = readers.read_features(
-        spark, str(tmp_path / "scores/duration"), table_format
-    )
+
+def test_all_scores_job(spark, files, tmp_path):
+    jobs.all_scores(read_inputs(spark, **files), str(tmp_path / "scores"))
+    one_pass = readers.read_features(spark, str(tmp_path / "scores/duration"))
     assert rows_of(one_pass.select("id", "analytic_id", *DURATION.columns)) == rows_of(
         indexed_scores(sample_inputs(spark), [DURATION])
     )
