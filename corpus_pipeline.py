@@ -3,12 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from prefshare.llm import catalog, mixing, packing
+from prefshare.llm import catalog, langid, mixing, packing, pii
 from prefshare.llm.tokens import default_tokenizer
 from prefshare.sources.scratch import stage
 
 
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; texts without a letter go."""
+    catalog.importable(spark)
+    model = langid.fit_model(docs, langid.default_vocabulary())
+    return langid.keep_identified(docs, model)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind, n_chars counted anew."""
+    catalog.importable(spark)
+    clean = pii.redact(docs, pii.fit_field(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in mix order; the files that are written hold that order."""
     catalog.importable(spark)
@@ -22,6 +37,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("identify_languages", identify_languages),
+    ("redact_personal_data", redact_personal_data),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]
