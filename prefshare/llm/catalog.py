@@ -8,7 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefshare.llm import binary, langid, mixing, packing, pii, sharding
+from prefshare.llm import (
+    binary,
+    embedding_dedup,
+    html_text,
+    langid,
+    mixing,
+    packing,
+    pii,
+    sharding,
+)
 from prefshare.llm.tokens import default_tokenizer
 from prefshare.sources.scratch import scratch_path
 
@@ -66,6 +75,11 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_tokens(spark, target)
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = sharding.document_sizes(table(spark, sf_dir, "documents"))
@@ -99,4 +113,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, default_tokenizer(), end_id=0)
 
 
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 ORACLE: dict[str, str] = {}
