@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from prefshare.llm import (
     binary,
     embedding_dedup,
+    fingerprint,
     html_text,
     langid,
     mixing,
@@ -107,6 +108,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit_model(docs, langid.default_vocabulary()))
 
 
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
