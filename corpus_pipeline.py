@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefshare.llm import catalog, langid, mixing, packing, pii
+from prefshare.llm import catalog, langid, mixing, ngram_join, packing, pii
 from prefshare.llm.tokens import default_tokenizer
 from prefshare.sources.scratch import stage
 
@@ -17,6 +17,12 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return langid.keep_identified(docs, model)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of the smallest doc_id."""
+    catalog.importable(spark)
+    return ngram_join.one_of_each_group(docs)
+
+
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind, n_chars counted anew."""
     catalog.importable(spark)
@@ -38,6 +44,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("identify_languages", identify_languages),
+    ("drop_near_copies", drop_near_copies),
     ("redact_personal_data", redact_personal_data),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),

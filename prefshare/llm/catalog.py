@@ -15,6 +15,7 @@ from prefshare.llm import (
     html_text,
     langid,
     mixing,
+    ngram_join,
     packing,
     pii,
     sharding,
@@ -108,6 +109,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit_model(docs, langid.default_vocabulary()))
 
 
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
