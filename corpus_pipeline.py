@@ -38,8 +38,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens, numbered in the order of the mix."""
     catalog.importable(spark)
-    return packing.pack_documents(docs, default_tokenizer(), end_id=0)
+    return packing.pack_documents(docs, default_tokenizer(), end_id=0, file_order=True)
 
 
 STAGES = [

@@ -15,18 +15,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefshare.functions.flags import quoted
 from prefshare.llm.common import group_ranks, rechunked, text_column
 from prefshare.llm.tokens import encoded
+from prefshare.operators.index import dense_index
 from prefshare.sources.scratch import stage
 
 CAPACITY = 2048
 CHUNK_BYTES = 4 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-PLACED = PIECES + ", sequence_id bigint, offset bigint"
+# Where the document stands among the files that were read.
+PLACE = ("_file", "_row")
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -105,20 +109,21 @@ def _intervals(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 def _cut(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rechunked(batches, "_text", CHUNK_BYTES):
-            keys = batch.column(batch.schema.get_field_index("_doc")).to_pylist()
             rows = []
-            for key, ids in zip(
-                keys, encoded(text_column(batch, "_text"), path, end_id), strict=True
-            ):
+            texts = text_column(batch, "_text")
+            for row, ids in enumerate(encoded(texts, path, end_id)):
                 ids = ids.astype("<u4", copy=False)
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
-                    rows.append((key, piece, start, len(part), zlib.crc32(part)))
-            columns = list(zip(*rows, strict=True))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                    rows.append((row, piece, start, len(part), zlib.crc32(part)))
+            row, *columns = zip(*rows, strict=True)
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            columns = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            kept = [c for c in batch.schema.names if c != "_text"]
+            whole = batch.select(kept).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
+                [whole.column(0), *columns, *whole.columns[1:]],
+                ["doc_id", "piece", "start", "length", "ids_crc32", *kept[1:]],
             )
 
     return run
@@ -133,9 +138,14 @@ def token_pieces(
     text: str = "text",
 ) -> DataFrame:
     """One row for each piece of a document's ids, the end id included; only
-    documents longer than the capacity have more than one."""
-    rows = docs.select(quoted(doc).alias("_doc"), quoted(text).alias("_text"))
-    return rows.mapInArrow(_cut(tokenizer, end_id, capacity), PIECES)
+    documents longer than the capacity have more than one. The columns that
+    ``in_file_order`` adds are kept."""
+    placed = [c for c in PLACE if c in docs.columns]
+    rows = docs.select(
+        quoted(doc).cast("bigint").alias("_doc"), *placed, quoted(text).alias("_text")
+    )
+    schema = PIECES + (", _file string, _row bigint" if placed else "")
+    return rows.mapInArrow(_cut(tokenizer, end_id, capacity), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -168,22 +178,65 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 inside = rank[rows] - row[:, 0]
                 sequence[rows] = row[:, 2] + inside // row[:, 1]
                 offset[rows] = row[:, 3] + inside % row[:, 1] * size
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays(
                 [*(get[n] for n in names), pa.array(sequence), pa.array(offset)],
                 [*names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, PLACED)
+    names = pieces.columns
+    schema = T.StructType(
+        [
+            *pieces.schema.fields,
+            T.StructField("sequence_id", T.LongType()),
+            T.StructField("offset", T.LongType()),
+        ]
+    )
+    return ranked.mapInArrow(place, schema)
+
+
+def in_file_order(docs: DataFrame) -> DataFrame | None:
+    """The rows with the file and the row in it that they were read from; None if
+    the frame is not a read of files."""
+    try:
+        return docs.withColumns(
+            {
+                PLACE[0]: F.col("_metadata.file_path"),
+                PLACE[1]: F.col("_metadata.row_index").cast("bigint"),
+            }
+        )
+    except AnalysisException:
+        return None
+
+
+def numbered_in_order(packed: DataFrame) -> DataFrame:
+    """Sequences numbered by where the document of their first piece was read."""
+    packed = stage(packed, "sequences")
+    first = F.struct(*PLACE, "piece").alias("_first")
+    leads = packed.filter("offset = 0").select(F.col("sequence_id").alias("_old"), first)
+    numbers = dense_index(leads, "_first", "_new").select("_old", "_new")
+    joined = packed.join(numbers, F.col("sequence_id") == F.col("_old"))
+    return joined.withColumn("sequence_id", F.col("_new")).select(
+        *[c for c in packed.columns if c not in PLACE]
+    )
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int = 0,
+    capacity: int = CAPACITY,
+    file_order: bool = False,
 ) -> DataFrame:
     """Pack all documents into as few sequences of ``capacity`` tokens as found.
 
     A null text is empty, that is the end id alone; a null doc_id is kept.
     Repeated rows are packed as often as they stand. Other columns are not
-    read. An empty table gives no rows.
+    read. An empty table gives no rows. With ``file_order`` and documents read
+    from files, sequences are numbered in the order in which the documents of
+    their first pieces stand there.
     """
-    return pack(stage(token_pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    placed = in_file_order(docs) if file_order else None
+    rows = docs if placed is None else placed
+    pieces = stage(token_pieces(rows, tokenizer, end_id, capacity), "pieces")
+    packed = pack(pieces, capacity)
+    return packed if placed is None else numbered_in_order(packed)
