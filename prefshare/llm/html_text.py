@@ -4,8 +4,11 @@ Standard-library parser events give the page's lines (blocks of text), each with
 its characters and the tags met since the line before. The ratios of the lines
 are smoothed with a Gaussian over their neighbours and split in two clusters by a
 threshold; regions of the page that reach the upper cluster are its content.
-Regions are the page's sections, so that a short line inside the article stays.
-What a page marks as navigation, advert, form or comment is no candidate.
+Regions are the page's sections, so that a short line inside the article stays;
+a marked article is one region, and where it reaches the upper cluster it alone
+is the content. Smoothing stays within a region, so that a long paragraph does
+not lift the menu beside it. What a page marks as navigation, advert, form or
+comment is no candidate.
 """
 
 from __future__ import annotations
@@ -69,6 +72,8 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []
         self.sections = 0
         self.article = 0
+        # Sections that are an article or the page's main element.
+        self.articles: set[int] = set()
         self.parts: list[str] = []
         self.tags = 0
 
@@ -110,9 +115,11 @@ class _Lines(HTMLParser):
             return
         above = self.open[-1] if self.open else ("", False, 0)
         section = above[2]
-        if tag in SECTIONS:
+        if tag in SECTIONS and above[2] not in self.articles:
             self.sections += 1
             section = self.sections
+            if tag in ("article", "main"):
+                self.articles.add(section)
         self.article += tag == "article"
         hidden = above[1] or self._hidden(tag, attrs)
         if tag in BLOCKS or hidden != above[1]:
@@ -186,13 +193,14 @@ def main_text(html: str) -> str:
     page.close()
     if not page.lines:
         return ""
-    values = smoothed([line.ratio for line in page.lines])
-    border = threshold(values)
-    content = {
-        line.section
-        for line, value in zip(page.lines, values, strict=True)
-        if value >= border
-    }
+    regions: dict[int, list[float]] = {}
+    for line in page.lines:
+        regions.setdefault(line.section, []).append(line.ratio)
+    regions = {section: smoothed(ratios) for section, ratios in regions.items()}
+    border = threshold([v for values in regions.values() for v in values])
+    content = {section for section, values in regions.items() if max(values) >= border}
+    if content & page.articles:
+        content = page.articles
     return "\n".join(line.text for line in page.lines if line.section in content)
 
 

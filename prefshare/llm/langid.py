@@ -237,12 +237,12 @@ class Scorer:
                 runs.append(START + run)
                 owner.append(i)
         out = np.zeros((len(words), len(self.model.languages) + 1))
-        if runs:
+        if runs and self.model.languages:
             scores = np.zeros((len(runs), len(self.model.languages)))
             for rows, codes in self.trie.codes(runs):
                 scores[rows] = forward(self.trie, self.model.chances, codes)
             np.add.at(out[:, :-1], owner, scores)
-            out[owner, -1] = 1
+        out[owner, -1] = 1
         return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -381,13 +381,15 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose language can be told, unchanged."""
+    """The rows whose text has a letter, that is all but those of an undetermined
+    language, unchanged. A table from which nothing could be learned keeps its
+    texts as well."""
     digest = model.digest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model, digest)
         for batch in rechunked(batches, text, CHUNK_BYTES):
-            names, _ = decide(model, scorer.score(text_column(batch, text)))
-            yield batch.filter(pa.array([x != UNDETERMINED for x in names], pa.bool_()))
+            letters = scorer.score(text_column(batch, text))[:, -1] > 0
+            yield batch.filter(pa.array(letters))
 
     return docs.mapInArrow(run, docs.schema)
