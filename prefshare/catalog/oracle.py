@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from prefshare.catalog.queries import FIRST_SCORED
-from prefshare.catalog.tables import FIRST_TYPES, LAST_TYPES, PART_TYPES
+from prefshare.catalog.queries import FIRST_SCORED, ID_RANGE
+from prefshare.catalog.tables import FIRST_TYPES, LAST_TYPES, PART_NAMES, PART_TYPES
 from prefshare.functions import vocab
 
 STEPS = vocab.STEP_LABELS
@@ -128,17 +128,16 @@ def _score(select: str) -> str:
     )
 
 
-def _wide(rows: str, columns: str, value: str, keys: str, exclude: str = "") -> str:
-    """One column per package of ``columns``, 0 where a customer has none."""
-    grid = f"""SELECT r.*, c.package, {value} AS cell
-  FROM ({rows}) AS r CROSS JOIN ({columns}) AS c
-  LEFT JOIN quantities q ON q.analytic_id = r.analytic_id AND q.package = c.package"""
-    return f"SELECT * {exclude} FROM (PIVOT (\n{grid}) ON package USING sum(cell) GROUP BY {keys})"
+def _wide(value: str, select: str, names: dict[str, str]) -> str:
+    """One column per part name, 0 where a customer has none of it."""
+    columns = ",\n".join(
+        f"{value.format(f"sum(CASE WHEN q.package = '{name}' THEN q.qty ELSE 0 END)")} AS \"{column}\""
+        for name, column in names.items()
+    )
+    return f"SELECT {select},\n{columns}\nFROM quantities q"
 
 
-WIDE_QUANTITIES = _wide(
-    "SELECT analytic_id FROM totals", "SELECT package FROM bought", "coalesce(q.qty, 0)", "analytic_id"
-)
+EVERY_PART = {name: name for name in PART_NAMES}
 
 
 def _id_rows(column: str, labels: tuple[str, ...], prefix: str) -> str:
@@ -169,7 +168,7 @@ GROUP BY c.id, c.analytic_id""",
         ("labelled", "customers"),
         f"""SELECT c.id AS key, {_sums("l.duration", STEPS, vocab.DURATION_PREFIX)}
 FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
-WHERE c.id BETWEEN 1 AND 20000 GROUP BY c.id""",
+GROUP BY c.id""",
     ),
     "persona_preview": _with(
         ("customers",), "SELECT id, analytic_id FROM customers ORDER BY id LIMIT 20"
@@ -208,18 +207,18 @@ FROM part""",
         + "\nFROM purchases JOIN part ON package_id = p_partkey",
     ),
     "rename_unsafe": _with(
-        ("totals", "bought"),
+        ("quantities",),
         _wide(
-            "SELECT analytic_id FROM totals",
-            "SELECT replace(package, ' ', '_') AS package FROM bought",
-            "coalesce(q.qty, 0)",
-            "analytic_id",
-            exclude="EXCLUDE (red_widget)",
-        ).replace("q.package = c.package", "replace(q.package, ' ', '_') = c.package"),
+            "{}",
+            "q.analytic_id",
+            {n: n.replace(" ", "_") for n in PART_NAMES if n != "red widget"},
+        )
+        + " GROUP BY q.analytic_id",
     ),
     "customer_total": _with(
         ("named",),
-        "SELECT analytic_id, sum(total_transaction) AS total FROM named GROUP BY analytic_id",
+        """SELECT analytic_id, sum(total_transaction) AS total FROM named
+WHERE analytic_id IS NOT NULL GROUP BY analytic_id""",
     ),
     "customer_count": _with(
         ("named",), "SELECT count(DISTINCT analytic_id) AS customers FROM named"
@@ -227,35 +226,33 @@ FROM part""",
     "persona_qty_tall": _with(
         ("quantities",), "SELECT analytic_id, package, qty FROM quantities"
     ),
-    "persona_qty_wide": _with(("totals", "bought"), WIDE_QUANTITIES),
+    "persona_qty_wide": _with(
+        ("quantities",),
+        _wide("{}", "q.analytic_id", EVERY_PART) + " GROUP BY q.analytic_id",
+    ),
     "persona_share_tall": _with(
         ("totals",),
         """SELECT q.analytic_id, q.package, q.qty, t.total, q.qty / nullif(t.total, 0) AS share
 FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id""",
     ),
     "persona_share_wide": _with(
-        ("totals", "bought"),
-        _wide(
-            "SELECT analytic_id, total FROM totals",
-            "SELECT package FROM bought",
-            "coalesce(q.qty, 0) / nullif(r.total, 0)",
-            "analytic_id",
-        ),
+        ("totals",),
+        _wide("{} / nullif(t.total, 0)", "q.analytic_id", EVERY_PART)
+        + """ JOIN totals t ON q.analytic_id = t.analytic_id
+GROUP BY q.analytic_id, t.total""",
     ),
     "customer_persona": _with(
         ("totals", "customers", "preferences"),
-        _wide(
-            """SELECT c.id, c.analytic_id, t.total
-     FROM customers c JOIN totals t ON c.analytic_id = t.analytic_id""",
-            "SELECT package FROM preferences",
-            "coalesce(q.qty, 0) / nullif(r.total, 0)",
-            "id, analytic_id",
-        ),
+        """SELECT c.id AS "row", q.package AS col, q.qty / t.total AS "value"
+FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id
+JOIN customers c ON q.analytic_id = c.analytic_id
+WHERE q.qty <> 0 AND t.total <> 0 AND q.package IN (SELECT package FROM preferences)""",
     ),
     "customer_index": _with(("customers",), "SELECT id, analytic_id FROM customers"),
     "id_range": _with(
         ("customers",),
-        "SELECT id, analytic_id FROM customers WHERE id BETWEEN 1 AND 20000",
+        f"""SELECT id, analytic_id FROM customers
+WHERE id BETWEEN {ID_RANGE[0]} AND {ID_RANGE[1]}""",
     ),
     "id_from": _with(
         ("customers",),
@@ -302,7 +299,7 @@ GROUP BY c.id, c.analytic_id""",
         f"""SELECT c.id, c.analytic_id,
 {_sums("CASE WHEN l.package <> 'red widget' THEN l.duration END", STEPS, vocab.DURATION_PREFIX)}
 FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
-WHERE c.id BETWEEN 1 AND 20000 GROUP BY c.id, c.analytic_id""",
+GROUP BY c.id, c.analytic_id""",
     ),
     "sparse_matmul": _with(
         ("quantities", "preferences"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from prefshare.catalog.tables import (
     LABEL_REST,
     LABEL_SUBSET,
+    PART_NAMES,
     PART_PRICE_RULES,
     PART_TYPES,
     purchases,
@@ -37,8 +38,9 @@ from prefshare.sources.scratch import scratch_path, stage
 
 # Starts of the id ranges that are put together again; the last one is open.
 BATCH_STARTS = (0, 500, 1_000)
-# Start of the open range: customer 0 lies before every range ever scored.
-FIRST_SCORED = vocab.RAW_SCORE_RANGE[0]
+# The id range that ``id_range`` selects, and the start of the open one.
+ID_RANGE = (1, 20_000)
+FIRST_SCORED = ID_RANGE[0]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,7 +100,7 @@ def attr_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_dir_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = scratch_path(spark, "derived")
-    jobs.preprocess(retail_inputs(spark, sf_dir), derived)
+    jobs.preprocess(retail_inputs(spark, sf_dir), derived, shape="wide")
     scored = project_scores(
         readers.read_features(spark, f"{derived}/customer_persona"),
         readers.read_features(spark, f"{derived}/package_preferences"),
@@ -223,7 +225,7 @@ def weighted_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rename_unsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = persona.persona_quantities_wide(retail_inputs(spark, sf_dir))
+    wide = persona.persona_quantities_wide(retail_inputs(spark, sf_dir), PART_NAMES)
     return rename_safe(wide).drop("red_widget")
 
 
@@ -243,7 +245,7 @@ def persona_qty_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def persona_qty_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return persona.persona_quantities_wide(retail_inputs(spark, sf_dir))
+    return persona.persona_quantities_wide(retail_inputs(spark, sf_dir), PART_NAMES)
 
 
 def persona_share_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,11 +253,14 @@ def persona_share_tall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def persona_share_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return persona.persona_shares_wide(retail_inputs(spark, sf_dir))
+    return persona.persona_shares_wide(retail_inputs(spark, sf_dir), PART_NAMES)
 
 
 def customer_persona(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return persona.customer_persona(retail_inputs(spark, sf_dir))
+    """The wide persona's non-zero cells: its columns are found in the data."""
+    wide = persona.customer_persona(retail_inputs(spark, sf_dir))
+    packages = [c for c in wide.columns if c not in ("id", "analytic_id")]
+    return matrix.to_tall(wide.drop("analytic_id"), "id", packages)
 
 
 # Ids and ranges
@@ -267,7 +272,7 @@ def customer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.id_between(customer_index(spark, sf_dir), *vocab.RAW_SCORE_RANGE)
+    return ranges.id_between(customer_index(spark, sf_dir), *ID_RANGE)
 
 
 def id_from(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,10 +344,11 @@ def sparse_matmul(spark: SparkSession, sf_dir: str) -> DataFrame:
     bought = stage(preferences.bought_package_labels(inputs), "bought-packages")
     flags = preferences.package_preferences(inputs, with_name=True, bought=bought)
     columns = [c for c in flags.columns if c not in ("id", "package")]
-    quantities = persona.persona_quantities(inputs).select(
+    # The product sums; the purchases need no sum of their own before it.
+    quantities = persona_ops.with_customer(persona.named_purchases(inputs)).select(
         F.col("analytic_id").alias("row"),
         F.col("package").alias("col"),
-        F.col("qty").alias("value"),
+        F.col("total_transaction").alias("value"),
     )
     return matrix.tall_product(quantities, matrix.to_tall(flags, "package", columns))
 

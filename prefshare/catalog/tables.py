@@ -20,6 +20,13 @@ PART_PRICE_RULES = (
     ("L", "<=", 975.0),
     ("XL", ">", 975.0),
 )
+# The part names of the test tables at any scale factor, for wide tables whose
+# columns are handed in.
+PART_NAMES = tuple(
+    f"{look} {thing}"
+    for look in ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+    for thing in ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+)
 # Part types stand for plan types; each label score reports half of them.
 FIRST_TYPES = ("ECONOMY", "LARGE", "MEDIUM")
 LAST_TYPES = ("PROMO", "SMALL", "STANDARD")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,10 +24,14 @@ def safe_name(name: str) -> str:
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
-    """Fail early when two labels end up as the same column."""
-    doubled = sorted({n for n in names if names.count(n) > 1})
+    """Fail early when two labels end up as the same column; letter case does not
+    tell columns apart."""
+    counts = Counter(n.casefold() for n in names)
+    doubled = sorted({n for n in names if counts[n.casefold()] > 1})
     if doubled:
-        raise ValueError(f"column names collide: {', '.join(doubled)}")
+        raise ValueError(
+            f"column names collide: {', '.join(doubled)}; the tall shape takes any names"
+        )
     return list(names)
 
 

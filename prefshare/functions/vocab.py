@@ -55,8 +55,3 @@ SPEED_LABELS = (
     "64Kbps", "384Kbps", "512Kbps", "1Mbps", "2Mbps", "4Mbps", "6Mbps",
     "Unlimit_Timed", "Unlimit",
 )
-
-# Customer ids covered by the raw-count score.
-RAW_SCORE_RANGE = (1, 20_000)
-# Package left out of the raw-count score.
-RAW_SCORE_EXCLUDED = ("7B20SMS10MMS1D",)

@@ -16,7 +16,7 @@ def first_per_key(
     """The row with the smallest ``order`` values per key, nulls last.
 
     A minimum, not a window: each task keeps one row per key before the
-    shuffle, so a key with very many copies costs nothing extra. Ties fall to
+    shuffle, so a key with very many copies is no hot group. Ties fall to
     the remaining columns in their written order, nulls last as well.
     """
     rest = [c for c in df.columns if c not in keys]

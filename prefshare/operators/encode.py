@@ -8,25 +8,18 @@ from pyspark.sql import DataFrame
 
 from prefshare.functions.flags import flag_columns, quoted
 
-# Most columns a wide table may get. Above it the tall form is the result.
-MAX_WIDE_COLUMNS = 5_000
-
-
 def distinct_labels(df: DataFrame, column: str) -> DataFrame:
     return df.select(quoted(column)).distinct()
 
 
-def column_labels(
-    df: DataFrame, column: str, limit: int = MAX_WIDE_COLUMNS
-) -> list:
-    """Sorted non-null labels that become columns; refuses an unbounded set."""
+def column_labels(df: DataFrame, column: str) -> list:
+    """Sorted non-null labels that become columns.
+
+    They are the schema of a wide table, which the driver holds in any case; a
+    caller who cannot have that many columns keeps the tall form.
+    """
     named = distinct_labels(df, column).where(quoted(column).isNotNull())
-    found = [r[0] for r in named.orderBy(quoted(column)).limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(
-            f"{column} has more than {limit} labels; keep the tall form instead"
-        )
-    return found
+    return sorted(r[0] for r in named.collect())
 
 
 def one_hot(

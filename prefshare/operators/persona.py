@@ -11,24 +11,31 @@ from prefshare.functions.flags import sql_name, unique_names
 from prefshare.functions.weights import share
 
 
+def with_customer(rows: DataFrame) -> DataFrame:
+    """Rows without a customer belong to nobody and are left out."""
+    return rows.where(F.col("analytic_id").isNotNull())
+
+
 def customer_totals(named: DataFrame) -> DataFrame:
-    return named.groupBy("analytic_id").agg(
-        F.sum("total_transaction").alias("total")
+    return (
+        with_customer(named)
+        .groupBy("analytic_id")
+        .agg(F.sum("total_transaction").alias("total"))
     )
 
 
-def package_quantities(named: DataFrame) -> DataFrame:
-    """Tall counterpart of summing one flag column per package.
-
-    Rows without a customer belong to nobody and are left out.
-    """
-    return (
-        named.where(F.col("analytic_id").isNotNull())
-        .groupBy("analytic_id", "package")
-        .agg(F.sum("total_transaction").alias("qty"))
+def all_quantities(named: DataFrame) -> DataFrame:
+    """Quantities per customer and package, those of nobody included."""
+    return named.groupBy("analytic_id", "package").agg(
+        F.sum("total_transaction").alias("qty")
     )
 
 
+def package_quantities(named: DataFrame) -> DataFrame:
+    """Tall counterpart of summing one flag column per package."""
+    return all_quantities(with_customer(named))
+
+
 def quantity_totals(quantities: DataFrame) -> DataFrame:
     return quantities.groupBy("analytic_id").agg(F.sum("qty").alias("total"))
 

@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def id_between(df: DataFrame, low: int, high: int, name: str = "id") -> DataFrame:
-    """Rows with ``low <= id <= high``."""
-    return df.where(F.col(name).between(low, high))
+def id_between(
+    df: DataFrame, low: int | None, high: int | None, name: str = "id"
+) -> DataFrame:
+    """Rows with ``low <= id <= high``; an end that is None is open."""
+    if low is not None:
+        df = df.where(F.col(name) >= low)
+    return df if high is None else df.where(F.col(name) <= high)
 
 
 def id_from(df: DataFrame, low: int, name: str = "id") -> DataFrame:
@@ -26,9 +30,9 @@ def union_ranges(df: DataFrame, starts: Sequence[int], name: str = "id") -> Data
     """
     if list(starts) != sorted(set(starts)):
         raise ValueError("range starts must ascend without repeats")
+    ends = [F.col(name) < following for following in starts[1:]] + [F.lit(True)]
     parts = [
-        id_between(df, low, following - 1, name)
-        for low, following in zip(starts, starts[1:])
+        (F.col(name) >= low) & end for low, end in zip(starts, ends, strict=True)
     ]
-    parts.append(id_from(df, starts[-1], name))
-    return reduce(DataFrame.unionByName, parts)
+    # The ranges do not overlap: one pass that keeps the rows of any is their union.
+    return df.where(reduce(lambda a, b: a | b, parts))

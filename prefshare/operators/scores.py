@@ -104,22 +104,24 @@ def project_scores(
     keys: Sequence[str],
     scores: Sequence[Buckets],
 ) -> DataFrame:
-    """Scores of wide persona rows: package k is the k-th column after the keys.
+    """Scores of wide persona rows, whose columns after the keys are packages.
 
-    A wide row holds all its customer's packages, so with the flags as plan
-    constants the product is a projection: no join, no shuffle. The flags fetched
-    are one row per persona column.
+    The flags are found by package name: tables of different runs do not match
+    and are refused. A wide row holds all its customer's packages, so with the
+    flags as plan constants the product is a projection: no join, no shuffle. The
+    flags fetched are one row per persona column.
     """
     packages = [c for c in persona.columns if c not in keys]
     columns = [c for s in scores for c in s.columns]
-    rows = (
-        preferences.select("id", *[quoted(c) for c in columns])
-        .orderBy("id")
-        .limit(len(packages) + 1)
-        .collect()
-    )
-    if [r["id"] for r in rows] != list(range(len(packages))):
-        raise ValueError("preference ids must number the persona's package columns")
+    # One row more than there are columns shows that the tables differ.
+    flags = preferences.select("package", *[quoted(c) for c in columns])
+    found = {r["package"]: r for r in flags.limit(len(packages) + 1).collect()}
+    if set(found) != set(packages):
+        other = sorted(map(str, set(found) ^ set(packages)))
+        raise ValueError(
+            f"packages of the persona and the preferences differ: {', '.join(other[:10])}"
+        )
+    rows = [found[p] for p in packages]
 
     # Shares of a zero total are null in every column, and so are its scores.
     nothing = f"{sql_name(packages[0])} * 0" if packages else "0"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -38,8 +39,9 @@ class PackageInputs:
     def few_packages(self) -> bool:
         """Whether the package tables, measured together, may be broadcast.
 
-        Everything derived from them (one row per code or per name) is no
-        larger, so this one measurement covers all joins of a product.
+        It covers the joins of the masters with each other, where one row per
+        code or name keeps the masters' own columns. What repeats them, like the
+        labels of every code, is measured where it is broadcast.
         """
         masters = self.masters or (self.old_tariff, self.new_tariff, self.attributes)
         return fits(*masters, limit=self.broadcast_limit)
@@ -50,13 +52,14 @@ class PackageInputs:
 
 def read_inputs(
     spark: SparkSession,
-    transactions: str,
+    transactions: str | Sequence[str],
     old_tariff: str,
     new_tariff: str,
     attributes: str,
     size_labels: tuple[str, ...] = vocab.SIZE_LABELS,
 ) -> PackageInputs:
-    """Inputs from their delimited files."""
+    """Inputs from their delimited files; ``transactions`` may be several, such
+    as one for each month."""
     return PackageInputs(
         readers.read_transactions(spark, transactions),
         readers.read_old_tariff(spark, old_tariff),

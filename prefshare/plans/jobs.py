@@ -25,12 +25,17 @@ from prefshare.operators.scores import (
     tall_scores,
 )
 from prefshare.plans.inputs import PackageInputs, read_inputs
-from prefshare.plans.persona import customer_persona, customer_persona_tall
+from prefshare.operators.encode import column_labels
+from prefshare.plans.persona import (
+    customer_persona,
+    customer_persona_tall,
+    staged_quantities,
+)
 from prefshare.plans.preferences import bought_package_labels, package_preferences
 from prefshare.plans.scores import indexed_scores, raw_range_scores
 from prefshare.plans.session import build_session
 from prefshare.sources import readers, writers
-from prefshare.sources.scratch import stage
+from prefshare.sources.scratch import removed_afterwards, stage
 
 SCORES: dict[str, Buckets] = {
     "duration": DURATION,
@@ -50,24 +55,28 @@ def preprocess(
     out: str,
     mode: str = "errorifexists",
     table_format: str = "csv",
-    shape: str = "wide",
+    shape: str = "tall",
 ) -> None:
     """``package_preferences`` as one file, ``customer_persona`` as many.
 
-    The wide persona has a column per package; the tall one has a row, and the
-    preferences then carry the package name.
+    The tall persona has a row per customer and package, the wide one a column
+    per package; both are matched with the preferences by package name.
     """
-    # Both tables need the bought packages; the purchases are searched once.
-    bought = stage(bought_package_labels(inputs), "bought-packages")
-    tall = shape == "tall"
-    flags = package_preferences(inputs, with_name=tall, bought=bought)
+    # Both tables come from the quantities; the purchases are read once.
+    staged = staged_quantities(inputs)
+    labels = stage(bought_package_labels(inputs, staged.bought), "bought-packages")
+    flags = package_preferences(inputs, with_name=True, bought=labels)
     path = os.path.join(out, "package_preferences")
     if table_format == "parquet":
         writers.write_parquet(flags, path, mode)
     else:
         writers.write_delimited(flags, path, mode=mode, single_file=True)
+    if shape == "tall":
+        persona = customer_persona_tall(inputs, staged)
+    else:
+        persona = customer_persona(inputs, staged, column_labels(labels, "package"))
     writers.write_table(
-        customer_persona_tall(inputs) if tall else customer_persona(inputs, bought),
+        persona,
         os.path.join(out, "customer_persona"),
         table_format,
         mode,
@@ -82,7 +91,7 @@ def score(
     out: str,
     mode: str = "errorifexists",
     table_format: str = "csv",
-    shape: str = "wide",
+    shape: str = "tall",
 ) -> None:
     """One score of the derived tables."""
     scorer = tall_scores if shape == "tall" else project_scores
@@ -112,9 +121,15 @@ def all_scores(
         )
 
 
-def raw_duration(inputs: PackageInputs, out: str, mode: str = "errorifexists") -> None:
+def raw_duration(
+    inputs: PackageInputs,
+    out: str,
+    mode: str = "errorifexists",
+    id_range: tuple[int | None, int | None] = (None, None),
+    excluded: Sequence[str] = (),
+) -> None:
     """Raw-count duration vectors in id order, each with its id."""
-    raw = raw_range_scores(inputs).orderBy("id")
+    raw = raw_range_scores(inputs, id_range=id_range, excluded=excluded).orderBy("id")
     writers.write_vectors(raw, out, "id", DURATION.columns, mode=mode)
 
 
@@ -123,8 +138,13 @@ def _parser() -> argparse.ArgumentParser:
     jobs = parser.add_subparsers(dest="job", required=True)
     for name in ("preprocess", "scores", "raw-duration"):
         job = jobs.add_parser(name)
-        for source in ("transactions", "old-tariff", "new-tariff", "attributes"):
+        job.add_argument("--transactions", required=True, nargs="+")
+        for source in ("old-tariff", "new-tariff", "attributes"):
             job.add_argument(f"--{source}", required=True)
+    raw = jobs.choices["raw-duration"]
+    raw.add_argument("--id-from", type=int)
+    raw.add_argument("--id-to", type=int)
+    raw.add_argument("--exclude", nargs="*", default=())
     job = jobs.add_parser("score")
     job.add_argument("--kind", choices=sorted(SCORES), required=True)
     job.add_argument("--preferences", required=True)
@@ -135,18 +155,25 @@ def _parser() -> argparse.ArgumentParser:
         )
     for name in ("preprocess", "score"):
         jobs.choices[name].add_argument(
-            "--shape", choices=("wide", "tall"), default="wide"
+            "--shape", choices=("wide", "tall"), default="tall"
         )
     for job in jobs.choices.values():
         job.add_argument("--out", required=True)
         job.add_argument("--mode", default="errorifexists")
-        job.add_argument("--shuffle-gb", type=float, default=1.0)
+        job.add_argument("--shuffle-gb", type=float)
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"prefshare-{args.job}", int(args.shuffle_gb * 1024**3))
+    read = [args.persona] if args.job == "score" else args.transactions
+    stated = None if args.shuffle_gb is None else int(args.shuffle_gb * 1024**3)
+    spark = build_session(f"prefshare-{args.job}", read, stated)
+    with removed_afterwards(spark):
+        _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "score":
         score(
             spark,
@@ -169,7 +196,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         size_labels=vocab.OLDER_SIZE_LABELS if older else vocab.SIZE_LABELS,
     )
     if older:
-        raw_duration(inputs, args.out, args.mode)
+        raw_duration(
+            inputs, args.out, args.mode, (args.id_from, args.id_to), args.exclude
+        )
     elif args.job == "scores":
         all_scores(inputs, args.out, args.mode, args.table_format)
     else:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +13,12 @@ from prefshare.operators import names
 from prefshare.operators.encode import column_labels
 from prefshare.operators.index import dense_index
 from prefshare.operators.persona import (
+    all_quantities,
     package_quantities,
     package_shares,
     quantity_totals,
     widen,
+    with_customer,
 )
 from prefshare.plans.inputs import PackageInputs
 from prefshare.plans.preferences import bought_package_labels
@@ -35,50 +40,81 @@ def persona_tall(inputs: PackageInputs) -> DataFrame:
     return package_shares(persona_quantities(inputs), inputs.few_packages)
 
 
-def persona_quantities_wide(inputs: PackageInputs) -> DataFrame:
-    """``analytic_id`` and one quantity column per bought package."""
-    tall = persona_quantities(inputs)
-    bought = names.bought_packages(
-        inputs.transactions, inputs.new_tariff, inputs.hint
-    )
+@dataclass(frozen=True)
+class StagedQuantities:
+    """Quantities per customer and package, written once.
+
+    What else a product needs of the purchases comes from them: the bought
+    packages, which nobody's purchases count for as well, and the customers.
+    """
+
+    rows: DataFrame
+
+    @property
+    def bought(self) -> DataFrame:
+        return self.rows.select("package").distinct()
+
+    @property
+    def tall(self) -> DataFrame:
+        return with_customer(self.rows)
+
+
+def staged_quantities(inputs: PackageInputs) -> StagedQuantities:
+    """The one pass over the purchases."""
+    return StagedQuantities(stage(all_quantities(named_purchases(inputs)), "quantities"))
+
+
+def _wide_source(
+    inputs: PackageInputs, packages: Sequence[str] | None
+) -> tuple[DataFrame, list[str]]:
+    """Tall quantities, and the packages that become columns: those handed in, or
+    the bought ones."""
+    if packages is not None:
+        return persona_quantities(inputs), list(packages)
+    staged = staged_quantities(inputs)
+    return staged.tall, column_labels(staged.bought, "package")
+
+
+def persona_quantities_wide(
+    inputs: PackageInputs, packages: Sequence[str] | None = None
+) -> DataFrame:
+    """``analytic_id`` and one quantity column per bought or given package."""
+    tall, columns = _wide_source(inputs, packages)
     # The tall rows move to their customer before they turn wide.
-    return widen(
-        tall.repartition("analytic_id"),
-        ["analytic_id"],
-        column_labels(bought, "package"),
-        "qty",
-    )
+    return widen(tall.repartition("analytic_id"), ["analytic_id"], columns, "qty")
 
 
-def persona_shares_wide(inputs: PackageInputs) -> DataFrame:
-    """``analytic_id`` and one share column per bought package."""
-    bought = names.bought_packages(
-        inputs.transactions, inputs.new_tariff, inputs.hint
-    )
-    packages = column_labels(bought, "package")
+def persona_shares_wide(
+    inputs: PackageInputs, packages: Sequence[str] | None = None
+) -> DataFrame:
+    """``analytic_id`` and one share column per bought or given package."""
+    tall, columns = _wide_source(inputs, packages)
+    shares = package_shares(tall, inputs.few_packages)
     # Divided after widening, so that a zero total is null in every column.
-    counts = widen(persona_tall(inputs), ["analytic_id", "total"], packages, "qty")
+    counts = widen(shares, ["analytic_id", "total"], columns, "qty")
     return share_columns(counts, "total", keep=["analytic_id"])
 
 
-def numbered_quantities(inputs: PackageInputs) -> DataFrame:
+def numbered_quantities(tall: DataFrame) -> DataFrame:
     """analytic_id, package, qty, total and the customer's dense ``id``.
 
-    The quantities are staged, because the ids need all customers first. These
-    are numbered as narrow rows and meet the tall ones, so no wide row is ever
+    ``tall`` is read twice, because the ids need all customers first. These are
+    numbered as narrow rows and meet the tall ones, so no wide row is ever
     sorted or staged.
     """
-    tall = stage(persona_quantities(inputs), "quantities")
     customers = dense_index(quantity_totals(tall), "analytic_id")
     return tall.join(customers, "analytic_id")
 
 
-def customer_persona_tall(inputs: PackageInputs) -> DataFrame:
+def customer_persona_tall(
+    inputs: PackageInputs, staged: StagedQuantities | None = None
+) -> DataFrame:
     """The persona with one row per customer and package, for any number of them.
 
     Packages without attributes are kept: they are part of the total.
     """
-    return numbered_quantities(inputs).select(
+    staged = staged or staged_quantities(inputs)
+    return numbered_quantities(staged.tall).select(
         "id",
         "analytic_id",
         "package",
@@ -89,15 +125,20 @@ def customer_persona_tall(inputs: PackageInputs) -> DataFrame:
 
 
 def customer_persona(
-    inputs: PackageInputs, bought: DataFrame | None = None
+    inputs: PackageInputs,
+    staged: StagedQuantities | None = None,
+    packages: Sequence[str] | None = None,
 ) -> DataFrame:
     """``id``, ``analytic_id`` and one share column per master package.
 
-    The columns are the bought packages that have attributes, in preference-id
-    order. Purchases of other packages count in the total but get no column.
+    The columns are those given, or the bought packages that have attributes, in
+    preference-id order. Purchases of other packages count in the total but get
+    no column.
     """
-    labels = bought_package_labels(inputs) if bought is None else bought
-    packages = column_labels(labels, "package")
+    staged = staged or staged_quantities(inputs)
+    if packages is None:
+        labels = bought_package_labels(inputs, staged.bought)
+        packages = column_labels(labels, "package")
     keys = ["id", "analytic_id"]
-    counts = widen(numbered_quantities(inputs), [*keys, "total"], packages, "qty")
+    counts = widen(numbered_quantities(staged.tall), [*keys, "total"], packages, "qty")
     return share_columns(counts, "total", keep=keys)

@@ -39,11 +39,15 @@ def package_labels(inputs: PackageInputs) -> DataFrame:
     )
 
 
-def bought_package_labels(inputs: PackageInputs) -> DataFrame:
-    """Labels of the packages somebody bought."""
-    bought = names.bought_packages(
-        inputs.transactions, inputs.new_tariff, inputs.hint
-    )
+def bought_package_labels(
+    inputs: PackageInputs, bought: DataFrame | None = None
+) -> DataFrame:
+    """Labels of the packages somebody bought; ``bought`` takes their names where
+    they are known already."""
+    if bought is None:
+        bought = names.bought_packages(
+            inputs.transactions, inputs.new_tariff, inputs.hint
+        )
     return package_labels(inputs).join(inputs.hint(bought), "package", "left_semi")
 
 

@@ -7,7 +7,6 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefshare.functions.vocab import RAW_SCORE_EXCLUDED, RAW_SCORE_RANGE
 from prefshare.operators import names
 from prefshare.operators.index import dense_index
 from prefshare.operators.ranges import id_between
@@ -17,6 +16,7 @@ from prefshare.operators.scores import (
     bucket_scores,
     bucket_sums,
 )
+from prefshare.operators.sizing import broadcast_if_small
 from prefshare.plans.inputs import PackageInputs
 from prefshare.plans.preferences import package_labels
 
@@ -30,8 +30,10 @@ def labelled_purchases(inputs: PackageInputs) -> DataFrame:
     profile = names.current_names(inputs.new_tariff).join(
         inputs.hint(package_labels(inputs)), "package", "left"
     )
+    # The profile repeats its labels for every code of a package, so it is
+    # measured itself.
     return inputs.transactions.where(F.col("analytic_id").isNotNull()).join(
-        inputs.hint(profile), "package_id"
+        broadcast_if_small(profile, inputs.broadcast_limit), "package_id"
     )
 
 
@@ -53,10 +55,11 @@ def indexed_scores(inputs: PackageInputs, scores: Sequence[Buckets]) -> DataFram
 def raw_range_scores(
     inputs: PackageInputs,
     score: Buckets = DURATION,
-    id_range: tuple[int, int] = RAW_SCORE_RANGE,
-    excluded: Collection[str] = RAW_SCORE_EXCLUDED,
+    id_range: tuple[int | None, int | None] = (None, None),
+    excluded: Collection[str] = (),
 ) -> DataFrame:
-    """Purchase counts, not shares, per bucket for customers of one id range.
+    """Purchase counts, not shares, per bucket; of all customers, or those of the
+    id range the caller gives, and without the packages the caller excludes.
 
     Customers are numbered before packages are excluded: a customer who bought
     nothing else keeps their place.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
@@ -12,22 +12,42 @@ from prefshare.sources import schemas
 from prefshare.sources.schemas import Field
 
 
+def _with_header(spark: SparkSession, path: str | Sequence[str], sep: str) -> DataFrame:
+    """Text columns. A file whose header differs from the first one's ends the
+    read; without the check its columns would be taken by position."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    paths = path if isinstance(path, str) else list(path)
+    return reader.option("sep", sep).csv(paths)
+
+
+def _typed(field: Field) -> Column:
+    text = quoted(field.header)
+    value = text.try_cast(field.type)
+    if field.strict:
+        wrong = F.concat(F.lit(f"{field.header} is no number: "), text)
+        value = F.when(
+            text.isNotNull() & value.isNull(), F.raise_error(wrong).cast(field.type)
+        ).otherwise(value)
+    return value.alias(field.name)
+
+
 def read_delimited(
-    spark: SparkSession, path: str, layout: Sequence[Field], sep: str = ","
+    spark: SparkSession,
+    path: str | Sequence[str],
+    layout: Sequence[Field],
+    sep: str = ",",
 ) -> DataFrame:
-    """Header-named columns of a delimited file or folder, typed by the layout.
+    """Header-named columns of delimited files or folders, typed by the layout.
 
     Columns are found by header, so files may carry more columns or another
-    order. There is no inference pass, and only the listed columns are parsed.
-    Text that is no number becomes null, which no bin rule matches.
+    order than the layout; all files read together have the same header. There
+    is no inference pass. Text that is no number becomes null in an attribute,
+    which no bin rule matches; a quantity that is no number ends the job.
     """
-    raw = spark.read.option("header", True).option("sep", sep).csv(path)
-    return raw.select(
-        [quoted(f.header).try_cast(f.type).alias(f.name) for f in layout]
-    )
+    return _with_header(spark, path, sep).select([_typed(f) for f in layout])
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_delimited(spark, path, schemas.TRANSACTIONS, sep="|")
 
 
@@ -56,7 +76,7 @@ def read_features(
     """
     if table_format == "parquet":
         return read_parquet(spark, path)
-    raw = spark.read.option("header", True).option("sep", "|").csv(path)
+    raw = _with_header(spark, path, "|")
     kinds = {"id": "bigint", **{c: "string" for c in text}}
     return raw.select(
         [quoted(c).try_cast(kinds.get(c, "double")).alias(c) for c in raw.columns]

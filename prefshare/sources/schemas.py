@@ -1,4 +1,7 @@
-"""File layouts: header in the file, name in our frames, type."""
+"""File layouts: header in the file, name in our frames, type.
+
+Quantities are doubles: shares are, and a fractional quantity stays what it is.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +15,8 @@ class Field:
     header: str
     name: str
     type: T.DataType
+    # Text that is no such value ends the job instead of becoming null.
+    strict: bool = False
 
 
 TEXT = T.StringType()
@@ -21,7 +26,7 @@ NUMBER = T.DoubleType()
 TRANSACTIONS = (
     Field("analytic_id", "analytic_id", TEXT),
     Field("package_id", "package_id", TEXT),
-    Field("total_transaction", "total_transaction", NUMBER),
+    Field("total_transaction", "total_transaction", NUMBER, strict=True),
 )
 OLD_TARIFF = (
     Field("Promotion Code", "promotion_code", TEXT),

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
-from prefshare.operators.sizing import fits
 
 
 def write_delimited(
@@ -18,12 +17,9 @@ def write_delimited(
     mode: str = "errorifexists",
     single_file: bool = False,
 ) -> None:
-    """Header CSV folder.
-
-    ``single_file`` is for package-sized tables: a table too large for one
-    writer task is written in parallel all the same.
-    """
-    if single_file and fits(df):
+    """Header CSV folder; with ``single_file`` one part, whatever the size, which
+    is for package-sized tables."""
+    if single_file:
         # A shuffle, not coalesce: the work before it keeps its parallelism.
         df = df.repartition(1)
     df.write.mode(mode).option("sep", sep).option("header", True).csv(path)

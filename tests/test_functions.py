@@ -54,11 +54,9 @@ def test_one_hot_of_discovered_labels(spark):
     assert sorted(tuple(r) for r in flags.collect()) == [(1, 1, 0), (2, 0, 0), (3, 0, 1)]
 
 
-def test_label_columns_are_refused_not_cut(spark):
-    df = spark.range(5).selectExpr("cast(id as string) as v")
-    assert len(column_labels(df, "v", limit=5)) == 5
-    with pytest.raises(ValueError):
-        column_labels(df, "v", limit=4)
+def test_label_columns_are_all_labels(spark):
+    df = spark.range(6_000).selectExpr("lpad(nullif(id, 7), 4, '0') as v")
+    assert column_labels(df, "v") == [f"{i:04}" for i in range(6_000) if i != 7]
 
 
 def test_unsafe_names(spark):

@@ -4,7 +4,11 @@ import pytest
 
 from prefshare.operators.index import dense_index, package_index
 from prefshare.operators.ranges import id_between, id_from, union_ranges
+from prefshare.operators.persona import customer_totals
+from prefshare.plans.persona import customer_persona, named_purchases
+from prefshare.sources.writers import preview
 from tests.conftest import plan_of, rows_of
+from tests.samples import sample_inputs
 
 
 @pytest.mark.parametrize("partitions", ["1", "7"])
@@ -42,6 +46,22 @@ def test_package_index_agrees_with_the_distributed_one(spark):
     assert rows_of(package_index(df, "package", few=False)) == small
 
 
+def test_nobody_has_no_id(spark):
+    """The index, the count and the persona's ids agree where purchases have no
+    customer."""
+    inputs = sample_inputs(spark)
+    named = named_purchases(inputs)
+    totals = customer_totals(named)
+    index = dense_index(totals.select("analytic_id"), "analytic_id")
+    ids = rows_of(index)
+    assert ids == [(0, "c1"), (1, "c2"), (2, "c3"), (3, "c4")]
+    assert totals.count() == 4
+    assert rows_of(customer_persona(inputs).select("id", "analytic_id")) == ids
+    assert rows_of(preview(index, rows=2)) == ids[:2]
+    assert rows_of(union_ranges(index, [0, 2])) == ids
+    assert rows_of(id_between(index, 1, None)) == ids[1:]
+
+
 def test_ranges(spark):
     df = spark.range(10)
     assert rows_of(id_between(df, 2, 4)) == [(2,), (3,), (4,)]

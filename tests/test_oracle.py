@@ -29,6 +29,12 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_twin_can_be_kept_as_a_view(duck, name):
+    duck.execute(f"CREATE VIEW twin_{name} AS {ORACLE[name]}")
+    assert duck.execute(f"SELECT count(*) FROM twin_{name}").fetchone()[0]
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)

@@ -6,8 +6,10 @@ import pytest
 from tests.conftest import SF_DIR, plan_of
 from tests.samples import sample_inputs
 
+from prefshare.catalog.queries import range_union, sparse_matmul
 from prefshare.catalog.tables import purchases, retail_inputs
 from prefshare.operators.scores import DURATION, PRICE, QUOTA, SPEED
+from prefshare.plans import jobs, persona
 from prefshare.plans.persona import (
     customer_persona,
     persona_quantities_wide,
@@ -16,7 +18,8 @@ from prefshare.plans.persona import (
 )
 from prefshare.plans.preferences import package_preferences
 from prefshare.plans.scores import customer_scores
-from prefshare.plans.session import settings_for
+from prefshare.plans.session import listed_bytes, settings_for
+from prefshare.sources import scratch
 
 
 def shuffles(plan: str) -> list[str]:
@@ -57,7 +60,7 @@ def test_shares_use_a_window_only_for_few_packages(spark, no_auto_broadcast):
 
 def test_wide_tables_shuffle_tall_rows_not_wide_ones(spark, no_auto_broadcast):
     for build in (persona_quantities_wide, persona_shares_wide):
-        plan = plan_of(build(sample_inputs(spark)))
+        plan = plan_of(build(sample_inputs(spark), ["A", "B B"]))
         # Once per customer and package, once per customer.
         assert len(on_customer(plan)) == 2
         assert not [s for s in shuffles(plan) if "pivot" in s.lower()]
@@ -82,9 +85,64 @@ def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
-def test_settings_grow_with_the_shuffle():
+def test_only_the_partition_count_grows_with_the_shuffle():
     assert settings_for(0)["spark.sql.shuffle.partitions"] == "8"
     assert settings_for(2**40)["spark.sql.shuffle.partitions"] == "8192"
     large = settings_for(100 * 10**12)
-    assert large["spark.sql.shuffle.partitions"] == "50000"
-    assert large["spark.sql.files.maxPartitionBytes"] == str(2 * 10**9)
+    assert large["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // 2**27))
+    for name in ("files.maxPartitionBytes", "adaptive.advisoryPartitionSizeInBytes"):
+        assert large[f"spark.sql.{name}"] == str(2**27)
+
+
+def test_the_shuffle_is_as_large_as_the_listed_files(spark, tmp_path):
+    for name, size in (("a", 1_000), ("b", 234)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part").write_bytes(b"x" * size)
+    paths = [str(tmp_path / "a"), str(tmp_path / "b" / "part")]
+    assert listed_bytes(spark, paths) == 1_234
+
+
+def test_long_labels_of_many_codes_are_not_broadcast(spark, no_auto_broadcast):
+    """The masters are small, but each code repeats its package's long label."""
+    inputs = sample_inputs(
+        spark,
+        new_tariff=[(f"p{i}", "A") for i in range(400)],
+        old_tariff=[("p1", "old A")],
+        attributes=[("old A", 3.0, 6.0, "x" * 2_000)],
+        broadcast_limit=60_000,
+    )
+    assert inputs.few_packages
+    plan = plan_of(customer_scores(inputs, [DURATION]))
+    assert "SortMergeJoin" in plan
+
+
+def test_purchases_are_read_once(spark, tmp_path, monkeypatch):
+    """Each product stages the quantities and takes the rest from them."""
+    staged = []
+    written = scratch.stage
+
+    def counting(df, label):
+        staged.append(plan_of(df))
+        return written(df, label)
+
+    monkeypatch.setattr(persona, "stage", counting)
+    monkeypatch.setattr(jobs, "stage", counting)
+    inputs = retail_inputs(spark, SF_DIR)
+    last = plan_of(customer_persona(inputs))
+    assert [p.count("lineitem.parquet") for p in staged] == [1]
+    assert "lineitem.parquet" not in last
+    staged.clear()
+    jobs.preprocess(inputs, str(tmp_path / "out"))
+    assert sum(p.count("lineitem.parquet") for p in staged) == 1
+
+
+def test_ranges_are_put_together_in_one_pass(spark):
+    plan = plan_of(range_union(spark, SF_DIR))
+    # The staged index, and its sizes per part.
+    assert plan.count("Scan parquet") <= 4 and "Union" not in plan
+
+
+def test_the_product_shuffles_purchases_once(spark, no_auto_broadcast):
+    plan = plan_of(sparse_matmul(spark, SF_DIR))
+    keys = [s for s in shuffles(plan) if "row" in s or "analytic" in s or "o_custkey" in s]
+    assert len(keys) == 1

@@ -9,7 +9,7 @@ from tests.samples import sample_inputs
 
 from prefshare.operators.matrix import tall_product, to_tall, to_wide
 from prefshare.operators.scores import DURATION, PRICE, QUOTA, SPEED, project_scores
-from prefshare.plans.persona import customer_persona
+from prefshare.plans.persona import customer_persona, customer_persona_tall
 from prefshare.plans.preferences import package_preferences
 from prefshare.plans.scores import customer_scores, indexed_scores, raw_range_scores
 from tests.conftest import rows_of
@@ -55,7 +55,8 @@ def test_ids_follow_the_customers(spark):
 
 def test_raw_counts_of_an_id_range(spark):
     inputs = sample_inputs(spark)
-    assert rows_of(raw_range_scores(inputs, id_range=(0, 1))) == [
+    assert [r[1] for r in rows_of(raw_range_scores(inputs))] == ["c1", "c2", "c3", "c4"]
+    assert rows_of(raw_range_scores(inputs, id_range=(None, 1))) == [
         (0, "c1", 0.0, 2.0, 0.0, 0.0, 3.0),
         (1, "c2", 0.0, 0.0, 0.0, 0.0, 0.0),
     ]
@@ -67,8 +68,13 @@ def test_raw_counts_of_an_id_range(spark):
 def test_wide_tables_score_like_the_purchases(spark):
     inputs = sample_inputs(spark)
     every = [DURATION, PRICE, QUOTA, SPEED]
+    flags = package_preferences(inputs, with_name=True)
     projected = project_scores(
-        customer_persona(inputs), package_preferences(inputs), ["id", "analytic_id"], every
+        # Packages are found by name, in any order.
+        customer_persona(inputs).select("id", "analytic_id", "`B B`", "A"),
+        flags,
+        ["id", "analytic_id"],
+        every,
     )
     want = rows_of(indexed_scores(inputs, every))
     for have, row in zip(rows_of(projected), want, strict=True):
@@ -78,11 +84,23 @@ def test_wide_tables_score_like_the_purchases(spark):
 
 def test_wide_tables_must_match(spark):
     inputs = sample_inputs(spark)
-    persona = customer_persona(inputs).drop("A")
-    with pytest.raises(ValueError):
-        project_scores(
-            persona, package_preferences(inputs), ["id", "analytic_id"], [DURATION]
-        )
+    flags = package_preferences(inputs, with_name=True)
+    persona = customer_persona(inputs)
+    # A package less, and as many packages of another run.
+    for other in (persona.drop("A"), persona.withColumnRenamed("A", "E")):
+        with pytest.raises(ValueError, match="differ: "):
+            project_scores(other, flags, ["id", "analytic_id"], [DURATION])
+
+
+def test_package_names_that_differ_in_case_are_refused_when_wide(spark):
+    inputs = sample_inputs(
+        spark,
+        new_tariff=[("p1", "A"), ("p2", "a")],
+        purchases=[("c", "p1", 1.0), ("c", "p2", 2.0)],
+    )
+    with pytest.raises(ValueError, match="tall shape"):
+        customer_persona(inputs)
+    assert customer_persona_tall(inputs).count() == 2
 
 
 def test_wide_tables_of_many_packages(spark):
@@ -92,7 +110,7 @@ def test_wide_tables_of_many_packages(spark):
         "id bigint, analytic_id string, " + ", ".join(f"`{c}` double" for c in columns),
     )
     flags = spark.range(600).selectExpr(
-        "id", *[f"cast(id % 6 = {i} as int) AS {c}" for i, c in enumerate(DURATION.columns)]
+        "concat('package ', id) as package", *[f"cast(id % 6 = {i} as int) AS {c}" for i, c in enumerate(DURATION.columns)]
     )
     scored = project_scores(persona, flags, ["id", "analytic_id"], [DURATION])
     assert rows_of(scored) == [(0, "c", *[100.0] * 5)]

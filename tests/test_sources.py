@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pytest
 from pyspark.sql.utils import AnalysisException
@@ -58,13 +59,33 @@ def test_existing_output_is_not_overwritten_unasked(spark, tmp_path):
     assert readers.read_parquet(spark, path).count() == 1
 
 
-def test_single_file_only_for_small_tables(spark, tmp_path, monkeypatch):
+def test_single_file_is_what_was_asked_for(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    writers.write_delimited(df, str(tmp_path / "small"), single_file=True)
-    assert len(glob.glob(str(tmp_path / "small/part-*"))) == 1
-    monkeypatch.setattr(writers, "fits", lambda df: sizing.fits(df, limit=10))
-    writers.write_delimited(df, str(tmp_path / "large"), single_file=True)
-    assert len(glob.glob(str(tmp_path / "large/part-*"))) == 4
+    for single, files in ((True, 1), (False, 4)):
+        writers.write_delimited(df, str(tmp_path / str(files)), single_file=single)
+        assert len(glob.glob(str(tmp_path / f"{files}/part-*"))) == files
+
+
+def test_files_with_other_column_orders_are_refused(spark, tmp_path):
+    header = "analytic_id|package_id|total_transaction"
+    one = put(tmp_path / "1.txt", [header, "a|p1|2"])
+    two = put(tmp_path / "2.txt", ["package_id|analytic_id|total_transaction", "p9|z|3"])
+    same = put(tmp_path / "3.txt", [header, "b|p2|4"])
+    assert rows_of(readers.read_transactions(spark, [one, same])) == [
+        ("a", "p1", 2.0), ("b", "p2", 4.0),
+    ]
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_transactions(spark, [one, two]).collect()
+
+
+def test_a_quantity_that_is_no_number_ends_the_read(spark, tmp_path):
+    path = put(
+        tmp_path / "t.txt", ["analytic_id|package_id|total_transaction", "a|p1|1,200", "b|p1|"]
+    )
+    rows = readers.read_transactions(spark, path)
+    with pytest.raises(Exception, match="total_transaction is no number: 1,200"):
+        rows.collect()
+    assert rows_of(rows.where("analytic_id = 'b'")) == [("b", "p1", None)]
 
 
 def test_vectors_keep_their_ids(spark, tmp_path):
@@ -173,11 +194,24 @@ def test_all_scores_job(spark, files, tmp_path):
 def test_raw_vectors_job(spark, files, tmp_path):
     jobs.raw_duration(read_inputs(spark, **files), str(tmp_path / "raw"))
     raw = readers.read_vectors(spark, str(tmp_path / "raw"), DURATION.columns)
-    assert [r[0] for r in rows_of(raw)] == [1, 2, 3]
+    assert [r[0] for r in rows_of(raw)] == [0, 1, 2, 3]
+
+
+def test_raw_vectors_of_a_range_without_a_package(spark, files, tmp_path):
+    out = str(tmp_path / "raw")
+    flags = [f for k, v in files.items() for f in ("--" + k.replace("_", "-"), v)]
+    flags += ["--id-from", "0", "--id-to", "1", "--exclude", "A"]
+    jobs.main(["raw-duration", *flags, "--out", out])
+    rows = rows_of(readers.read_vectors(spark, out, DURATION.columns))
+    assert rows == [(0, 0.0, 0.0, 0.0, 0.0, 3.0), (1, 0.0, 0.0, 0.0, 0.0, 0.0)]
 
 
 def test_command_line(spark, files, tmp_path):
     out = str(tmp_path / "cli")
     flags = [f for k, v in files.items() for f in ("--" + k.replace("_", "-"), v)]
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(scratch))
     jobs.main(["preprocess", *flags, "--out", out])
-    assert readers.read_features(spark, out + "/customer_persona").count() == 4
+    assert set(os.listdir(scratch)) == before
+    tall = readers.read_features(spark, out + "/customer_persona")
+    assert "package" in tall.columns and tall.select("id").distinct().count() == 4
