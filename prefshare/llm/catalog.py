@@ -20,6 +20,7 @@ from prefshare.llm import (
     pii,
     sharding,
 )
+from prefshare.llm.oracle import ORACLE
 from prefshare.llm.tokens import default_tokenizer
 from prefshare.sources.scratch import scratch_path
 
@@ -30,6 +31,8 @@ MIX_WEIGHTS = {"src0": 20} | {f"src{i}": 4 for i in range(1, 20)}
 MIX_REST = 4
 SHARDS = 8
 
+__all__ = ["ORACLE", "QUERIES"]
+
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
@@ -128,6 +131,3 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
-
-
-ORACLE: dict[str, str] = {}

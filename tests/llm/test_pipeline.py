@@ -1,8 +1,12 @@
 """The stages on a small table, and the registration of the queries."""
 
+import duckdb
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
-from prefshare.llm import catalog, mixing, pii
+from prefshare.llm import catalog, mixing
+from prefshare.sources.scratch import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -33,8 +37,6 @@ def test_each_stage_takes_effect(spark):
 def test_mix_decides_the_order_of_the_sequences(spark):
     """The last stage numbers its sequences by the order the mix was written in."""
     docs = catalog.table(spark, SF_DIR, "documents")
-    from prefshare.sources.scratch import stage
-
     mixed = stage(corpus_pipeline.mix_sources(spark, docs, SF_DIR), "mixed")
     place = {
         r.doc_id: r.mix_position
@@ -56,4 +58,18 @@ def test_pipeline_on_the_tables(spark):
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
-    assert "pipeline" in names and len(pii.KINDS) == 4
+    assert "pipeline" in names and set(catalog.ORACLE) <= names
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
+def test_query_equals_sql(spark, name):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    connection.execute(f"CREATE VIEW twin AS {catalog.ORACLE[name]}")
+    result = connection.execute("SELECT * FROM twin")
+    want = result.fetchall()
+    df = catalog.QUERIES[name](spark, SF_DIR)
+    columns = [c[0] for c in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and got
