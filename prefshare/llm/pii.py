@@ -30,6 +30,7 @@ NONE = len(KINDS)
 FIT_DOCUMENTS = 2_000
 FIT_CHARS = 20_000
 FIT_STEPS = 300
+HASHES = 1 << 40
 BP_ROUNDS = 10
 # A token beyond the patterns needs this marginal probability.
 ADDED = 0.95
@@ -285,12 +286,16 @@ def fit_field(
     docs: DataFrame, text: str = "text", documents: int = FIT_DOCUMENTS
 ) -> Field:
     """A field fitted to a bounded sample of texts that hold a digit or at sign:
-    at most ``documents`` of them, the first in a hashed order, of at most
-    ``FIT_CHARS`` characters."""
+    about ``documents`` of them, those of the smallest hashes, of at most
+    ``FIT_CHARS`` characters. Copies of a text are sampled as one."""
     whole = quoted(text)
     some = docs.filter(whole.rlike("[0-9@]") & (F.length(whole) <= FIT_CHARS))
-    rows = some.select(whole.alias("t")).orderBy(F.xxhash64("t"), "t").limit(documents)
-    return Field.fit(r["t"] for r in rows.collect())
+    rows = some.select(whole.alias("t"), F.pmod(F.xxhash64("t"), F.lit(HASHES)).alias("h"))
+    # Texts are as many as their hashes, near enough.
+    count = rows.agg(F.approx_count_distinct("h")).first()[0]
+    share = HASHES if count <= documents else HASHES * documents // count
+    sample = rows.filter(F.col("h") < share).select("t").distinct().orderBy("t")
+    return Field.fit(r["t"] for r in sample.collect())
 
 
 def written(spans: list[Span]) -> str:
