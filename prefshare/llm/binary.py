@@ -160,12 +160,18 @@ def write_tokens(
     """Encode every whole text, in ascending order of doc_id, into segment rows.
 
     A null text is empty and holds the end id only; null doc_ids come first.
-    Repeated doc_ids are kept, in the order of their texts. Columns other than
+    Repeated doc_ids are kept, in the order of a hash of their texts. Columns other than
     the two are not read. An empty table gives an empty data set.
     """
-    rows = docs.select(quoted(doc).alias("_doc"), quoted(text).alias("_text"))
-    rows = rows.repartitionByRange("_doc", "_text").sortWithinPartitions("_doc", "_text")
-    rows.mapInArrow(_segments(tokenizer, end_id, segment_tokens), SCHEMA).write.parquet(
+    # Range edges are sampled from the order's columns: a hash, not the texts.
+    rows = docs.select(
+        quoted(doc).alias("_doc"),
+        F.xxhash64(quoted(text)).alias("_hash"),
+        quoted(text).alias("_text"),
+    )
+    order = ("_doc", "_hash", "_text")
+    rows = rows.repartitionByRange("_doc", "_hash").sortWithinPartitions(*order)
+    rows.select("_doc", "_text").mapInArrow(_segments(tokenizer, end_id, segment_tokens), SCHEMA).write.parquet(
         target
     )
 
