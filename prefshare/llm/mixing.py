@@ -157,25 +157,26 @@ def mix(
     sizes = rows.groupBy(quoted(stream)).agg(F.count(F.lit(1)).alias("rows"))
     sizes = sizes.select(quoted(stream).alias("stream"), weight.alias("weight"), "rows")
     plan = _schedules(sizes, block_rows)
-    plan = plan.select(F.struct(*plan.columns).alias("_plan"))
+    own = fresh_name(df, "_plan")
+    plan = plan.select(F.struct(*plan.columns).alias(own))
     ranked = group_ranks(rows, [stream], [quoted(c) for c in order], rank, rows.count())
     block = F.expr(f"`{rank}` div {block_rows}")
     slot = F.expr(
-        "_plan.base + (mix_block div _plan.weight - _plan.from_round) * _plan.slots"
-        " + _plan.places[cast(mix_block % _plan.weight as int)]"
+        f"{own}.base + (mix_block div {own}.weight - {own}.from_round) * {own}.slots"
+        f" + {own}.places[cast(mix_block % {own}.weight as int)]"
     )
     # Blocks before are full, but for the last ones of sources that have ended.
     position = F.expr(
         f"mix_slot * {block_rows} + `{rank}` % {block_rows}"
-        " - aggregate(_plan.late, 0L, (a, x) -> a + if(x.slot < mix_slot, x.lack, 0L))"
+        f" - aggregate({own}.late, 0L, (a, x) -> a + if(x.slot < mix_slot, x.lack, 0L))"
     )
     return (
         ranked.withColumn("mix_block", block)
         .join(
             F.broadcast(plan),
-            (quoted(stream) == F.col("_plan.stream"))
-            & (F.expr("mix_block div _plan.weight >= _plan.from_round"))
-            & (F.expr("mix_block div _plan.weight < _plan.to_round")),
+            (quoted(stream) == F.col(f"{own}.stream"))
+            & (F.expr(f"mix_block div {own}.weight >= {own}.from_round"))
+            & (F.expr(f"mix_block div {own}.weight < {own}.to_round")),
         )
         .withColumn("mix_slot", slot)
         .withColumn("mix_position", position)

@@ -30,7 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
-from prefshare.llm.common import components, join_small, rechunked, text_column
+from prefshare.llm.common import (
+    components,
+    fresh_name,
+    join_small,
+    rechunked,
+    text_column,
+)
 from prefshare.llm.words import mixed, words_of
 from prefshare.operators.sizing import broadcast_if_small
 from prefshare.sources.scratch import stage
@@ -486,19 +492,20 @@ def one_of_each_group(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     nothing, unchanged. Of rows that repeat a doc_id the one with the smallest
     text stays. Rows without doc_id all stay."""
     found = near_documents(docs, doc, text)
+    own, many, row = (fresh_name(docs, c) for c in ("_kept", "_many", "_row"))
     kept = (
         found.filter("doc_id = component_id")
-        .groupBy(F.col("doc_id").alias("_kept"))
-        .agg((F.count(F.lit(1)) > 1).alias("_many"))
+        .groupBy(F.col("doc_id").alias(own))
+        .agg((F.count(F.lit(1)) > 1).alias(many))
     )
     # The join is on a narrow table, sent to the tasks if it measures small.
-    rows = docs.join(broadcast_if_small(kept), quoted(doc) == F.col("_kept"))
-    first = Window.partitionBy("_kept").orderBy(quoted(text))
-    many = rows.filter("_many").withColumn("_row", F.row_number().over(first))
+    rows = docs.join(broadcast_if_small(kept), quoted(doc) == F.col(own))
+    first = Window.partitionBy(own).orderBy(quoted(text))
+    repeated = rows.filter(F.col(many)).withColumn(row, F.row_number().over(first))
     columns = [quoted(c) for c in docs.columns]
     return (
-        rows.filter("not _many")
+        rows.filter(~F.col(many))
         .select(*columns)
-        .unionAll(many.filter("_row = 1").select(*columns))
+        .unionAll(repeated.filter(F.col(row) == 1).select(*columns))
         .unionAll(docs.filter(quoted(doc).isNull()))
     )

@@ -136,13 +136,15 @@ def token_pieces(
     capacity: int = CAPACITY,
     doc: str = "doc_id",
     text: str = "text",
+    placed: bool = False,
 ) -> DataFrame:
     """One row for each piece of a document's ids, the end id included; only
-    documents longer than the capacity have more than one. The columns that
-    ``in_file_order`` adds are kept."""
-    placed = [c for c in PLACE if c in docs.columns]
+    documents longer than the capacity have more than one. With ``placed`` the
+    columns that ``in_file_order`` adds are kept."""
     rows = docs.select(
-        quoted(doc).cast("bigint").alias("_doc"), *placed, quoted(text).alias("_text")
+        quoted(doc).cast("bigint").alias("_doc"),
+        *(PLACE if placed else ()),
+        quoted(text).alias("_text"),
     )
     schema = PIECES + (", _file string, _row bigint" if placed else "")
     return rows.mapInArrow(_cut(tokenizer, end_id, capacity), schema)
@@ -235,8 +237,10 @@ def pack_documents(
     from files, sequences are numbered in the order in which the documents of
     their first pieces stand there.
     """
-    placed = in_file_order(docs) if file_order else None
-    rows = docs if placed is None else placed
-    pieces = stage(token_pieces(rows, tokenizer, end_id, capacity), "pieces")
-    packed = pack(pieces, capacity)
-    return packed if placed is None else numbered_in_order(packed)
+    rows = in_file_order(docs) if file_order else None
+    placed = rows is not None
+    pieces = token_pieces(
+        rows if placed else docs, tokenizer, end_id, capacity, placed=placed
+    )
+    packed = pack(stage(pieces, "pieces"), capacity)
+    return numbered_in_order(packed) if placed else packed

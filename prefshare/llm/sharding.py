@@ -28,7 +28,9 @@ def assign_shards(
     table gives no rows.
     """
     columns = [c for c in df.columns if c.casefold() not in ("shard", "slot")]
-    part, row, upto = (fresh_name(df, c) for c in ("_part", "_row", "_upto"))
+    part, row, upto, base, first = (
+        fresh_name(df, c) for c in ("_part", "_row", "_upto", "_base", "_first")
+    )
     keys = [quoted(c) for c in order]
     placed = stage(
         df.select(*map(quoted, columns))
@@ -43,9 +45,11 @@ def assign_shards(
     whole = Window.partitionBy()
     bases = totals.select(
         quoted(part),
-        F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_byte_base"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_base"),
-        F.sum("_bytes").over(whole).alias("_all"),
+        F.struct(
+            F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("rows"),
+            F.sum("_bytes").over(whole).alias("all"),
+        ).alias(base),
     )
     inside = Window.partitionBy(quoted(part)).orderBy(*keys)
     summed = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -53,20 +57,20 @@ def assign_shards(
     joined = placed.withColumns(
         {upto: F.sum(quoted(size)).over(summed), row: F.row_number().over(inside) - 1}
     ).join(F.broadcast(bases), part)
-    doubled = 2 * (F.col("_byte_base") + quoted(upto)) - quoted(size)
+    doubled = 2 * (F.col(f"{base}.bytes") + quoted(upto)) - quoted(size)
     # Whole numbers throughout; the middle of a row is always inside the total.
-    cut = F.call_function("div", doubled * shards, 2 * F.col("_all")).cast("int")
+    cut = F.call_function("div", doubled * shards, 2 * F.col(f"{base}.all")).cast("int")
     numbered = joined.select(
         *map(quoted, columns),
         cut.alias("shard"),
-        (F.col("_row_base") + quoted(row)).cast("bigint").alias(row),
+        (F.col(f"{base}.rows") + quoted(row)).cast("bigint").alias(row),
     )
     # One row for each shard.
-    firsts = numbered.groupBy("shard").agg(F.min(quoted(row)).alias("_first"))
+    firsts = numbered.groupBy("shard").agg(F.min(quoted(row)).alias(first))
     return numbered.join(F.broadcast(firsts), "shard").select(
         *map(quoted, columns),
         "shard",
-        (quoted(row) - F.col("_first")).cast("bigint").alias("slot"),
+        (quoted(row) - F.col(first)).cast("bigint").alias("slot"),
     )
 
 

@@ -28,7 +28,7 @@ def schedule(blocks, weights):
     return out
 
 
-SCHEMA = "doc_id long, source string, text string, mix_slot string, _rank string, _stream int"
+SCHEMA = "doc_id long, source string, text string, mix_slot string, _rank string, _plan int"
 
 
 def sources(spark, n):
@@ -47,7 +47,7 @@ def sources(spark, n):
 def test_mix_is_the_earliest_deadline_schedule(spark, block, weights, rest):
     mixed = mixing.mix(sources(spark, 900), weights, rest, block_rows=block)
     assert mixed.columns == [
-        "doc_id", "source", "text", "_rank", "_stream", "mix_block", "mix_slot", "mix_position",
+        "doc_id", "source", "text", "_rank", "_plan", "mix_block", "mix_slot", "mix_position",
     ]
     rows = sorted(mixed.collect(), key=lambda r: r.mix_position)
     assert [r.mix_position for r in rows] == list(range(900))
@@ -117,6 +117,16 @@ def test_shards_are_contiguous_and_near_equal(spark):
         assert abs(sum(r.size for r in own) - total / 8) <= largest
 
 
+def test_shards_keep_columns_of_clashing_names(spark):
+    rows = [(i, 10, "p", "b", "f") for i in range(16)]
+    df = spark.createDataFrame(rows, "id long, size long, _part string, _base string, _first string")
+    got = sharding.assign_shards(df, ["id"], "size", 8)
+    assert got.columns == [*df.columns, "shard", "slot"]
+    assert sorted((r.id, r.shard, r.slot, r._base) for r in got.collect()) == [
+        (i, i // 2, i % 2, "b") for i in range(16)
+    ]
+
+
 def test_shards_of_few_rows(spark):
     docs = spark.createDataFrame([(None, "a"), (1, None)], "doc_id long, text string")
     cut = sharding.assign_shards(sharding.document_sizes(docs), ["doc_id", "text_crc32"], "size", 8)

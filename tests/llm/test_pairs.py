@@ -108,7 +108,7 @@ def test_near_documents_lose_no_link(spark, monkeypatch, seed, frequent):
     texts = near_texts(seed)
     ids = [i * 7 % 10_007 for i in range(len(texts))]
     rows = [(i, t, 1, "g") for i, t in zip(ids, texts, strict=True)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, key int, grp string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept int, grp string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_documents(docs.repartition(5)).collect()}
     sets = word_sets(texts)
     links = [(ids[a], ids[b]) for a, b in similar(sets)]

@@ -16,7 +16,7 @@ def test_each_stage_takes_effect(spark):
     rows += [(100 + i, rows[0][1], "en", "src0", 1) for i in range(5)]
     rows += [(200, "12 34", None, None, 5), (201, None, "de", "src1", 0)]
     rows += [(202, "write to ab.12@mail.example.com about the dog that ran away", "en", "src2", 9)]
-    docs = spark.createDataFrame(rows, catalog.SCHEMAS["documents"])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
     left = docs

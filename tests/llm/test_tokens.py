@@ -22,7 +22,7 @@ ODD = [
     "ΣΑΣ Σ", "a. b, c.d ,", "».", " é. É,", "...", "a " * 5000, "ab" * 3000, "日本 語",
 ]
 DOCS = (
-    "doc_id bigint, text string, start string, _doc int, _text string, N_Tokens int, "
+    "doc_id bigint, text string, start string, _row int, _text string, N_Tokens int, "
     "piece string, sequence_id string, _rank string, length string"
 )
 
