@@ -31,6 +31,26 @@ def measured_bytes(*frames: DataFrame) -> int:
     return sum(r[0] or 0 for r in reduce(DataFrame.unionAll, sizes).collect())
 
 
+def repeated_bytes(rows: DataFrame, values: DataFrame) -> int:
+    """A bound for a join that gives each row one of the values: the rows' payload
+    and, for each, the longest text of every text column. Measured in one job,
+    without the join."""
+    texts = [f.name for f in values.schema.fields if isinstance(f.dataType, T.StringType)]
+    longest = sum(
+        (F.coalesce(F.max(F.octet_length(quoted(c))), F.lit(0)) for c in texts), F.lit(0)
+    )
+    longest = (longest + 8 * len(values.columns)).cast("bigint")
+    own = rows.agg(F.sum(_row_bytes(rows)).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    each = values.agg(longest.alias("bytes"), F.lit(None).cast("bigint").alias("rows"))
+    size, count, value = 0, 0, 0
+    for row in own.unionAll(each).collect():
+        if row["rows"] is None:
+            value = row["bytes"]
+        else:
+            size, count = row["bytes"] or 0, row["rows"]
+    return size + count * value
+
+
 def fits(*frames: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(*frames) <= limit
 

@@ -16,9 +16,9 @@ from prefshare.operators.scores import (
     bucket_scores,
     bucket_sums,
 )
-from prefshare.operators.sizing import broadcast_if_small
+from prefshare.operators.sizing import repeated_bytes
 from prefshare.plans.inputs import PackageInputs
-from prefshare.plans.preferences import package_labels
+from prefshare.plans.preferences import binned_attributes, package_labels
 
 
 def labelled_purchases(inputs: PackageInputs) -> DataFrame:
@@ -27,13 +27,15 @@ def labelled_purchases(inputs: PackageInputs) -> DataFrame:
     The package tables are joined with each other first, so the purchases meet
     a single table, in a single join.
     """
-    profile = names.current_names(inputs.new_tariff).join(
-        inputs.hint(package_labels(inputs)), "package", "left"
-    )
-    # The profile repeats its labels for every code of a package, so it is
-    # measured itself.
+    codes = names.current_names(inputs.new_tariff)
+    profile = codes.join(inputs.hint(package_labels(inputs)), "package", "left")
+    # The profile repeats its labels for every code of a package, so it may be
+    # larger than the masters it is made of.
+    most = repeated_bytes(codes, binned_attributes(inputs).drop("package_name"))
+    if most <= inputs.broadcast_limit:
+        profile = F.broadcast(profile)
     return inputs.transactions.where(F.col("analytic_id").isNotNull()).join(
-        broadcast_if_small(profile, inputs.broadcast_limit), "package_id"
+        profile, "package_id"
     )
 
 

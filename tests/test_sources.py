@@ -106,6 +106,15 @@ def test_measured_bytes_grow_with_text(spark):
     assert not sizing.fits(long, limit=5_000)
 
 
+def test_repeated_bytes_bound_the_join(spark):
+    codes = spark.createDataFrame([(f"p{i}", "A") for i in range(10)], "code string, name string")
+    labels = spark.createDataFrame([("A", "x" * 90), ("B", "x")], "name string, label string")
+    joined = codes.join(labels, "name")
+    most = sizing.repeated_bytes(codes, labels.drop("name"))
+    assert sizing.measured_bytes(joined) == most == 10 * (16 + 16 + 3 + 8 + 90)
+    assert sizing.repeated_bytes(codes.limit(0), labels) == 0
+
+
 class Session:
     """A session stand-in with a given master and settings."""
 
