@@ -385,6 +385,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _most_frequent(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and their df, by token: the highest classes of df that together hold
+    at most MOST_FREQUENT tokens. Classes are counted first, so that no more rows
+    than that leave the tasks."""
+    level = F.floor(8 * F.log2("df"))
+    classes = tokens.groupBy(level.alias("level")).count().collect()
+    least, total = 0, sum(r["count"] for r in classes)
+    for row in sorted(classes):
+        if total <= MOST_FREQUENT:
+            break
+        total -= row["count"]
+        least = row["level"] + 1
+    rows = tokens.filter(level >= least).toPandas().sort_values("token")
+    return rows["token"].to_numpy(np.int64), rows["df"].to_numpy(np.int64)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
@@ -429,16 +445,11 @@ def near_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         .applyInArrow(_enough, "key bigint"),
         "similar-classes",
     )
-    often = (
+    frequent, df = _most_frequent(
         counted.filter("bucket is null")
         .select("packed")
         .mapInArrow(_unfold_frequent, "token bigint, df bigint")
-        .orderBy(F.desc("df"), "token")
-        .limit(MOST_FREQUENT)
-        .toPandas()
-        .sort_values("token")
     )
-    frequent, df = often["token"].to_numpy(), often["df"].to_numpy()
     # One document stands for a class.
     chosen = named.groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(similar, "key")
     sets = stage(
