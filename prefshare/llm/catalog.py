@@ -33,15 +33,8 @@ SHARDS = 8
 
 __all__ = ["ORACLE", "QUERIES"]
 
-SCHEMAS = {
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-    "pages": "page_id bigint, url string, html string",
-    "embeddings": "vec_id bigint, embedding array<float>, label int",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def importable(spark: SparkSession) -> None:
