@@ -30,6 +30,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 MIX_WEIGHTS = {"src0": 20} | {f"src{i}": 4 for i in range(1, 20)}
 MIX_REST = 4
 SHARDS = 8
+ARROW_ROWS = 1_000
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -38,7 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def importable(spark: SparkSession) -> None:
-    """Let the Python workers of this machine import the package."""
+    """Let the Python workers of this machine import the package, and hand them
+    texts in batches that stay small when the texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(

@@ -52,7 +52,7 @@ HINTS = frozenset(
     "toolbar widget".split()
 )
 SMOOTH = 2.0
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 @dataclass

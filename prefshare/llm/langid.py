@@ -24,14 +24,16 @@ from prefshare.llm.words import words_of
 
 UNDETERMINED = "und"
 # Documents of the fit for each language, about; characters it tells apart.
-FIT_DOCUMENTS = 600
+FIT_DOCUMENTS = 400
 ALPHABET = 500
 EM_ROUNDS = 4
+# Words whose segmentations are held at once.
+FIT_ROWS = 4096
 # Weight added to every piece's expected count; probability of any other character.
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
 LONGEST_PIECE = 16
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 CHUNK_BYTES = 4 << 20
 START = "▁"
 
@@ -186,7 +188,9 @@ class Model:
         for _ in range(rounds):
             expected = np.zeros_like(chances)
             for rows, codes in groups:
-                _expect(trie, chances, codes, amount[rows], expected)
+                for at in range(0, len(rows), FIT_ROWS):
+                    some = slice(at, at + FIT_ROWS)
+                    _expect(trie, chances, codes[some], amount[rows[some]], expected)
             expected = expected[:-1] + SMOOTHING
             chances[:-1] = (1 - UNKNOWN) * expected / expected.sum(axis=0)
         return Model(tuple(languages), alphabet, tuple(pieces), chances)
@@ -228,7 +232,7 @@ class Scorer:
         self.trie = Trie(list(model.pieces), model.alphabet)
         self.known = np.zeros(0, np.uint64)
         # Log likelihoods, and whether the word has a letter.
-        self.values = np.zeros((0, len(model.languages) + 1))
+        self.values = np.zeros((0, len(model.languages) + 1), np.float32)
 
     def _new(self, words: list[str]) -> np.ndarray:
         runs, owner = [], []
@@ -243,7 +247,8 @@ class Scorer:
                 scores[rows] = forward(self.trie, self.model.chances, codes)
             np.add.at(out[:, :-1], owner, scores)
         out[owner, -1] = 1
-        return out
+        # As they are kept, so that a score does not depend on what was met before.
+        return out.astype(np.float32)
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """Sums of the words' values for each text."""
@@ -256,7 +261,7 @@ class Scorer:
         )
         at = np.minimum(np.searchsorted(self.known, found), max(len(self.known) - 1, 0))
         hit = self.known[at] == found if len(self.known) else np.zeros(len(found), bool)
-        values = np.zeros((len(found), width))
+        values = np.zeros((len(found), width), np.float32)
         values[hit] = self.values[at[hit]]
         if not hit.all():
             new = np.flatnonzero(~hit)
@@ -267,7 +272,7 @@ class Scorer:
                 self.known = known[order]
                 self.values = np.concatenate([self.values, values[new]])[order]
         sums = np.zeros((len(where) + 1, width))
-        np.cumsum(values[where], axis=0, out=sums[1:])
+        np.cumsum(values[where], axis=0, dtype=np.float64, out=sums[1:])
         return sums[words.bounds[1:]] - sums[words.bounds[:-1]]
 
 
@@ -341,10 +346,9 @@ def fit_model(
 
     some = rows.filter(F.col("h") < share * 1_000_003).select("lang", "text")
     counted = some.mapInArrow(count, "lang string, run string, n bigint")
-    totals = counted.groupBy("lang", "run").agg(F.sum("n").alias("n")).collect()
-    return Model.fit(
-        [(r["lang"], r["run"], r["n"]) for r in totals], vocabulary_pieces(vocabulary)
-    )
+    totals = counted.groupBy("lang", "run").agg(F.sum("n").alias("n")).toArrow()
+    counts = zip(*(totals[c].to_pylist() for c in ("lang", "run", "n")), strict=True)
+    return Model.fit(list(counts), vocabulary_pieces(vocabulary))
 
 
 def identify(

@@ -44,9 +44,9 @@ from prefshare.sources.scratch import stage
 WORDS = 5
 # Jaccard index of at least PARTS / 100.
 PARTS = 75
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 # Tokens of a bucket, about: what one reduce task holds.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 LEAST_BUCKETS = 16
 # A token in more classes than this is frequent; so many of the most frequent ones
 # are told to the tasks. Both only order the tokens: any order gives all links.

@@ -34,7 +34,7 @@ HASHES = 1 << 40
 BP_ROUNDS = 10
 # A token beyond the patterns needs this marginal probability.
 ADDED = 0.95
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 _DIGIT = re.compile("[0-9]")
 _MARK = re.compile("[0-9@]")

@@ -13,7 +13,7 @@ from prefshare.llm.common import ragged
 from prefshare.llm.words import words_of
 
 # Words whose ids a Python worker keeps; others are encoded again when met.
-KEPT_WORDS = 1_200_000
+KEPT_WORDS = 600_000
 # Words that go to the library in one text.
 JOINED = 256
 # Letters of which a run is one unit of the tokenizer's own splitting.
