@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,7 @@ def group_ranks(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str, rows: int
 ) -> DataFrame:
     """Gapless 0-based ranks within each key, without a task that sees a whole key.
+    Keys are not null.
 
     The rows of a key are dealt into hashed buckets; a row's rank is its place in
     the bucket plus the sizes of the key's buckets before. Places come from a
@@ -52,13 +52,13 @@ def group_ranks(
     )
     place = Window.partitionBy(*map(quoted, both)).orderBy(*order)
     placed = dealt.withColumn(rank, (F.row_number().over(place) - 1).cast("bigint"))
-    # A null key is a key like any other.
+    # Plain equality, so that the join takes the rows as the window left them.
     theirs = [fresh_name(placed, f"_key{i}") for i in range(len(both))]
     starts = starts.select(
         *[quoted(k).alias(t) for k, t in zip(both, theirs, strict=True)], quoted(start)
     )
-    equal = [quoted(k).eqNullSafe(F.col(t)) for k, t in zip(both, theirs, strict=True)]
-    return placed.join(starts, reduce(lambda a, b: a & b, equal)).select(
+    equal = [quoted(k) == F.col(t) for k, t in zip(both, theirs, strict=True)]
+    return placed.join(starts, equal).select(
         *map(quoted, df.columns),
         (quoted(rank) + quoted(start)).cast("bigint").alias(rank),
     )
