@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefshare.functions.flags import quoted
 from prefshare.llm.common import components, join_small
@@ -45,7 +46,7 @@ class Tables:
     probes: int
 
     @staticmethod
-    def sized(rows: int, dimension: int, miss: float = 0.003) -> Tables:
+    def sized(rows: int, dimension: int, miss: float = 0.01) -> Tables:
         """Keys so many that a bucket holds few unrelated vectors, and tables so
         many that a pair at the threshold is missed with about that chance. 0.7 is
         the measured chance, with probes, that two vectors of cosine 0.9 share an
@@ -106,7 +107,7 @@ def keys_of(x: np.ndarray, shape: Tables) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _sign(shape: Tables):
+def _sign(shape: Tables, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps, weights, lists = (batch.column(i) for i in range(3))
@@ -121,7 +122,7 @@ def _sign(shape: Tables):
                     [
                         reps.take(pa.array(rows)),
                         weights.take(pa.array(rows)),
-                        pa.array([vectors[i].tobytes() for i in rows], pa.binary()),
+                        pa.array([vectors[i].astype(kind).tobytes() for i in rows], pa.binary()),
                         pa.array(list(keys), pa.list_(pa.int64())),
                     ],
                     ["rep", "weight", "vector", "keys"],
@@ -142,9 +143,11 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _compare(group: dict, shape: Tables, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _compare(
+    group: dict, shape: Tables, least: float, kind: type
+) -> tuple[np.ndarray, np.ndarray]:
     """Rows (a, n) of link counts and (a, b) of stars of one group."""
-    x = unit_rows([np.frombuffer(v, np.float64) for v in group["vector"]])
+    x = unit_rows([np.frombuffer(v, kind) for v in group["vector"]])
     near = x @ x.T >= least
     np.fill_diagonal(near, False)
     lo, hi = group["pair"]
@@ -179,7 +182,7 @@ def _compare(group: dict, shape: Tables, least: float) -> tuple[np.ndarray, np.n
     )
 
 
-def _meet(shape: Tables, least: float):
+def _meet(shape: Tables, least: float, kind: type):
     names = ["key", "lo", "hi"]
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -203,7 +206,7 @@ def _meet(shape: Tables, least: float):
             group = {c: table[c].to_pylist() for c in ("vector", "rep", "weight", "keys", "block")}
             group["key"] = table["key"][0].as_py()
             group["pair"] = table["lo"][0].as_py(), table["hi"][0].as_py()
-            counts, stars = _compare(group, shape, least)
+            counts, stars = _compare(group, shape, least, kind)
             if len(counts) or len(stars):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -231,6 +234,9 @@ def near_vectors(
     lengths. Repeated rows are vectors of their own, linked with each other.
     Other columns are not read. An empty table gives no rows.
     """
+    # Components travel as they are stored and are compared as doubles.
+    stored = df.select(quoted(embedding)).schema[0].dataType.elementType
+    kind = np.float32 if isinstance(stored, T.FloatType) else np.float64
     value = F.transform(quoted(embedding), lambda x: x.cast("double"))
     rows = df.select(quoted(vec).cast("bigint").alias("vec_id"), value.alias("v"))
     good = (
@@ -261,7 +267,7 @@ def near_vectors(
     size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     shape = shape or Tables.sized(size["n"], size["d"] or 2)
     signed = stage(
-        classes.select("rep", "weight", "v").mapInArrow(_sign(shape), SIGNATURE),
+        classes.select("rep", "weight", "v").mapInArrow(_sign(shape, kind), SIGNATURE),
         "vector-keys",
     )
     met = signed.select("*", F.explode(F.array_distinct("keys")).alias("key"))
@@ -285,7 +291,7 @@ def near_vectors(
         "keys",
     )
     together = placed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    found = stage(together.mapInArrow(_meet(shape, least), FOUND), "vector-links")
+    found = stage(together.mapInArrow(_meet(shape, least, kind), FOUND), "vector-links")
     links = found.filter("n is not null").groupBy("a").agg(F.sum("n").alias("links"))
     joined = components(found.filter("b is not null").select("a", "b"), "vector-components")
     by_class = (
