@@ -115,7 +115,9 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return fingerprint.fingerprint_documents(
+        table(spark, sf_dir, "documents"), whole_terms=True
+    )
 
 
 @query

@@ -1,7 +1,8 @@
 """Document fingerprints by I-Match over randomised lexicons.
 
 A term (a run of letters or digits, in lower case) belongs to the lexicon if its
-inverse document frequency ln(N / df) lies in a band. A document's distinct
+inverse document frequency ln(N / df) lies in a band; both are counted over
+distinct texts, so that copies do not make their terms common. A document's distinct
 lexicon terms, sorted, are hashed once for each of several random subsets of the
 lexicon. Subsets come in levels that keep ever fewer terms, one in 2**level, so
 that short documents have terms in the dense ones and an edit of a long document
@@ -38,10 +39,16 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(texts: DataFrame, text: str, band: tuple[float, float] = IDF_BAND) -> DataFrame:
-    """Rows (term) of the terms within the band, over all rows of the table."""
-    rows = texts.count()
-    counts = texts.select(F.explode(terms(quoted(text))).alias("term")).groupBy("term")
-    idf = F.log(F.lit(float(max(rows, 1))) / F.col("df"))
+    """Rows (term) of the terms within the band, over the distinct texts of the table."""
+    hashed = texts.select(F.xxhash64(quoted(text)).alias("h"), quoted(text).alias("t"))
+    sizes = stage(hashed.groupBy("h").count(), "text-copies")
+    repeated = stage(sizes.filter("count > 1").select("h"), "repeated-texts")
+    # Only texts that repeat are gathered, after their copies are combined in the tasks.
+    once = join_small(hashed, repeated, ["h"], "left_anti").select("t")
+    copied = join_small(hashed, repeated, ["h"], "left_semi")
+    distinct = once.unionAll(copied.groupBy("h").agg(F.first("t").alias("t")).select("t"))
+    counts = distinct.select(F.explode(terms(F.col("t"))).alias("term")).groupBy("term")
+    idf = F.log(F.lit(float(max(sizes.count(), 1))) / F.col("df"))
     return (
         counts.agg(F.count(F.lit(1)).alias("df"))
         .filter((idf >= band[0]) & (idf <= band[1]))
@@ -110,11 +117,67 @@ def _successors(keys: DataFrame) -> DataFrame:
     return stage(here.join(there, "at").drop("at"), "next-documents")
 
 
+def _edited(rows: DataFrame, wanted: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows (k, h, t) with e, the text whose end is the start of the next one's, which
+    is among the others."""
+    # Only the part that is needed of the next document travels to its neighbour.
+    heads = (
+        join_small(others, wanted, ["k", "h"], "inner")
+        .select(
+            F.col("for_k").alias("k"),
+            F.col("for_h").alias("h"),
+            "q",
+            F.expr("substring(t, 1, q)").alias("head"),
+        )
+        .groupBy("k", "h")
+        .agg(F.first("q").alias("q"), F.first("head").alias("head"))
+    )
+    edited = F.expr("concat(substring(t, 1, length(t) - q), head)")
+    return rows.join(heads, ["k", "h"]).withColumn("e", edited)
+
+
+def _whole_terms(hashed: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The hashes (k, h, f, g), with those of all of a text's terms where it has none
+    in the lexicon. Only such documents are read again."""
+    bare = stage(
+        hashed.filter("f[0] is null or g[0] is null").select("k", "h"), "bare-documents"
+    )
+    theirs = bare.select(F.col("k").alias("for_k"), F.col("h").alias("for_h"))
+    again = _edited(
+        join_small(rows, bare, ["k", "h"], "left_semi"),
+        join_small(wanted, theirs, ["for_k", "for_h"], "left_semi"),
+        rows,
+    )
+    found = again.select(
+        "k",
+        "h",
+        F.sort_array(terms(F.col("t"))).alias("own"),
+        F.sort_array(terms(F.col("e"))).alias("changed"),
+    ).dropDuplicates(["k", "h"])
+    whole = stage(
+        found.select(
+            "k",
+            "h",
+            subset_hashes("own").alias("whole_f"),
+            subset_hashes("changed").alias("whole_g"),
+        ),
+        "whole-terms",
+    )
+    return join_small(hashed, whole, ["k", "h"], "left").select(
+        "k",
+        "h",
+        "edited_sha256",
+        F.expr("if(f[0] is null, coalesce(whole_f, f), f)").alias("f"),
+        F.expr("if(g[0] is null, coalesce(whole_g, g), g)").alias("g"),
+    )
+
+
 def fingerprint_documents(
     docs: DataFrame,
     doc: str = "doc_id",
     text: str = "text",
     band: tuple[float, float] = IDF_BAND,
+    whole_terms: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next.
@@ -122,7 +185,9 @@ def fingerprint_documents(
     A null text is empty. Documents of one doc_id follow each other by a hash of
     their texts; equal rows are one document in the order and each get its row.
     A null doc_id comes first. A document without a lexicon term has an empty
-    fingerprint, which is like no other. Other columns are not read.
+    fingerprint, which is like no other; with ``whole_terms`` only one without any
+    term has, and where none is in the lexicon all terms are hashed. Other columns
+    are not read.
     """
     whole = F.coalesce(quoted(text), F.lit(""))
     rows = docs.select(
@@ -140,20 +205,7 @@ def fingerprint_documents(
         F.col("h").alias("for_h"),
         quarter.alias("q"),
     )
-    # Only the part that is needed of the next document travels to its neighbour.
-    heads = (
-        join_small(rows, wanted, ["k", "h"], "inner")
-        .select(
-            F.col("for_k").alias("k"),
-            F.col("for_h").alias("h"),
-            "q",
-            F.expr("substring(t, 1, q)").alias("head"),
-        )
-        .groupBy("k", "h")
-        .agg(F.first("q").alias("q"), F.first("head").alias("head"))
-    )
-    edited = F.expr("concat(substring(t, 1, length(t) - q), head)")
-    both = rows.join(heads, ["k", "h"]).withColumn("e", edited)
+    both = _edited(rows, wanted, rows)
     # A null beside the terms keeps documents that have none in the lexicon.
     kinds = F.explode(
         F.array(
@@ -192,6 +244,8 @@ def fingerprint_documents(
         )
     )
     hashed = stage(hashed, "fingerprints")
+    if whole_terms:
+        hashed = stage(_whole_terms(hashed, rows, wanted), "fingerprints")
     following = hashed.select(
         F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("f").alias("next_f")
     )

@@ -243,3 +243,35 @@ def test_fingerprints_of_odd_rows(spark):
     got = fingerprint.fingerprint_documents(docs, band=(0.0, 9.0)).collect()
     assert sorted((r.doc_id or 0, r.n_chars) for r in got) == [(0, 1), (1, 1), (1, 3), (1, 3)]
     assert fingerprint.fingerprint_documents(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_of_hot_copies(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.sample(words, 40)) for _ in range(100)]
+    alone = fingerprint.fingerprint_documents(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    )
+    hot = texts + [texts[7]] * 50
+    copied = fingerprint.fingerprint_documents(
+        spark.createDataFrame(list(enumerate(hot)), "doc_id long, text string")
+    )
+    before = {r.doc_id: r.fingerprint for r in alone.collect()}
+    after = {r.doc_id: r for r in copied.collect()}
+    assert all(after[i].fingerprint == before[i] for i in before)
+    assert all(after[i].fingerprint == before[7] for i in range(100, 150))
+    assert set(before[7]) - set(":-") and all(after[i].near_next == 1 for i in range(100, 149))
+
+
+def test_fingerprints_without_lexicon_terms(spark):
+    # Terms in every text, and terms in one text only, are outside of the band.
+    rows = [(i, f"common words {i // 3}") for i in range(9)] + [(9, "common words"), (10, "words common"), (11, "."), (12, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprint.fingerprint_documents(docs, band=(1.0, 1.1), whole_terms=True).collect()}
+    assert len(got) == len(rows)
+    empty = ":".join("-" * fingerprint.SUBSETS)
+    assert got[11].fingerprint == got[12].fingerprint == empty
+    prints = [got[i].fingerprint for i in range(11)]
+    assert empty not in prints and len(set(prints)) == 4
+    assert prints[0] == prints[2] and prints[9] == prints[10]
+    assert [got[i].near_next for i in (0, 1, 9)] == [1, 1, 1]
