@@ -7,8 +7,8 @@ own key a vector probes the keys in which one axis is the second closest. Vector
 that meet under a key are compared in double precision.
 
 Equal vectors are one class and are hashed once. A pair may meet several times;
-it counts where it meets first, which both vectors' keys tell, so links are
-counted without a list of pairs. For the components a task gives each set of
+it counts under the first key that both have, own or probed, so links are counted
+without a list of pairs. For the components a task gives each set of
 linked vectors as a star. A key that holds many vectors is cut in blocks, and
 each two blocks are compared in a group of their own.
 """
@@ -32,6 +32,10 @@ from prefshare.sources.scratch import stage
 
 SEED = 20240601
 BLOCK_ROWS = 2048
+# Pairs whose keys are held at once.
+PAIR_ROWS = 1 << 15
+# Pairs and tables of the trial that sizes the tables.
+TRIAL = 256, 16
 ROUNDS = 3
 SIGNATURE = "rep bigint, weight bigint, vector binary, keys array<bigint>"
 FOUND = "a bigint, b bigint, n bigint"
@@ -46,16 +50,28 @@ class Tables:
     probes: int
 
     @staticmethod
-    def sized(rows: int, dimension: int, miss: float = 0.01) -> Tables:
+    def sized(rows: int, dimension: int, miss: float = 0.01, least: float = 0.9) -> Tables:
         """Keys so many that a bucket holds few unrelated vectors, and tables so
-        many that a pair at the threshold is missed with about that chance. 0.7 is
-        the measured chance, with probes, that two vectors of cosine 0.9 share an
-        axis."""
+        many that a pair at the threshold is missed with about that chance."""
         width = 2 * max(2, dimension)
         axes = max(2, round(math.log(max(rows, 2)) / math.log(width)))
-        together = 0.7**axes
+        together = Tables.together(axes, max(2, dimension), least)
         return Tables(axes, math.ceil(math.log(miss) / math.log(1 - together)), axes)
 
+    @staticmethod
+    def together(axes: int, dimension: int, least: float) -> float:
+        """The chance that two vectors of that cosine share a key of a table, own or
+        probed, from random pairs."""
+        pairs, tables = TRIAL
+        rng = np.random.default_rng([SEED, dimension, axes])
+        x, z = unit_rows(rng.normal(size=(2 * pairs, dimension))).reshape(2, pairs, dimension)
+        z = unit_rows(z - (x * z).sum(axis=1, keepdims=True) * x)
+        y = least * x + math.sqrt(max(0.0, 1 - least * least)) * z
+        shape = Tables(axes, tables, axes)
+        mine, theirs = keys_of(x, shape), keys_of(y, shape)
+        share = (mine[..., :, None] == theirs[..., None, :]).any(axis=(2, 3)).mean()
+        return min(max(float(share), 1 / (pairs * tables)), 1 - 1e-9)
+
 
 def unit_rows(vectors: list[np.ndarray]) -> np.ndarray:
     rows = np.array(vectors, np.float64)
@@ -143,6 +159,18 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
+def _first_met(mine: np.ndarray, theirs: np.ndarray, table: int, key: int) -> np.ndarray:
+    """Whether the key of that table is the first one that the rows have in common,
+    by table and then by value."""
+    same = (mine[:, table, :, None] == theirs[:, table, None, :]).any(axis=2)
+    least = np.where(same, mine[:, table], np.iinfo(np.int64).max).min(axis=1)
+    first = least == key
+    for before in range(table):
+        same = mine[:, before, :, None] == theirs[:, before, None, :]
+        first &= ~same.any(axis=(1, 2))
+    return first
+
+
 def _compare(
     group: dict, shape: Tables, least: float, kind: type
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -159,18 +187,10 @@ def _compare(
     keys = np.array(group["keys"]).reshape(len(rep), shape.tables, 1 + shape.probes)
     key = group["key"]
     table = int(np.flatnonzero((keys[0] == key).any(axis=1))[0])
-    mine, theirs = keys[i], keys[j]
-    # Where a pair meets: one of the two has its own key there, the other any.
-    forth = (theirs == mine[:, :, :1]).any(axis=2)
-    back = (mine == theirs[:, :, :1]).any(axis=2)
-    own_i, own_j = mine[:, table, 0], theirs[:, table, 0]
-    first = np.where(
-        forth[:, table] & back[:, table],
-        np.minimum(own_i, own_j),
-        np.where(forth[:, table], own_i, own_j),
-    )
-    counts = (forth | back)[:, table] & (first == key)
-    counts &= ~(forth | back)[:, :table].any(axis=1)
+    counts = np.zeros(len(i), bool)
+    for at in range(0, len(i), PAIR_ROWS):
+        part = slice(at, at + PAIR_ROWS)
+        counts[part] = _first_met(keys[i[part]], keys[j[part]], table, key)
     i, j = i[counts], j[counts]
     links = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
     some = np.flatnonzero(links)
@@ -265,7 +285,7 @@ def near_vectors(
     )
     classes = stage(classes, "vector-classes")
     size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
-    shape = shape or Tables.sized(size["n"], size["d"] or 2)
+    shape = shape or Tables.sized(size["n"], size["d"] or 2, least=least)
     signed = stage(
         classes.select("rep", "weight", "v").mapInArrow(_sign(shape, kind), SIGNATURE),
         "vector-keys",

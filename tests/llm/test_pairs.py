@@ -275,3 +275,42 @@ def test_fingerprints_without_lexicon_terms(spark):
     assert empty not in prints and len(set(prints)) == 4
     assert prints[0] == prints[2] and prints[9] == prints[10]
     assert [got[i].near_next for i in (0, 1, 9)] == [1, 1, 1]
+
+
+def pairs_at(cosine, count, dimension, seed):
+    rng = np.random.default_rng(seed)
+    x, z = (embedding_dedup.unit_rows(list(rng.normal(size=(count, dimension)))) for _ in range(2))
+    z = embedding_dedup.unit_rows(list(z - (x * z).sum(axis=1, keepdims=True) * x))
+    return x, cosine * x + (1 - cosine**2) ** 0.5 * z
+
+
+@pytest.mark.parametrize("rows, axes, dimension", [(10**6, 3, 64), (10**8, 4, 64), (10**7, 3, 128), (10**9, 4, 128)])
+def test_tables_find_pairs_at_the_threshold(rows, axes, dimension):
+    shape = embedding_dedup.Tables.sized(rows, dimension)
+    assert shape.axes == axes
+    for cosine in (0.9, 0.91, 0.92):
+        x, y = pairs_at(cosine, 1500, dimension, 5)
+        mine, theirs = (embedding_dedup.keys_of(v, shape) for v in (x, y))
+        met = (mine[..., :, None] == theirs[..., None, :]).any(axis=(1, 2, 3))
+        assert met.mean() >= 0.983
+
+
+def test_every_verified_pair_counts_once():
+    shape = embedding_dedup.Tables(3, 4, 3)
+    x, y = pairs_at(0.9, 400, 64, 6)
+    counted = set()
+    for k, (a, b) in enumerate(zip(x, y, strict=True)):
+        keys = embedding_dedup.keys_of(np.array([a, b]), shape).reshape(2, -1)
+        links = 0
+        for key in set(keys[0].tolist()) & set(keys[1].tolist()):
+            group = {
+                "vector": [(v * 1.0000001).tobytes() for v in (a, b)], "rep": [0, 1], "weight": [1, 1],
+                "keys": keys.tolist(), "block": [0, 0], "key": key, "pair": (0, 0),
+            }
+            counts, stars = embedding_dedup._compare(group, shape, 0.8999, np.float64)
+            assert stars.tolist() == [[1, 0]]
+            links += len(counts) // 2
+        common_ = bool(set(keys[0].tolist()) & set(keys[1].tolist()))
+        assert links == common_
+        counted.add(links)
+    assert counted == {0, 1}
