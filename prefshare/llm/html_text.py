@@ -8,7 +8,8 @@ Regions are the page's sections, so that a short line inside the article stays;
 a marked article is one region, and where it reaches the upper cluster it alone
 is the content. Smoothing stays within a region, so that a long paragraph does
 not lift the menu beside it. What a page marks as navigation, advert, form or
-comment is no candidate.
+comment is no candidate. Where only a name says so and the element holds an article
+or most of the text, its lines are candidates with a lower ratio.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ NEVER_SHOWN = frozenset(
     "head title script style noscript template svg math iframe object canvas audio "
     "video select datalist textarea button".split()
 )
+# What can be in a head; anything else closes it.
+IN_HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template "
+    "title".split()
+)
 BOILERPLATE = frozenset("nav header footer aside form menu dialog".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt "
@@ -52,6 +58,8 @@ HINTS = frozenset(
     "toolbar widget".split()
 )
 SMOOTH = 2.0
+# The weight of a ratio within an element that a hint speaks against.
+HINTED = 0.5
 CHUNK_BYTES = 2 << 20
 
 
@@ -64,26 +72,64 @@ class Line:
     ratio: float
 
 
+@dataclass
+class Hinted:
+    """An element that a hint names: the one around it (0: none) and what it holds."""
+
+    above: int
+    chars: int = 0
+    article: bool = False
+
+
 class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        # Open elements: (tag, hidden, section number).
-        self.open: list[tuple[str, bool, int]] = []
+        # Open elements: (tag, hidden, section number, innermost hinted element).
+        self.open: list[tuple[str, bool, int, int]] = []
+        # Element 0 stands for the page.
+        self.hinted = [Hinted(0)]
         self.sections = 0
         self.article = 0
         # Sections that are an article or the page's main element.
         self.articles: set[int] = set()
-        self.parts: list[str] = []
+        # Those of them that stand in a hinted element.
+        self.doubted: set[int] = set()
+        # Blocks with section and tags before; their parts with hinted elements.
+        self.blocks: list[tuple[list[tuple[str, int]], int, int]] = []
+        self.parts: list[tuple[str, int]] = []
         self.tags = 0
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        self.parts = []
-        if text:
+        if self.parts:
             section = self.open[-1][2] if self.open else 0
-            self.lines.append(Line(text, section, len(text) / max(1, self.tags)))
-            self.tags = 0
+            self.blocks.append((self.parts, section, self.tags))
+            self.parts, self.tags = [], 0
+
+    def _settle(self) -> None:
+        """The lines, once it is known what the hinted elements hold."""
+        for parts, _, _ in self.blocks:
+            for data, hint in parts:
+                self.hinted[hint].chars += len("".join(data.split()))
+        for one in self.hinted[:0:-1]:
+            above = self.hinted[one.above]
+            above.chars += one.chars
+            above.article |= one.article
+        total = self.hinted[0].chars
+        shown = [True]
+        for one in self.hinted[1:]:
+            holds = one.article or 2 * one.chars > total
+            shown.append(holds and shown[one.above])
+        tags = 0
+        for parts, section, more in self.blocks:
+            tags += more
+            parts = [(data, hint) for data, hint in parts if shown[hint]]
+            text = " ".join("".join(data for data, _ in parts).split())
+            if text:
+                hinted = any(hint and data.strip() for data, hint in parts)
+                ratio = len(text) / max(1, tags) * (HINTED if hinted else 1)
+                self.lines.append(Line(text, section, ratio))
+                tags = 0
 
     def _hidden(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         # The heading of an article is part of it.
@@ -94,6 +140,10 @@ class _Lines(HTMLParser):
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
+        return False
+
+    def _hint(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        for name, value in attrs:
             if name in ("class", "id", "role") and value and tag not in (
                 "html", "body", "main", "article"
             ):
@@ -101,7 +151,18 @@ class _Lines(HTMLParser):
                     return True
         return False
 
+    def _close_head(self, tag: str) -> None:
+        """The end tag of a head may be left out."""
+        if tag == "body":
+            for at in range(min(3, len(self.open))):
+                if self.open[at][0] == "head":
+                    self._pop(at)
+                    return
+        elif self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop(len(self.open) - 1)
+
     def handle_starttag(self, tag, attrs):
+        self._close_head(tag)
         self.tags += 1
         if tag in BLOCKS:
             self._flush()
@@ -110,20 +171,28 @@ class _Lines(HTMLParser):
             ):
                 self._pop(len(self.open) - 1)
         elif tag == "br":
-            self.parts.append(" ")
+            self.parts.append((" ", 0))
         if tag in VOID:
             return
-        above = self.open[-1] if self.open else ("", False, 0)
+        above = self.open[-1] if self.open else ("", False, 0, 0)
         section = above[2]
         if tag in SECTIONS and above[2] not in self.articles:
             self.sections += 1
             section = self.sections
             if tag in ("article", "main"):
                 self.articles.add(section)
+                if above[3]:
+                    self.doubted.add(section)
         self.article += tag == "article"
         hidden = above[1] or self._hidden(tag, attrs)
-        if tag in BLOCKS or hidden != above[1]:
-            self.open.append((tag, hidden, section))
+        hint = above[3]
+        if tag in ("article", "main") and not hidden:
+            self.hinted[hint].article = True
+        if not hidden and self._hint(tag, attrs):
+            self.hinted.append(Hinted(hint))
+            hint = len(self.hinted) - 1
+        if tag in BLOCKS or (hidden, hint) != (above[1], above[3]) or above[0] == "head":
+            self.open.append((tag, hidden, section, hint))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -131,7 +200,7 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop(self, at: int) -> None:
-        self.article -= sum(tag == "article" for tag, _, _ in self.open[at:])
+        self.article -= sum(tag == "article" for tag, *_ in self.open[at:])
         del self.open[at:]
 
     def handle_endtag(self, tag):
@@ -147,12 +216,17 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not (self.open and self.open[-1][1]):
-            self.parts.append(data)
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self._close_head("")
+        if not self.open:
+            self.parts.append((data, 0))
+        elif not self.open[-1][1]:
+            self.parts.append((data, self.open[-1][3]))
 
     def close(self):
         super().close()
         self._flush()
+        self._settle()
 
 
 def smoothed(values: list[float], sigma: float = SMOOTH) -> list[float]:
@@ -200,7 +274,7 @@ def main_text(html: str) -> str:
     border = threshold([v for values in regions.values() for v in values])
     content = {section for section, values in regions.items() if max(values) >= border}
     if content & page.articles:
-        content = page.articles
+        content = page.articles - (page.doubted - content)
     return "\n".join(line.text for line in page.lines if line.section in content)
 
 

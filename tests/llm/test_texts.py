@@ -230,3 +230,27 @@ def test_pages_of_a_table(spark):
     ]
     assert all(len(r.text) == r.n_chars for r in got)
     assert html_text.extract_text(pages.limit(0)).count() == 0
+
+
+LONG = "<p>" + "Some words of the article. " * 12 + "</p>"
+
+
+@pytest.mark.parametrize("head", ["<head><title>x</title><body>", "<html><head><title>x</title>", "<head><noscript><img src=x>off</noscript><title>x</title><body>", "<head><title>x</title></head><body>"])
+def test_head_ends_without_its_tag(head):
+    text = html_text.main_text(head + LONG + LONG)
+    assert text == "\n".join([re.sub("<.*?>", "", LONG).strip()] * 2)
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content no-sidebar'", "div id='page' class='has-banner'", "section class='share related'", "app-root class='has-banner'"])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main>{}</main>"])
+def test_hinted_wrappers_keep_the_article(wrapper, inner):
+    inside = inner.format(LONG + "<div class='share'><p>" + "Share this now. " * 9 + "</p></div>" + LONG)
+    page = f"<body><{wrapper}><div class='related'><a>Other</a></div>{inside}</{wrapper.split()[0]}><div><a>About</a> <a>Us</a></div>"
+    assert html_text.main_text(page) == "\n".join([re.sub("<.*?>", "", LONG).strip()] * 2)
+
+
+def test_hinted_articles_beside_the_article_need_the_ratio():
+    page = f"<article>{LONG}{LONG}</article><div class='comments'><article><p>I like it</p></article></div>"
+    assert html_text.main_text(page) == "\n".join([re.sub("<.*?>", "", LONG).strip()] * 2)
+    words = "<p>One <span class='share'>Share</span> two</p>"
+    assert html_text.main_text(words) == "One two"
