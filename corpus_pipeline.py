@@ -18,9 +18,10 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest doc_id."""
+    """One document of each group of near copies, the one of the smallest doc_id.
+    Different texts of one doc_id are documents of their own."""
     catalog.importable(spark)
-    return ngram_join.one_of_each_group(docs)
+    return ngram_join.one_of_each_group(docs, repeated_ids=True)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
@@ -125,10 +125,11 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(batch.schema.get_field_index("doc_id")),
+                batch.column(batch.schema.get_field_index("h")),
                 pa.array(keys, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
             ],
-            ["doc_id", "key", "n"],
+            ["doc_id", "h", "key", "n"],
         )
 
 
@@ -414,20 +415,24 @@ def _candidates(sets: DataFrame, postings, reduce) -> DataFrame:
     return stage(pairs.distinct(), "pairs")
 
 
-def shingle_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, key of its shingle set (null if the set is empty), size of the set."""
-    rows = docs.select(quoted(doc).cast("bigint").alias("doc_id"), quoted(text).alias("_text"))
-    return rows.mapInArrow(_keys, "doc_id bigint, key bigint, n bigint")
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(quoted(text), F.lit("")))
 
 
-def near_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id.
+def shingle_classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, hash of the text, key of its shingle set (null if the set is empty),
+    size of the set."""
+    rows = docs.select(
+        quoted(doc).cast("bigint").alias("doc_id"),
+        _text_hash(text).alias("h"),
+        quoted(text).alias("_text"),
+    )
+    return rows.mapInArrow(_keys, "doc_id bigint, h bigint, key bigint, n bigint")
 
-    A null or empty text has an empty set and is linked with nothing; a text of
-    fewer than five words is one shingle. Documents without doc_id are linked
-    with nothing and have no component. Repeated doc_ids are documents of their
-    own. Other columns are not read. An empty table gives no rows.
-    """
+
+def _joined(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The documents with their classes, and the classes (_key) with their component,
+    its smallest key, and component_id, its smallest doc_id."""
     classes = stage(shingle_classes(docs, doc, text), "shingle-classes")
     named = classes.filter("key is not null and doc_id is not null")
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -486,8 +491,20 @@ def near_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     )
     smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     placed = placed.join(smallest, "component").select(
-        F.col("key").alias("_key"), "component_id"
+        F.col("key").alias("_key"), "component", "component_id"
     )
+    return classes, placed
+
+
+def near_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id.
+
+    A null or empty text has an empty set and is linked with nothing; a text of
+    fewer than five words is one shingle. Documents without doc_id are linked
+    with nothing and have no component. Repeated doc_ids are documents of their
+    own. Other columns are not read. An empty table gives no rows.
+    """
+    classes, placed = _joined(docs, doc, text)
     joined = classes.join(
         placed, (F.col("key") == F.col("_key")) & F.col("doc_id").isNotNull(), "left"
     )
@@ -498,10 +515,39 @@ def near_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     )
 
 
-def one_of_each_group(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def _heads(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc_id, h, many): the text that stays of each component, by smallest doc_id and
+    then by its hash, whether rows repeat it, and the texts with an empty set."""
+    classes, placed = _joined(docs, doc, text)
+    named = classes.filter("doc_id is not null")
+    counted = (
+        named.join(placed, F.col("key") == F.col("_key"))
+        .groupBy("component", "doc_id", "h")
+        .agg((F.count(F.lit(1)) > 1).alias("many"))
+    )
+    heads = counted.groupBy("component").agg(F.min(F.struct("doc_id", "h", "many")).alias("x"))
+    empty = named.filter("key is null").select("doc_id", "h", F.lit(False).alias("many"))
+    return heads.select("x.*").unionAll(empty.distinct())
+
+
+def one_of_each_group(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", repeated_ids: bool = False
+) -> DataFrame:
     """The rows whose doc_id is the smallest of its group, and those linked with
     nothing, unchanged. Of rows that repeat a doc_id the one with the smallest
-    text stays. Rows without doc_id all stay."""
+    text stays. Rows without doc_id all stay.
+
+    With ``repeated_ids`` different texts of one doc_id are judged separately: one row
+    of each group stays, by its smallest doc_id and then by a hash of the text, and
+    every row linked with nothing."""
+    if repeated_ids:
+        own, same, many, row = (fresh_name(docs, c) for c in ("_kept", "_hash", "_many", "_row"))
+        kept = _heads(docs, doc, text).toDF(own, same, many)
+        rows = docs.join(
+            broadcast_if_small(kept),
+            (quoted(doc).cast("bigint") == F.col(own)) & (_text_hash(text) == F.col(same)),
+        )
+        return _first_rows(docs, rows, [own, same], many, row, doc, text)
     found = near_documents(docs, doc, text)
     own, many, row = (fresh_name(docs, c) for c in ("_kept", "_many", "_row"))
     kept = (
@@ -511,7 +557,15 @@ def one_of_each_group(docs: DataFrame, doc: str = "doc_id", text: str = "text")
     )
     # The join is on a narrow table, sent to the tasks if it measures small.
     rows = docs.join(broadcast_if_small(kept), quoted(doc) == F.col(own))
-    first = Window.partitionBy(own).orderBy(quoted(text))
+    return _first_rows(docs, rows, [own], many, row, doc, text)
+
+
+def _first_rows(
+    docs: DataFrame, rows: DataFrame, keys: list[str], many: str, row: str, doc: str, text: str
+) -> DataFrame:
+    """Of the rows that are many for their keys the one with the smallest text, the
+    others, and the documents without doc_id."""
+    first = Window.partitionBy(*keys).orderBy(quoted(text))
     repeated = rows.filter(F.col(many)).withColumn(row, F.row_number().over(first))
     columns = [quoted(c) for c in docs.columns]
     return (

@@ -73,3 +73,18 @@ def test_query_equals_sql(spark, name):
     assert sorted(df.columns) == sorted(columns)
     got = [tuple(r) for r in df.select(*columns).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr) and got
+
+
+def test_texts_of_one_id_are_judged_separately(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "x"])
+    texts = [(1, "one clean text of its own"), (1, "another clean text that is not alike"), (2, " ".join(words)),
+             (5, near), (5, "yet another text of a reused number"), (5, "yet another text of a reused number"),
+             (6, "yet another text of a reused number"), (7, ""), (7, None), (None, near)]
+    rows = [(i, t, "en", "s", 1) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in left.collect())
+    assert got == sorted((i or 0, t or "") for i, t in [*texts[:3], texts[4], *texts[7:]])
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), SF_DIR).count() == 0
