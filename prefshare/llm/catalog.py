@@ -14,11 +14,14 @@ from prefshare.llm import (
     fingerprint,
     html_text,
     langid,
+    license_scan,
     mixing,
     ngram_join,
     packing,
+    periodic,
     pii,
     sharding,
+    spelling,
 )
 from prefshare.llm.oracle import ORACLE
 from prefshare.llm.tokens import default_tokenizer
@@ -129,3 +132,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))

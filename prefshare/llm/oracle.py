@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 # The reflected CRC-32 (polynomial 3988292384), byte by byte with its table.
-SHARDS = """WITH lookup AS (
+_LOOKUP = """lookup AS (
   SELECT list(list_reduce([k, 1, 2, 3, 4, 5, 6, 7, 8],
     lambda v, s: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END) ORDER BY k) AS t
-  FROM (SELECT unnest(range(256))::BIGINT AS k)),
+  FROM (SELECT unnest(range(256))::BIGINT AS k))"""
+
+SHARDS = f"""WITH {_LOOKUP},
 hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 codes AS (
   SELECT doc_id, len(h) // 2 + 1 AS size,
@@ -54,4 +56,51 @@ SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles,
   least(s.doc_id, coalesce(m.least, s.doc_id)) AS component_id
 FROM sizes s LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) m ON s.doc_id = m.a"""
 
-ORACLE = {"op4_sharding": SHARDS, "op7_ngram_join": NEAR_DOCUMENTS}
+SPELLING = rf"""WITH RECURSIVE {_LOOKUP},
+split AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+own AS (SELECT doc_id, run, count(*) AS n FROM split WHERE length(run) >= 6 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM own),
+codes AS (
+  SELECT run, n, list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2),
+    lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))) AS x FROM hexed),
+hashed AS (
+  SELECT run, n, xor(list_reduce(x,
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM codes, lookup),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0
+      THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+      ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6
+  GROUP BY word HAVING sum(n) >= 5),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b
+    ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+placed AS (
+  SELECT near.word, other, w.n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+  FROM near JOIN words w ON other = w.word),
+best AS (
+  SELECT w.word, w.n, coalesce(p.n_near, 0) AS n_near,
+    CASE WHEN p.n >= 5 * w.n THEN other END AS form, CASE WHEN p.n >= 5 * w.n THEN p.n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM placed WHERE place = 1) p ON w.word = p.word),
+path AS (
+  SELECT word, coalesce(form, word) AS root FROM best
+  UNION SELECT p.word, b.form FROM path p JOIN best b ON p.root = b.word WHERE b.form IS NOT NULL),
+roots AS (
+  SELECT p.word, p.root FROM path p JOIN best b ON p.root = b.word WHERE b.form IS NULL)
+SELECT b.word, b.form, r.root, b.n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM best b JOIN roots r ON b.word = r.word"""
+
+ORACLE = {
+    "op4_sharding": SHARDS,
+    "op7_ngram_join": NEAR_DOCUMENTS,
+    "op12_spelling_variants": SPELLING,
+}

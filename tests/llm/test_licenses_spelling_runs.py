@@ -1,0 +1,333 @@
+"""License notices, spelling variants and periodic runs against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from prefshare.llm import catalog, license_scan, periodic, spelling
+from prefshare.llm.catalog import importable
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, word string, n int, Spans string, _text string, query int, runs string"
+
+
+def documents(spark, rows):
+    importable(spark)
+    return spark.createDataFrame([(*r, "w", 1, "s", "t", 0, "r") for r in rows], DOCS)
+
+
+# License notices
+
+
+def reachable(words, notice):
+    """Every span (start, end) of whole words that the segments allow, and its edits."""
+    n, best = len(words), {}
+    for s in range(n):
+        if words[s] == " " or s and words[s - 1] != " ":
+            continue
+        reach = {s: 0}
+        for text, edits in notice.segments:
+            following = {}
+            for p, spent in reach.items():
+                row = list(range(min(n - p, len(text) + edits) + 1))
+                for c in text:
+                    new = [row[0] + 1]
+                    for b in range(len(row) - 1):
+                        new.append(min(row[b] + (c != words[p + b]), row[b + 1] + 1, new[b] + 1))
+                    row = new
+                for b, v in enumerate(row):
+                    if v <= edits:
+                        following[p + b] = min(spent + v, following.get(p + b, 99))
+            reach = following
+        for p, spent in reach.items():
+            if p > s and words[p - 1] != " " and (p == n or words[p] == " "):
+                best[s, p] = spent
+    return best
+
+
+def mistyped(text, rng):
+    letters = list(text)
+    for _ in range(rng.randint(0, 5)):
+        i, kind = rng.randrange(len(letters)), rng.randrange(3)
+        letters[i : i + (kind > 0)] = rng.choice("abcdeilmnt c2") if kind < 2 else ""
+    return "".join(letters)
+
+
+@pytest.mark.parametrize("notice", license_scan.NOTICES, ids=lambda n: n.text)
+def test_spans_are_those_within_the_edits(notice):
+    rng = random.Random(notice.text)
+    hits = 0
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            parts += [mistyped(notice.text, rng), rng.choice(["", "version 2 of", "under the", "a"])]
+        words = " ".join(license_scan.normal(" ".join(parts)))
+        want, got = reachable(words, notice), license_scan.spans(words, notice)
+        assert bool(want) == bool(got), words
+        hits += bool(want)
+        assert all(want[a, b] == e for a, b, e in got), words
+        if want:
+            assert min(e for *_, e in got) == min(want.values())
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+    assert hits > 5
+
+
+def test_notices_tell_licenses_apart():
+    def labels(text):
+        return license_scan.scan(text, license_scan.PHRASES, license_scan.NOTICES)["labels"]
+
+    assert labels("Released under the MIT License.") == "mit"
+    assert labels("released undr the mit licence") == "mit"
+    assert labels("under the isc license, under the mpl license, under the license") == ""
+    assert labels("Apache Licence, Version 2.0 and apache license version 1") == "apache-2"
+    assert labels("apache license version 1.1") == ""
+    assert labels("CC-BY-NC 4.0") == "cc-by-nc" and labels("cc by nd") == ""
+    assert labels("the GNU Lesser General Public Lisense") == "lgpl"
+    assert labels("GNU General Public License, version 3") == "gpl"
+    for notice in license_scan.NOTICES:
+        assert notice.label in labels(f"x, {notice.text.upper()}; y").split(",")
+
+
+def test_license_rows(spark):
+    cc, mit = "cc by nc", "under the mit license"
+    rows = [
+        (1, f"{cc} {cc}. a {mit.upper()}!"),
+        (2, "Nothing here"),
+        (3, ""),
+        (4, None),
+        (None, f"é {mit}"),
+        (5, "Vé -- Under THE mut\nlicense x"),
+        (5, "Vé -- Under THE mut\nlicense x"),
+        (6, "cc by nc by nc cc by-nc"),
+        (7, "word " * 200_000 + cc),
+        (8, "cc\x85by nc  cc by nc"),
+    ]
+    out = license_scan.scan_licenses(documents(spark, rows))
+    got = {(r.doc_id, r.n_words): r for r in out.collect()}
+    assert out.count() == len(rows)
+
+    def digest(*key):
+        return tuple(got[key])[2:7]
+
+    assert digest(1, 11) == (3, 0, 7, "cc-by-nc,mit", "cc-by-nc,mit")
+    assert digest(2, 2) == digest(3, 0) == digest(4, 0) == (0, None, None, "", "")
+    assert digest(None, 5) == (1, 1, 1, "mit", "mit")
+    assert digest(5, 6) == (0, None, None, "", "mit")
+    assert got[5, 6].score == pytest.approx(1 - 1 / 21)
+    (span,) = got[5, 6].spans
+    assert (span.label, span.start, span.end, span.edits) == ("mit", 6, 27, 1)
+    assert span.text == "Under THE mut\nlicense"
+    assert digest(6, 8) == (2, 0, 5, "cc-by-nc", "cc-by-nc")
+    assert digest(7, 200_003) == (1, 200_000, 200_000, "cc-by-nc", "cc-by-nc")
+    # Characters above ASCII are letters: the first is one word with its neighbours.
+    assert got[8, 5].n_base == 0 and got[1, 11].score == 1.0 and got[2, 2].score == 0.0
+    assert license_scan.scan_licenses(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_license_query_covers_the_table(spark):
+    phrases = [(p.split(), label) for p, label in license_scan.PHRASES.items()]
+    texts = {r.doc_id: r.text for r in catalog.table(spark, SF_DIR, "documents").collect()}
+    rows = catalog.QUERIES["op11_license_scan"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    some = 0
+    for r in rows:
+        words = license_scan.normal(texts[r.doc_id])
+        at = [
+            (i, label)
+            for phrase, label in phrases
+            for i in range(len(words))
+            if words[i : i + len(phrase)] == phrase
+        ]
+        some += bool(at)
+        assert (r.n_words, r.n_base) == (len(words), len(at))
+        assert r.base_labels == ",".join(sorted({label for _, label in at}))
+        assert (r.first_word, r.last_word) == (
+            (min(at)[0], max(at)[0]) if at else (None, None)
+        )
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+    assert some
+
+
+# Spelling variants
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(rows, letters, least):
+    counts = Counter()
+    for doc, text in rows:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", lower):
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= letters and n >= least}
+    others = {w: sorted((v for v in words if near(w, v)), key=lambda v: (-words[v], v)) for w in words}
+    form = {w: v[0] for w, v in others.items() if v and words[v[0]] >= 5 * words[w]}
+    out = []
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(others[w]), words.get(form.get(w))))
+    return sorted(out)
+
+
+def variants(frame, **options):
+    out = spelling.spelling_variants(frame, **options)
+    assert out.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    return sorted(tuple(r) for r in out.collect())
+
+
+@pytest.mark.parametrize("block", [64, 8192])
+def test_variants_are_those_of_all_pairs(spark, monkeypatch, block):
+    """Also where a bucket is cut in blocks: a block of 64 words, and all words share
+    a front half."""
+    rng = random.Random(block)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(2, 7))) for _ in range(500)]
+    words += ["zzzzz" + "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4))) for _ in range(500)]
+    rows = [(i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(1000)], k=400))) for i in range(40)]
+    frame = documents(spark, rows).repartition(5)
+    got = variants(frame, least_letters=2, least_count=2, block=block)
+    want = brute_variants(rows, 2, 2)
+    assert got == want
+    assert any(r[1] for r in want) and any(r[2] != r[1] and r[1] for r in want)
+
+
+def test_variants_of_odd_rows(spark):
+    word = "Straße" * 3
+    long = "x" * 70_000
+    rows = [(None, word), (1, None), (2, ""), (3, f"{word}! {word.upper()}"), (3, f"{word}! {word.upper()}")]
+    rows += [(4, f"{word} {word[:-1]} {word}"), (5, "a b c ÷×")] + [(6 + i, f"{long} {long}x") for i in range(6)]
+    rows += [(20 + i, "letters lettres " + "letter " * 9) for i in range(6)]
+    frame = documents(spark, rows)
+    assert variants(frame) == brute_variants(rows, 6, 5)
+    assert variants(frame, least_letters=2, least_count=1) == brute_variants(rows, 2, 1)
+    assert variants(frame.limit(0)) == []
+    with pytest.raises(ValueError):
+        spelling.spelling_variants(frame, least_letters=1)
+
+
+def test_roots_follow_long_paths(spark):
+    forms = [(f"w{i}", f"w{i + 1}") for i in range(21)] + [("a", "b")]
+    roots = spelling.roots_of(spark.createDataFrame(forms, "word string, form string"))
+    got = {r.word: r.root for r in roots.collect()}
+    assert got == {f"w{i}": "w21" for i in range(21)} | {"a": "b"}
+
+
+# Periodic runs
+
+
+def brute_runs(ids):
+    found = {}
+    for q in range(1, len(ids) // 3 + 1):
+        same = [a == b for a, b in zip(ids, ids[q:], strict=False)] + [False]
+        start = None
+        for i, equal in enumerate(same):
+            if equal and start is None:
+                start = i
+            if not equal and start is not None:
+                if i - start + q >= max(24, 3 * q):
+                    found.setdefault((start, i - start + q), q)
+                start = None
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def repetitive(rng):
+    letters, out = rng.choice([1, 2, 2, 3, 5, 30]), []
+
+    def some(most):
+        return [rng.randrange(letters) for _ in range(rng.randint(1, most))]
+
+    for _ in range(rng.randint(1, 5)):
+        unit = some(25) * rng.randint(1, 8)
+        out += unit[: rng.randint(1, len(unit))] + some(10)
+        if rng.random() < 0.3:
+            out += out[rng.randrange(len(out)) :]
+    return out[:600] * rng.choice([1, 1, 1, 3])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_are_those_of_all_periods(seed):
+    rng, found = random.Random(seed), 0
+    for _ in range(60):
+        ids = repetitive(rng)
+        want = brute_runs(ids)
+        assert periodic.runs_of(np.array(ids)) == want
+        found += len(want)
+    assert found > 40
+
+
+def test_grammar_derives_the_words():
+    rng = random.Random(5)
+    for _ in range(30):
+        ids = repetitive(rng)
+        grammar = periodic.Grammar(ids)
+        for places, left, length in zip(grammar.places, grammar.left, grammar.length, strict=True):
+            assert len(places) > 1 and 0 < left < length
+            assert len({tuple(ids[p : p + length]) for p in places}) == 1
+            assert all(b - a >= length for a, b in zip(places, places[1:], strict=False))
+
+
+def test_long_agreement_takes_steps_of_the_longest_rank():
+    ids = np.array([1, 2] * 40_000 + [3])
+    assert periodic.runs_of(ids) == [(0, 80_000, 2)]
+
+
+def brute_row(doc, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    h = 1 if doc is None else zlib.crc32(str(doc).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    runs = brute_runs(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    listed = "".join(f"{s},{k},{q}\n" for s, k, q in runs)
+    milli = best[0] if best[0] is None else 1000 * best[1] // best[2]
+    return (doc, len(runs), *best, milli, *(hashlib.sha256(x).hexdigest() for x in (listed.encode(), kept)))
+
+
+def planted(most):
+    return [i for i in range(most) if zlib.crc32(str(i).encode()) % 10 == 0]
+
+
+def test_run_rows(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{i}" for i in repetitive(rng)) for _ in range(30)]
+    rows = [*zip(range(30), texts, strict=True), (None, texts[0]), (3, texts[0]), (3, texts[0])]
+    rows += [(40, None), (41, ""), (42, " \t"), (43, "é x " * 30), (44, "a " * 23), (45, "a\x1cb " * 24)]
+    rows += [(i, " ".join(f"v{k}" for k in range(400))) for i in planted(600)]
+    rows += [(46, "one two three " * 5_000)]
+    out = periodic.periodic_runs(documents(spark, rows).repartition(3), chunk_words=3_000)
+    got = sorted((tuple(r)[:8] for r in out.collect()), key=repr)
+    assert got == sorted((brute_row(*r) for r in rows), key=repr)
+    assert sum(r[1] > 0 for r in got) > 60 and max(r[1] for r in got) > 1
+    assert periodic.periodic_runs(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_run_query_covers_the_table(spark):
+    docs = catalog.table(spark, SF_DIR, "documents").select("doc_id", "text").collect()
+    rows = catalog.QUERIES["op13_periodic_runs"](spark, SF_DIR).collect()
+    assert len(rows) == len(docs)
+    short = {d.doc_id: d.text for d in docs if len((d.text or "").split()) < 1_500}
+    for r in rows:
+        if r.doc_id in short:
+            assert tuple(r)[:8] == brute_row(r.doc_id, short[r.doc_id])
+            assert len(r.runs) == r.n_runs
