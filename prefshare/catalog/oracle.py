@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prefshare.catalog.queries import FIRST_SCORED, ID_RANGE
+from prefshare.catalog.queries import FIRST_RUN, FIRST_SCORED, ID_RANGE
 from prefshare.catalog.tables import FIRST_TYPES, LAST_TYPES, PART_NAMES, PART_TYPES
 from prefshare.functions import vocab
 
@@ -239,14 +239,58 @@ FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id""",
         ("totals",),
         _wide("{} / nullif(t.total, 0)", "q.analytic_id", EVERY_PART)
         + """ JOIN totals t ON q.analytic_id = t.analytic_id
+GROUP BY q.analytic_id, t.total""",
+    ),
+    "persona_share_sql": _with(
+        ("totals",),
+        _wide("{} / nullif(t.total, 0)", "q.analytic_id", EVERY_PART)
+        + """ JOIN totals t ON q.analytic_id = t.analytic_id
 GROUP BY q.analytic_id, t.total""",
     ),
     "customer_persona": _with(
         ("totals", "customers", "preferences"),
-        """SELECT c.id AS "row", q.package AS col, q.qty / t.total AS "value"
-FROM quantities q JOIN totals t ON q.analytic_id = t.analytic_id
-JOIN customers c ON q.analytic_id = c.analytic_id
-WHERE q.qty <> 0 AND t.total <> 0 AND q.package IN (SELECT package FROM preferences)""",
+        """SELECT c.id, c.analytic_id, p.package,
+  coalesce(q.qty, 0) / nullif(t.total, 0) AS share
+FROM customers c JOIN totals t ON c.analytic_id = t.analytic_id CROSS JOIN preferences p
+LEFT JOIN quantities q ON q.analytic_id = c.analytic_id AND q.package = p.package""",
+    ),
+    "sparse_persona": _with(
+        ("totals", "customers", "preferences"),
+        """SELECT c.id, c.analytic_id, t.total, e.place, e.package_id, e.qty,
+  e.qty / nullif(t.total, 0) AS share
+FROM customers c JOIN totals t ON c.analytic_id = t.analytic_id LEFT JOIN (
+  SELECT q.analytic_id, p.id AS package_id, q.qty,
+    CAST(row_number() OVER (PARTITION BY q.analytic_id ORDER BY p.id) - 1 AS INTEGER) AS place
+  FROM quantities q JOIN preferences p ON q.package = p.package WHERE q.qty <> 0) e
+ON e.analytic_id = c.analytic_id""",
+    ),
+    "months_replaced": _score(_shares("duration", STEPS, vocab.DURATION_PREFIX)),
+    "ids_that_last": _with(
+        ("totals",),
+        f"""SELECT analytic_id, CAST(row_number() OVER (
+    ORDER BY analytic_id % {FIRST_RUN} <> 0, analytic_id) - 1 AS BIGINT) AS id
+FROM totals""",
+    ),
+    "scores_by_customer": _with(
+        ("labelled", "customers"),
+        f"""SELECT c.id, c.analytic_id,
+{_shares("l.duration", STEPS, vocab.DURATION_PREFIX)},
+{_shares("l.price", STEPS, vocab.PRICE_PREFIX)}
+FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
+GROUP BY c.id, c.analytic_id""",
+    ),
+    "scores_in_ranges": _with(
+        ("labelled", "customers"),
+        f"""SELECT c.id, c.analytic_id,
+{_shares("l.duration", STEPS, vocab.DURATION_PREFIX)}
+FROM labelled l JOIN customers c ON l.analytic_id = c.analytic_id
+GROUP BY c.id, c.analytic_id""",
+    ),
+    "bought_together": _with(
+        ("quantities",),
+        """SELECT a.package AS "row", b.package AS col, sum(a.qty * 1) AS "value"
+FROM quantities a JOIN quantities b ON a.analytic_id = b.analytic_id
+WHERE b.qty > 0 GROUP BY a.package, b.package""",
     ),
     "customer_index": _with(("customers",), "SELECT id, analytic_id FROM customers"),
     "id_range": _with(

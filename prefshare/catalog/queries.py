@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from prefshare.catalog.tables import (
     PART_PRICE_RULES,
     PART_TYPES,
     purchases,
+    purchases_by_year,
     retail_inputs,
     table,
 )
@@ -32,8 +34,18 @@ from prefshare.operators.scores import (
     project_scores,
     tall_scores,
 )
-from prefshare.plans import jobs, persona, preferences, scores
+from prefshare.plans import (
+    batches,
+    ids,
+    jobs,
+    months,
+    persona,
+    preferences,
+    scores,
+    views,
+)
 from prefshare.sources import readers, writers
+from prefshare.sources.ordered import read_ordered
 from prefshare.sources.scratch import scratch_path, stage
 
 # Starts of the id ranges that are put together again; the last one is open.
@@ -41,6 +53,10 @@ BATCH_STARTS = (0, 500, 1_000)
 # The id range that ``id_range`` selects, and the start of the open one.
 ID_RANGE = (1, 20_000)
 FIRST_SCORED = ID_RANGE[0]
+# Customers of a range that is written by itself.
+RANGE_IDS = 600
+# The first run of the lasting ids meets every so many customers.
+FIRST_RUN = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,10 +273,58 @@ def persona_share_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_persona(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide persona's non-zero cells: its columns are found in the data."""
+    """All cells of the wide persona: its columns are found in the data."""
     wide = persona.customer_persona(retail_inputs(spark, sf_dir))
-    packages = [c for c in wide.columns if c not in ("id", "analytic_id")]
-    return matrix.to_tall(wide.drop("analytic_id"), "id", packages)
+    packages = [quoted(c) for c in wide.columns if c not in ("id", "analytic_id")]
+    return wide.unpivot(["id", "analytic_id"], packages, "package", "share")
+
+
+def sparse_persona(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the sparse persona's rows, with their place in the arrays."""
+    path = scratch_path(spark, "sparse-persona")
+    inputs = retail_inputs(spark, sf_dir)
+    staged = persona.staged_quantities(inputs)
+    labels = stage(
+        preferences.bought_package_labels(inputs, staged.bought), "bought-packages"
+    )
+    flags = preferences.package_preferences(inputs, with_name=True, bought=labels)
+    persona.write_sparse_persona(inputs, flags, path, staged=staged)
+    rows = read_ordered(spark, path)
+    entry = F.posexplode_outer(F.arrays_zip("package_ids", "quantities", "shares"))
+    return rows.select("id", "analytic_id", "total", entry.alias("place", "entry")).select(
+        "id",
+        "analytic_id",
+        "total",
+        "place",
+        F.col("entry.package_ids").alias("package_id"),
+        F.col("entry.quantities").alias("qty"),
+        F.col("entry.shares").alias("share"),
+    )
+
+
+def persona_share_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide shares by SQL over views of the tables."""
+    prefix = "retail_"
+    names = views.create_views(retail_inputs(spark, sf_dir), prefix)
+    shares = views.persona_shares_sql(spark, PART_NAMES, f"{prefix}quantities")
+    # The frame keeps the plan of the views it was made from.
+    views.drop_views(spark, names)
+    return shares
+
+
+def months_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of purchases that came in parts, one of which was wrong and is replaced."""
+    store = scratch_path(spark, "months")
+    inputs = retail_inputs(spark, sf_dir)
+    dated = purchases_by_year(spark, sf_dir)
+    years = [r[0] for r in dated.select("year").distinct().orderBy("year").collect()]
+    rows = dated.drop("year")
+    months.put_month(rows.where(F.col("total_transaction") > 20), store, str(years[0]))
+    for year in years[1:]:
+        months.put_month(dated.where(F.col("year") == year).drop("year"), store, str(year))
+    months.put_month(dated.where(F.col("year") == years[0]).drop("year"), store, str(years[0]))
+    kept = replace(inputs, transactions=months.quantities_of(spark, store))
+    return scores.customer_scores(kept, [DURATION])
 
 
 # Ids and ranges
@@ -271,6 +335,14 @@ def customer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_index(customers, "analytic_id")
 
 
+def ids_that_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of a first run over some customers, and of a second one over all."""
+    store = scratch_path(spark, "kept-ids")
+    customers = customer_total(spark, sf_dir).select("analytic_id")
+    ids.extend_ids(customers.where(F.col("analytic_id") % FIRST_RUN == 0), store)
+    return ids.extend_ids(customers, store)
+
+
 def id_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.id_between(customer_index(spark, sf_dir), *ID_RANGE)
 
@@ -329,7 +401,50 @@ def score_label_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores_in_id_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = [DURATION, PRICE, LABEL_SUBSET, LABEL_REST]
-    return scores.indexed_scores(retail_inputs(spark, sf_dir), every).orderBy("id")
+    # The files that are read back hold the rows in id order.
+    return scores.indexed_scores(retail_inputs(spark, sf_dir), every)
+
+
+def scores_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scores of the derived tables side by side; all three folders lie by customer,
+    so neither scoring nor the join shuffles."""
+    derived = scratch_path(spark, "derived-by-customer")
+    jobs.preprocess(
+        retail_inputs(spark, sf_dir), derived, table_format="parquet", shape="tall"
+    )
+    folders = []
+    for kind in ("duration", "price"):
+        folders.append(scratch_path(spark, f"{kind}-by-customer"))
+        jobs.score(
+            spark,
+            kind,
+            f"{derived}/package_preferences",
+            f"{derived}/customer_persona",
+            folders[-1],
+            table_format="parquet",
+        )
+    duration, price = (readers.read_features(spark, f, "parquet") for f in folders)
+    return duration.join(price.drop("id"), "analytic_id")
+
+
+def scores_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One score of the sparse persona in ranges of ids; the first run ends after one."""
+    derived, out = scratch_path(spark, "derived-sparse"), scratch_path(spark, "ranges")
+    jobs.preprocess(
+        retail_inputs(spark, sf_dir), derived, table_format="parquet", shape="sparse"
+    )
+    for most in (1, None):
+        jobs.score_by_ranges(
+            spark,
+            "duration",
+            f"{derived}/package_preferences",
+            f"{derived}/customer_persona",
+            out,
+            batch=RANGE_IDS,
+            table_format="parquet",
+            most=most,
+        )
+    return batches.read_ranges(spark, out)
 
 
 def score_raw_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,6 +468,19 @@ def sparse_matmul(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.tall_product(quantities, matrix.to_tall(flags, "package", columns))
 
 
+def bought_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packages by packages: how much of one was bought by buyers of the other. Both
+    factors have a row for each customer and package."""
+    quantities = stage(persona.persona_quantities(retail_inputs(spark, sf_dir)), "quantities")
+    amounts = quantities.select(
+        F.col("package").alias("row"), F.col("analytic_id").alias("col"), F.col("qty").alias("value")
+    )
+    buyers = quantities.where("qty > 0").select(
+        F.col("analytic_id").alias("row"), F.col("package").alias("col"), F.lit(1).alias("value")
+    )
+    return matrix.block_product(amounts, buyers)
+
+
 QUERIES: dict[str, Query] = {
     "txn_csv_roundtrip": txn_csv_roundtrip,
     "tariff_csv_roundtrip": tariff_csv_roundtrip,
@@ -360,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "derived_dir_roundtrip": derived_dir_roundtrip,
     "tall_dir_roundtrip": tall_dir_roundtrip,
     "score_text_vectors": score_text_vectors,
+    "months_replaced": months_replaced,
     "persona_preview": persona_preview,
     "name_bridge": name_bridge,
     "attrs_with_new_name": attrs_with_new_name,
@@ -380,8 +509,11 @@ QUERIES: dict[str, Query] = {
     "persona_qty_wide": persona_qty_wide,
     "persona_share_tall": persona_share_tall,
     "persona_share_wide": persona_share_wide,
+    "persona_share_sql": persona_share_sql,
     "customer_persona": customer_persona,
+    "sparse_persona": sparse_persona,
     "customer_index": customer_index,
+    "ids_that_last": ids_that_last,
     "id_range": id_range,
     "id_from": id_from,
     "range_union": range_union,
@@ -393,6 +525,9 @@ QUERIES: dict[str, Query] = {
     "score_label_subset": score_label_subset,
     "score_label_rest": score_label_rest,
     "scores_in_id_order": scores_in_id_order,
+    "scores_by_customer": scores_by_customer,
+    "scores_in_ranges": scores_in_ranges,
     "score_raw_range": score_raw_range,
     "sparse_matmul": sparse_matmul,
+    "bought_together": bought_together,
 }

@@ -40,7 +40,7 @@ LABEL_REST = Buckets("size", vocab.SIZE_PREFIX, LAST_TYPES)
 SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, "
     "p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double",
     "events": "event_id bigint, user_id bigint, value double",
 }
@@ -64,6 +64,20 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def purchases_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with the year of their order (null without one)."""
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
+    return lines.join(
+        orders, lines["l_orderkey"] == orders["o_orderkey"], "left"
+    ).select(
+        F.col("o_custkey").alias("analytic_id"),
+        F.col("l_partkey").alias("package_id"),
+        F.col("l_quantity").alias("total_transaction"),
+        F.coalesce(F.year("o_orderdate"), F.lit(0)).alias("year"),
+    )
+
+
 def brand_attributes(part: DataFrame) -> DataFrame:
     """Attributes per brand (the old package name): those of its first part."""
     first = first_per_key(

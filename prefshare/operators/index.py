@@ -7,36 +7,29 @@ from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
 from prefshare.operators.sizing import fits
-from prefshare.sources.scratch import stage
+from prefshare.sources.ordered import read_ordered, write_ordered
+from prefshare.sources.scratch import scratch_path
 
 
-def dense_index(df: DataFrame, key: str, name: str = "id") -> DataFrame:
+def dense_index(
+    df: DataFrame,
+    key: str,
+    name: str = "id",
+    id_range: tuple[int | None, int | None] = (None, None),
+    keep_part: bool = False,
+) -> DataFrame:
     """Number all rows 0..N-1 by a unique key without one task seeing them all.
 
-    The rows are range-partitioned and sorted once and written to the shared
-    scratch folder together with their partition and place in it. The number is
-    the place plus the sizes of the partitions before. Range edges are sampled,
-    so they may differ between runs; reading back what was written, rather than
-    computing it twice, is what makes the ids exact and lets a lost executor's
-    work be read again.
+    The rows are range-partitioned, sorted once and written in order to the shared
+    scratch folder; the number is a row's place in its range plus the rows of the ranges
+    before. Reading back what was written, rather than computing it twice, is what makes
+    the ids exact and lets a lost executor's work be read again. Of an ``id_range`` (ends
+    included, None is open) only the parts that hold it are read.
     """
-    ranged = df.repartitionByRange(quoted(key)).sortWithinPartitions(quoted(key))
-    part = F.spark_partition_id()
-    # The generated id is the partition number above 33 bits of row count.
-    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("bigint"), 33)
-    placed = stage(
-        ranged.withColumns({"_part": part, "_place": place}), "dense-index"
-    )
-    # One row per range partition: as many as there were shuffle partitions.
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
-    return placed.join(F.broadcast(starts), "_part").select(
-        (F.col("_start") + F.col("_place")).cast("bigint").alias(name),
-        *[quoted(c) for c in df.columns],
-    )
+    spark = df.sparkSession
+    path = scratch_path(spark, "dense-index")
+    write_ordered(df, path, key, stated=False)
+    return read_ordered(spark, path, name, *id_range, keep_part, df.schema)
 
 
 def package_index(

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
 from prefshare.operators.sizing import BROADCAST_BYTES, broadcast_if_small
+from prefshare.sources.scratch import stage
+
+# Entries of one factor in a block of the blocked product.
+BLOCK_ENTRIES = 10_000
 
 
 def to_tall(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
@@ -50,3 +54,66 @@ def tall_product(
         .agg(F.sum(F.col("value") * F.col("factor")).alias("value"))
         .withColumnRenamed("out", "col")
     )
+
+
+def block_units(
+    left: DataFrame, right: DataFrame, entries: int = BLOCK_ENTRIES, limit: int = BROADCAST_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """The factors dealt into units (inner, i, j): row block i of the left entries of an
+    inner index, column block j of the right ones.
+
+    An inner index with more than ``entries`` entries on a side is cut there in blocks, by
+    the hash of the row or column; its blocks are repeated for every block of the other
+    side. All others are one unit. The counts that decide it are per inner index.
+    """
+    sizes = [
+        side.groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(F.col(key).alias("inner"), "n")
+        for side, key in ((left, "col"), (right, "row"))
+    ]
+    # Only an index that both sides have makes products.
+    hot = (
+        sizes[0]
+        .withColumnRenamed("n", "l")
+        .join(sizes[1].withColumnRenamed("n", "r"), "inner")
+        .where(F.greatest("l", "r") > entries)
+        .select(
+            "inner",
+            F.ceil(F.col("l") / entries).cast("int").alias("rows"),
+            F.ceil(F.col("r") / entries).cast("int").alias("cols"),
+        )
+    )
+    hot = broadcast_if_small(stage(hot, "hot-inner"), limit)
+    one = F.lit(1)
+
+    def dealt(side: DataFrame, own: str, mine: str, others: str) -> DataFrame:
+        cut = side.join(hot, "inner", "left").select(
+            *side.columns,
+            F.pmod(F.xxhash64(own), F.coalesce(mine, one)).cast("int").alias("_own"),
+            F.explode(F.sequence(F.lit(0), F.coalesce(others, one) - 1)).alias("_other"),
+        )
+        names = ("_i", "_j") if own == "row" else ("_j", "_i")
+        return cut.withColumnsRenamed(dict(zip(("_own", "_other"), names, strict=True)))
+
+    first = left.select("row", F.col("col").alias("inner"), "value")
+    second = right.select(
+        F.col("row").alias("inner"), F.col("col").alias("out"), F.col("value").alias("factor")
+    )
+    return dealt(first, "row", "rows", "cols"), dealt(second, "out", "cols", "rows")
+
+
+def block_product(
+    left: DataFrame, right: DataFrame, entries: int = BLOCK_ENTRIES, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``tall_product`` of two matrices that are both too large to be broadcast.
+
+    Entries meet by inner index and block: a unit has about ``entries`` of each factor at
+    most, so that an inner index on which very many rows and columns meet is spread over
+    tasks. Products are summed in their task before the partial sums move to their cell.
+    """
+    first, second = block_units(left, right, entries, limit)
+    return (
+        first.join(second, ["inner", "_i", "_j"])
+        .groupBy("row", "out")
+        .agg(F.sum(F.col("value") * F.col("factor")).alias("value"))
+        .withColumnRenamed("out", "col")
+    )

@@ -52,16 +52,18 @@ class PackageInputs:
 
 def read_inputs(
     spark: SparkSession,
-    transactions: str | Sequence[str],
+    transactions: str | Sequence[str] | DataFrame,
     old_tariff: str,
     new_tariff: str,
     attributes: str,
     size_labels: tuple[str, ...] = vocab.SIZE_LABELS,
 ) -> PackageInputs:
     """Inputs from their delimited files; ``transactions`` may be several, such
-    as one for each month."""
+    as one for each month, or a frame of purchases."""
+    if not isinstance(transactions, DataFrame):
+        transactions = readers.read_transactions(spark, transactions)
     return PackageInputs(
-        readers.read_transactions(spark, transactions),
+        transactions,
         readers.read_old_tariff(spark, old_tariff),
         readers.read_new_tariff(spark, new_tariff),
         readers.read_attributes(spark, attributes),

@@ -12,6 +12,7 @@ from prefshare.functions.weights import share, share_columns
 from prefshare.operators import names
 from prefshare.operators.encode import column_labels
 from prefshare.operators.index import dense_index
+from prefshare.operators.sparse import sparse_rows
 from prefshare.operators.persona import (
     all_quantities,
     package_quantities,
@@ -22,6 +23,7 @@ from prefshare.operators.persona import (
 )
 from prefshare.plans.inputs import PackageInputs
 from prefshare.plans.preferences import bought_package_labels
+from prefshare.sources.ordered import write_ordered
 from prefshare.sources.scratch import stage
 
 
@@ -142,3 +144,21 @@ def customer_persona(
     keys = ["id", "analytic_id"]
     counts = widen(numbered_quantities(staged.tall), [*keys, "total"], packages, "qty")
     return share_columns(counts, "total", keep=keys)
+
+
+def write_sparse_persona(
+    inputs: PackageInputs,
+    preferences: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    staged: StagedQuantities | None = None,
+) -> None:
+    """The persona as one sparse row per customer, in a folder in id order.
+
+    ``preferences`` (id, package, flags) gives the packages their ids. The rows are sorted
+    once, by customer; their ids come from that order.
+    """
+    staged = staged or staged_quantities(inputs)
+    ids = preferences.select("package", F.col("id").alias("package_id"))
+    rows = sparse_rows(staged.tall, ids, inputs.broadcast_limit)
+    write_ordered(rows, path, "analytic_id", mode)

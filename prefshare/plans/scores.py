@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from prefshare.operators import names
 from prefshare.operators.index import dense_index
-from prefshare.operators.ranges import id_between
 from prefshare.operators.scores import (
     DURATION,
     Buckets,
@@ -59,12 +58,14 @@ def raw_range_scores(
     score: Buckets = DURATION,
     id_range: tuple[int | None, int | None] = (None, None),
     excluded: Collection[str] = (),
+    keep_part: bool = False,
 ) -> DataFrame:
     """Purchase counts, not shares, per bucket; of all customers, or those of the
     id range the caller gives, and without the packages the caller excludes.
 
     Customers are numbered before packages are excluded: a customer who bought
-    nothing else keeps their place.
+    nothing else keeps their place. ``keep_part`` keeps the number of the ordered part
+    that holds a row.
     """
     labelled = labelled_purchases(inputs)
     if excluded:
@@ -73,5 +74,6 @@ def raw_range_scores(
             score.attribute, F.when(counted, F.col(score.attribute))
         )
     sums = bucket_sums(labelled, ["analytic_id"], "total_transaction", [score])
-    indexed = dense_index(sums.drop("total"), "analytic_id")
-    return id_between(indexed, *id_range)
+    return dense_index(
+        sums.drop("total"), "analytic_id", id_range=id_range, keep_part=keep_part
+    )

@@ -30,12 +30,15 @@ def settings_for(shuffle_bytes: int) -> dict[str, str]:
 
 
 def listed_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Bytes of the files and folders, from their listing."""
+    """Bytes of the files and folders, from their listing; names may be patterns."""
     total = 0
     for name in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
         store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        total += store.getContentSummary(path).getLength()
+        found = store.globStatus(path) or []
+        if not found:
+            raise FileNotFoundError(name)
+        total += sum(store.getContentSummary(f.getPath()).getLength() for f in found)
     return total
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
 from prefshare.sources import schemas
+from prefshare.sources.bucketed import is_bucketed, read_bucketed
 from prefshare.sources.schemas import Field
 
 
@@ -94,4 +95,7 @@ def read_vectors(spark: SparkSession, path: str, values: Sequence[str]) -> DataF
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder; one that was written by key keeps its buckets."""
+    if is_bucketed(spark, path):
+        return read_bucketed(spark, path)
     return spark.read.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
+from prefshare.sources.bucketed import write_bucketed
 
 
 def write_delimited(
@@ -30,10 +31,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_table(
-    df: DataFrame, path: str, table_format: str = "csv", mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    table_format: str = "csv",
+    mode: str = "errorifexists",
+    key: str | None = None,
 ) -> None:
-    """A derived table, as pipe-delimited text or as Parquet."""
-    if table_format == "parquet":
+    """A derived table, as pipe-delimited text or as Parquet, which keeps its rows by the
+    key if one is given."""
+    if table_format == "parquet" and key is not None:
+        write_bucketed(df, path, key, mode)
+    elif table_format == "parquet":
         write_parquet(df, path, mode)
     else:
         write_delimited(df, path, mode=mode)
@@ -56,9 +64,19 @@ def write_vectors(
     key: str,
     values: Sequence[str],
     mode: str = "errorifexists",
+    part: str | None = None,
 ) -> None:
-    """Text folder of vectors; each line keeps its row key."""
-    df.select(vector_text(key, values)).write.mode(mode).text(path)
+    """Text folder of vectors; each line keeps its row key.
+
+    With the ``part`` of rows that were read from ordered files, each part is a folder
+    of its own and its lines are in order of the key: no shuffle, no second sort of all.
+    """
+    lines = vector_text(key, values)
+    if part is None:
+        df.select(lines).write.mode(mode).text(path)
+        return
+    ordered = df.sortWithinPartitions(quoted(part), quoted(key)).select(lines, quoted(part).alias("part"))
+    ordered.write.mode(mode).partitionBy("part").text(path)
 
 
 def preview(df: DataFrame, order: str = "id", rows: int = 20) -> DataFrame:
