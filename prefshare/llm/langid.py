@@ -4,7 +4,9 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 word's likelihood is the sum, over all its segmentations into pieces, of the
 product of their probabilities; a forward pass over its characters computes it,
 for many words and all languages at once. The probabilities come from expected
-counts (forward and backward passes) on a bounded sample of labelled documents.
+counts (forward and backward passes) on a bounded sample of labelled documents. All
+letters and pieces of the vocabulary that the sample holds are learned, and runs of
+any length count.
 """
 
 from __future__ import annotations
@@ -23,16 +25,16 @@ from prefshare.llm.common import rechunked, text_column
 from prefshare.llm.words import words_of
 
 UNDETERMINED = "und"
-# Documents of the fit for each language, about; characters it tells apart.
+# Documents of the fit for each language, about.
 FIT_DOCUMENTS = 400
-ALPHABET = 500
 EM_ROUNDS = 4
-# Words whose segmentations are held at once.
-FIT_ROWS = 4096
+# Characters of the words whose segmentations are held at once.
+FIT_LETTERS = 1 << 16
+# Characters after which sums are rescaled; so many unknown ones do not underflow.
+RESCALE = 8
 # Weight added to every piece's expected count; probability of any other character.
 SMOOTHING = 0.1
 UNKNOWN = 1e-7
-LONGEST_PIECE = 16
 KEPT_WORDS = 500_000
 CHUNK_BYTES = 4 << 20
 START = "▁"
@@ -59,10 +61,13 @@ def letter_runs(word: str) -> list[str]:
 
 
 class Trie:
-    """Pieces as a table of states by characters; state 0 is dead, 1 the root."""
+    """Pieces as states; state 0 is dead, 1 the root. Steps are sorted by state and
+    character, so that their number is that of the pieces' characters, whatever the
+    size of the alphabet."""
 
     def __init__(self, pieces: list[str], alphabet: str):
         self.code = {c: i + 1 for i, c in enumerate(alphabet)}
+        self.longest = max(map(len, pieces), default=1)
         rows: list[dict[int, int]] = [{}, {}]
         piece = [-1, -1]
         for number, text in enumerate(pieces):
@@ -76,14 +81,24 @@ class Trie:
                     piece.append(-1)
                 state = following
             piece[state] = number
-        self.step = np.zeros((len(rows), len(alphabet) + 1), np.int32)
-        for state, row in enumerate(rows):
-            for c, following in row.items():
-                self.step[state, c] = following
+        self.width = len(alphabet) + 1
+        steps = sorted(
+            (state * self.width + c, following)
+            for state, row in enumerate(rows)
+            for c, following in row.items()
+        )
+        # The last one is met by no state.
+        self.keys = np.array([k for k, _ in steps] + [len(rows) * self.width], np.int64)
+        self.following = np.array([f for _, f in steps] + [0], np.int32)
         self.piece = np.array(piece)
         # Characters that are no piece themselves pass with the unknown probability.
-        single = self.piece[self.step[1]]
-        self.alone = single < 0
+        first = self.step(np.ones(self.width, np.int64), np.arange(self.width))
+        self.alone = self.piece[first] < 0
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        key = state * np.int64(self.width) + code
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.following[at], 0)
 
     def codes(self, runs: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Runs of equal length together: (their numbers, characters as codes)."""
@@ -105,9 +120,9 @@ def _edges(trie: Trie, codes: np.ndarray, at: int) -> Iterator[tuple[int, np.nda
     """Pieces that start at a character: (length, rows, piece numbers or -1 for an
     unknown character)."""
     rows = np.arange(len(codes))
-    state = np.ones(len(codes), np.int32)
+    state = np.ones(len(codes), np.int64)
     for length in range(1, codes.shape[1] - at + 1):
-        state = trie.step[state, codes[rows, at + length - 1]]
+        state = trie.step(state, codes[rows, at + length - 1])
         if length == 1:
             lone = trie.alone[codes[:, at]]
             if lone.any():
@@ -131,7 +146,7 @@ def forward(trie: Trie, chances: np.ndarray, codes: np.ndarray) -> np.ndarray:
     not grow with the length and long runs do not underflow.
     """
     count, n = codes.shape
-    ring = np.zeros((LONGEST_PIECE + 1, count, chances.shape[1]))
+    ring = np.zeros((trie.longest + 1, count, chances.shape[1]))
     ring[0] = 1
     scale = np.zeros((count, chances.shape[1]))
     for at in range(n):
@@ -139,7 +154,7 @@ def forward(trie: Trie, chances: np.ndarray, codes: np.ndarray) -> np.ndarray:
         for length, rows, piece in _edges(trie, codes, at):
             ring[(at + length) % len(ring)][rows] += here[rows] * chances[piece]
         here[:] = 0
-        if at % 8 == 7:
+        if at % RESCALE == RESCALE - 1:
             top = ring.max(axis=0)
             ring /= top
             scale += np.log(top)
@@ -169,18 +184,11 @@ class Model:
         runs = sorted({START + run for _, run, _ in counts})
         number = {run: i for i, run in enumerate(runs)}
         amount = np.zeros((len(runs), len(languages)))
-        letters: dict[str, int] = {}
         for lang, run, n in counts:
             amount[number[START + run], languages.index(lang)] += n
-            for c in run:
-                letters[c] = letters.get(c, 0) + n
-        common = sorted(letters, key=lambda c: (-letters[c], c))[:ALPHABET]
-        alphabet = START + "".join(sorted(common))
-        known = set(alphabet)
-        pieces = sorted(
-            {p for p in vocabulary if p and len(p) <= LONGEST_PIECE and set(p) <= known}
-            | {START}
-        )
+        letters = set().union(*runs)
+        pieces = sorted({p for p in vocabulary if p and letters.issuperset(p)} | {START})
+        alphabet = "".join(sorted(set().union(*pieces)))
         trie = Trie(pieces, alphabet)
         groups = trie.codes(runs)
         chances = np.full((len(pieces) + 1, len(languages)), 1 / len(pieces))
@@ -188,8 +196,9 @@ class Model:
         for _ in range(rounds):
             expected = np.zeros_like(chances)
             for rows, codes in groups:
-                for at in range(0, len(rows), FIT_ROWS):
-                    some = slice(at, at + FIT_ROWS)
+                step = max(1, FIT_LETTERS // codes.shape[1])
+                for at in range(0, len(rows), step):
+                    some = slice(at, at + step)
                     _expect(trie, chances, codes[some], amount[rows[some]], expected)
             expected = expected[:-1] + SMOOTHING
             chances[:-1] = (1 - UNKNOWN) * expected / expected.sum(axis=0)
@@ -199,25 +208,47 @@ class Model:
 def _expect(
     trie: Trie, chances: np.ndarray, codes: np.ndarray, amount: np.ndarray, out: np.ndarray
 ) -> None:
-    """Add the expected piece counts of runs of one length to ``out``."""
+    """Add the expected piece counts of runs of one length to ``out``.
+
+    Sums that are still open are rescaled together every few characters; the logarithms
+    of the scales up to each character are kept beside them.
+    """
     count, n = codes.shape
-    if n > 60:
-        return  # one run of that length says little, and its products underflow
-    ahead = np.zeros((n + 1, count, chances.shape[1]))
-    ahead[0] = 1
+    shape = (n + 1, count, chances.shape[1])
     edges = [list(_edges(trie, codes, at)) for at in range(n)]
+    ahead, ahead_log = np.zeros(shape), np.zeros(shape)
+    ahead[0] = 1
+    log = np.zeros(shape[1:])
     for at in range(n):
         for length, rows, piece in edges[at]:
             ahead[at + length][rows] += ahead[at][rows] * chances[piece]
-    back = np.zeros_like(ahead)
+        if at % RESCALE == RESCALE - 1:
+            reached = ahead[at + 1 : at + 1 + trie.longest]
+            top = reached.max(axis=0)
+            reached /= top
+            log = log + np.log(top)
+        ahead_log[at + 1] = log
+    back, back_log = np.zeros(shape), np.zeros(shape)
     back[n] = 1
+    log = np.zeros(shape[1:])
     for at in range(n - 1, -1, -1):
         for length, rows, piece in edges[at]:
+            # What lies ahead has been scaled up to the last rescaling.
             back[at][rows] += chances[piece] * back[at + length][rows]
-    share = amount / ahead[n]
+        if (n - 1 - at) % RESCALE == RESCALE - 1:
+            reached = back[at : at + trie.longest]
+            top = reached.max(axis=0)
+            reached /= top
+            log = log + np.log(top)
+            back_log[at : at + trie.longest] = log
+        else:
+            back_log[at] = log
+    whole = np.log(ahead[n]) + ahead_log[n]
     for at in range(n):
         for length, rows, piece in edges[at]:
-            value = ahead[at][rows] * chances[piece] * back[at + length][rows] * share[rows]
+            scale = ahead_log[at][rows] + back_log[at + length][rows] - whole[rows]
+            value = ahead[at][rows] * chances[piece] * back[at + length][rows]
+            value *= np.exp(scale) * amount[rows]
             for k in range(out.shape[1]):
                 out[:, k] += np.bincount(
                     np.where(piece < 0, len(out) - 1, piece), value[:, k], len(out)
@@ -231,8 +262,8 @@ class Scorer:
         self.model = model
         self.trie = Trie(list(model.pieces), model.alphabet)
         self.known = np.zeros(0, np.uint64)
-        # Log likelihoods, and whether the word has a letter.
-        self.values = np.zeros((0, len(model.languages) + 1), np.float32)
+        # Log likelihoods, letters, and letters that some learned piece has.
+        self.values = np.zeros((0, len(model.languages) + 2), np.float32)
 
     def _new(self, words: list[str]) -> np.ndarray:
         runs, owner = [], []
@@ -240,20 +271,23 @@ class Scorer:
             for run in letter_runs(word):
                 runs.append(START + run)
                 owner.append(i)
-        out = np.zeros((len(words), len(self.model.languages) + 1))
+        out = np.zeros((len(words), len(self.model.languages) + 2))
         if runs and self.model.languages:
             scores = np.zeros((len(runs), len(self.model.languages)))
+            known = np.zeros(len(runs))
             for rows, codes in self.trie.codes(runs):
                 scores[rows] = forward(self.trie, self.model.chances, codes)
-            np.add.at(out[:, :-1], owner, scores)
-        out[owner, -1] = 1
+                known[rows] = (codes[:, 1:] > 0).sum(axis=1)
+            np.add.at(out[:, :-2], owner, scores)
+            np.add.at(out[:, -1], owner, known)
+        np.add.at(out[:, -2], owner, [len(run) - 1 for run in runs])
         # As they are kept, so that a score does not depend on what was met before.
         return out.astype(np.float32)
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """Sums of the words' values for each text."""
         words = words_of(texts)
-        width = len(self.model.languages) + 1
+        width = len(self.model.languages) + 2
         if not len(words.starts):
             return np.zeros((len(texts), width))
         found, first, where = np.unique(
@@ -290,7 +324,7 @@ def decide(model: Model, values: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and posterior probability (equal priors) from sums of values."""
     if not model.languages:
         return [UNDETERMINED] * len(values), np.zeros(len(values))
-    logs, letters = values[:, :-1], values[:, -1] > 0
+    logs, letters = values[:, :-2], values[:, -2] > 0
     best = logs.argmax(axis=1)
     chance = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
     names = [
@@ -384,16 +418,27 @@ def identify(
     )
 
 
+def identified(model: Model, values: np.ndarray) -> np.ndarray:
+    """Which texts have a language: ``decide`` names one, and learned pieces hold half of
+    the letters at least. Where nothing could be learned any letter will do."""
+    letters, known = values[:, -2], values[:, -1]
+    if not model.languages:
+        return letters > 0
+    named = np.array([name != UNDETERMINED for name in decide(model, values)[0]], bool)
+    return named & (2 * known >= letters)
+
+
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose text has a letter, that is all but those of an undetermined
-    language, unchanged. A table from which nothing could be learned keeps its
-    texts as well."""
+    """The rows whose text has a language of the model, see ``identified``, unchanged.
+    Null and empty texts and those without a letter go, as do those in letters that no
+    learned piece has. A table from which nothing could be learned keeps every text with
+    a letter."""
     digest = model.digest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model, digest)
         for batch in rechunked(batches, text, CHUNK_BYTES):
-            letters = scorer.score(text_column(batch, text))[:, -1] > 0
-            yield batch.filter(pa.array(letters))
+            keep = identified(model, scorer.score(text_column(batch, text)))
+            yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -142,8 +143,9 @@ def test_forward_sums_all_segmentations(model):
     scorer = langid.Scorer(model)
     for word in ("the", "haus", "garden", "xyz", "мир", "thehaus"):
         got = scorer._new([word])[0]
-        assert got[-1] == 1
-        assert np.allclose(got[:-1], [all_segmentations(model, word, k) for k in range(2)])
+        assert got[-2] == len(word)
+        assert got[-1] == sum(c in model.alphabet for c in word)
+        assert np.allclose(got[:-2], [all_segmentations(model, word, k) for k in range(2)])
 
 
 def test_probabilities_sum_to_one(model):
@@ -160,6 +162,74 @@ def test_long_and_repeated_words(model):
     assert names == ["en", "de", "und", "und", "de"] and ((chance >= 0) & (chance <= 1)).all()
 
 
+def test_expected_counts_are_those_of_all_segmentations():
+    """Also of runs so long that the sums are rescaled."""
+    pieces = ["▁", "a", "b", "ab", "ba", "aab", "abababababababababab"]
+    trie = langid.Trie(pieces, "▁ab")
+    assert trie.longest == 20
+    rng = np.random.default_rng(4)
+    chances = rng.random((len(pieces) + 1, 2)) * 0.1
+    chances[-1] = langid.UNKNOWN
+
+    def segmentations(rest):
+        if not rest:
+            yield []
+        for i, piece in enumerate(pieces):
+            if rest.startswith(piece):
+                yield from ([i, *more] for more in segmentations(rest[len(piece) :]))
+        if rest and rest[0] not in "▁ab":
+            yield from ([len(pieces), *more] for more in segmentations(rest[1:]))
+
+    for run in ("▁abab", "▁aabxba", "▁abababababababababab"):
+        want = np.zeros_like(chances)
+        every = list(segmentations(run))
+        weight = np.array([chances[x].prod(axis=0) for x in every])
+        for x, w in zip(every, weight / weight.sum(axis=0), strict=True):
+            np.add.at(want, x, w)
+        got = np.zeros_like(chances)
+        ((_, codes),) = trie.codes([run])
+        langid._expect(trie, chances, codes, np.ones((1, 2)), got)
+        assert np.allclose(got, want)
+    got = np.zeros_like(chances)
+    ((_, codes),) = trie.codes(["▁" + "abx" * 700])
+    langid._expect(trie, chances, codes, np.ones((1, 2)), got)
+    length = np.array([1, 1, 1, 2, 2, 3, 20, 1])
+    assert np.allclose(length @ got, 2101) and np.allclose(got[-1], 700)
+
+
+def test_letters_of_large_alphabets_are_told_apart():
+    """Two languages that share 2,000 letters of a large script, half for each."""
+    vocabulary = [chr(0x4E00 + i) for i in range(2_000)]
+    rng = random.Random(6)
+    halves = vocabulary[::2], vocabulary[1::2]
+
+    def words(half, n):
+        return ["".join(rng.choices(half, k=rng.randint(2, 6))) for _ in range(n)]
+
+    counts = [(name, w, 1) for name, half in zip("xy", halves, strict=True) for w in words(half, 4_000)]
+    fitted = langid.Model.fit(counts, vocabulary)
+    assert len(fitted.alphabet) == 2_001
+    scorer = langid.Scorer(fitted)
+    for name, half in zip("xy", halves, strict=True):
+        names, _ = langid.decide(fitted, scorer.score(pa.array(words(half, 300), pa.large_string())))
+        assert names == [name] * 300
+
+
+def test_long_runs_are_learned():
+    runs = {"xx": "ab" * 100, "yy": "ba" * 50 + "bb" * 50}
+    fitted = langid.Model.fit([(k, r, 1) for k, r in runs.items()], ["a", "b", "ab", "ba", "bb"])
+    scorer = langid.Scorer(fitted)
+    names, chance = langid.decide(fitted, scorer.score(pa.array(list(runs.values()), pa.large_string())))
+    assert names == ["xx", "yy"] and (chance > 0.99).all()
+
+
+def test_texts_in_unknown_letters_have_no_language(model):
+    scorer = langid.Scorer(model)
+    texts = ["the garden", "мир и труд", "the garden мир и труд да", "日本語日本語 the", "12", ""]
+    kept = langid.identified(model, scorer.score(pa.array(texts, pa.large_string())))
+    assert kept.tolist() == [True, False, False, False, False, False]
+
+
 def test_languages_of_a_table(spark):
     importable(spark)
     rows = [(i, (ENGLISH, GERMAN)[i % 2], ("en", "de")[i % 2], "x") for i in range(80)]
