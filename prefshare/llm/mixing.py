@@ -10,20 +10,22 @@ The schedule repeats after L slots, one *round* in which a source gives as many
 blocks as its weight. So only rounds that differ are scheduled: they change when
 a source has no full round left, at most twice for each source. From then on the
 others share its slots by their weights; no row is dropped or repeated. All of
-it is DataFrame expressions: the schedules are built in one row that holds the
-sources' weights and block counts, and a row finds its slot by its rank within
-its source.
+it is DataFrame expressions: each span of rounds that are alike is scheduled in a row
+that holds the sources' weights and block counts, and a row finds its slot by its rank
+within its source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
 from prefshare.llm.common import fresh_name, group_ranks
+from prefshare.operators.sizing import BROADCAST_BYTES, broadcast_if_small
+from prefshare.sources.scratch import stage
 
 BLOCK_ROWS = 64
 MOST_WEIGHT = 10_000
@@ -50,20 +52,24 @@ aggregate(
 
 
 def _schedules(sizes: DataFrame, block_rows: int) -> DataFrame:
-    """Rows (stream, weight, from_round, to_round, base, slots, places, late) from
-    rows (stream, weight, rows). ``places`` are the stream's slots in one round,
-    ``base`` the slots before ``from_round``; ``late`` holds for every stream with
-    a short last block that block's slot and the rows it lacks. All its rows come
-    from the weights, at most twice their number squared."""
-    one = sizes.agg(
-        F.sort_array(
-            F.collect_list(
-                F.expr(
-                    f"struct(stream, weight, (rows + {block_rows - 1}) div {block_rows}"
-                    f" as blocks, pmod(-rows, {block_rows}) as lack)"
-                )
-            )
-        ).alias("src")
+    """Rows (stream, weight, from_round, to_round, base, slots, places, late, late_before)
+    from rows (stream, weight, rows), one for each stream and each span of rounds that
+    are alike. ``places`` are the stream's slots in one round, ``base`` the slots before
+    ``from_round``; ``late`` holds the last blocks of streams that end in these rounds and
+    are short, as their slots and the rows they lack, and ``late_before`` the rows that
+    were lacking before. Rows are at most twice the square of the number of streams."""
+    spark = sizes.sparkSession
+    streams = stage(
+        sizes.select(
+            "stream",
+            "weight",
+            F.expr(f"(rows + {block_rows - 1}) div {block_rows}").alias("blocks"),
+            F.expr(f"pmod(-rows, {block_rows})").alias("lack"),
+        ),
+        "mix-streams",
+    )
+    one = streams.agg(
+        F.sort_array(F.collect_list(F.struct("stream", "weight", "blocks"))).alias("src")
     ).filter("size(src) > 0")
     rounds = "((x.blocks + x.weight - 1) div x.weight)"
     cuts = F.expr(
@@ -73,55 +79,80 @@ def _schedules(sizes: DataFrame, block_rows: int) -> DataFrame:
     following = F.explode(
         F.expr("transform(cuts, (c, i) -> struct(c as start, get(cuts, i + 1) as next))")
     )
-    parts = (
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    active = F.expr(
+        "transform(filter(src, x -> x.blocks > from_round * x.weight), x ->"
+        " struct(x.stream as stream, least(x.weight, x.blocks - from_round * x.weight) as give))"
+    )
+    # Each span of rounds is scheduled by itself, once.
+    scheduled = stage(
         one.withColumn("cuts", cuts)
         .withColumn("cut", following)
         .withColumn("from_round", F.col("cut.start"))
         .withColumn("to_round", F.col("cut.next"))
         .filter("to_round is not null")
+        .repartition(tasks, "from_round")
         .withColumn(
             "base",
             F.expr(
                 "aggregate(src, 0L, (a, x) -> a + least(x.blocks, from_round * x.weight))"
             ),
         )
-        .withColumn(
-            "active",
-            F.expr(
-                "transform(filter(src, x -> x.blocks > from_round * x.weight), x ->"
-                " struct(x as own, x.stream as stream,"
-                " least(x.weight, x.blocks - from_round * x.weight) as give))"
-            ),
-        )
+        .withColumn("active", active)
         .withColumn("slots", F.expr("aggregate(active, 0L, (a, x) -> a + x.give)"))
         .withColumn("order", F.expr(_SCHEDULE))
-        .withColumn("own", F.explode("active.own"))
-        .withColumn(
-            "places",
-            F.expr(
-                "filter(sequence(0L, slots - 1), k -> order[cast(k as int)] = own.stream)"
-            ),
-        )
-        .withColumn("last", F.expr("(own.blocks - 1) div own.weight"))
+        .select("from_round", "to_round", "base", "slots", "order"),
+        "mix-schedules",
+    )
+    span = ["from_round", "to_round", "base", "slots"]
+    parts = (
+        scheduled.select(*span, F.posexplode("order").alias("k", "stream"))
+        .groupBy(*span, "stream")
+        .agg(F.sort_array(F.collect_list(F.col("k").cast("bigint"))).alias("places"))
+        .join(streams, "stream")
+        .withColumn("last", F.expr("(blocks - 1) div weight"))
     )
     short = F.expr(
-        """if(own.lack > 0 and last >= from_round and last < to_round,
-        struct(base + (last - from_round) * slots
-               + places[cast((own.blocks - 1) % own.weight as int)] as slot,
-               own.lack as lack), null)"""
-    )
-    return parts.select(
-        F.col("own.stream").alias("stream"),
-        F.col("own.weight").alias("weight"),
+        """if(lack > 0 and last >= from_round and last < to_round,
+        struct(base + (last - from_round) * slots + places[cast((blocks - 1) % weight as int)]
+               as slot, lack as lack), null)"""
+    )
+    rows = stage(
+        parts.select("stream", "weight", *span, "places", short.alias("short")), "mix-rounds"
+    )
+    before = Window.orderBy("from_round").rowsBetween(Window.unboundedPreceding, -1)
+    late = rows.groupBy("from_round").agg(
+        F.collect_list("short").alias("late"), F.sum("short.lack").alias("lacks")
+    )
+    late = late.select(
         "from_round",
-        "to_round",
-        "base",
-        "slots",
-        "places",
-        F.collect_list(short).over(Window.partitionBy()).alias("late"),
+        "late",
+        F.coalesce(F.sum("lacks").over(before), F.lit(0)).alias("late_before"),
+    )
+    return rows.drop("short").join(late, "from_round")
+
+
+def _streams(spark: SparkSession, weights: Mapping[str, int]) -> DataFrame:
+    """Rows (name, stream, weight) of the named sources."""
+    return (
+        spark.range(1)
+        .select(
+            F.lit(list(weights)).cast("array<string>").alias("names"),
+            F.lit([int(w) for w in weights.values()]).cast("array<bigint>").alias("weights"),
+        )
+        .select(F.posexplode(F.arrays_zip("names", "weights")).alias("stream", "pair"))
+        .select(
+            F.col("pair.names").alias("name"), "stream", F.col("pair.weights").alias("weight")
+        )
     )
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that have one; it tells rows of one key apart."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*map(quoted, plain))
+
+
 def mix(
     df: DataFrame,
     weights: Mapping[str, int],
@@ -135,11 +166,11 @@ def mix(
     row's place among all rows, gapless from 0).
 
     ``weights`` gives named sources their integer weights; all other sources,
-    and a null source, are one stream of weight ``rest``. Their number bounds
-    the tables that are broadcast. A source's rows stand in a hashed order of
-    ``order``; nulls there are values like any other, and rows that are equal in
-    ``order`` may swap places. Columns of the three names are replaced. An empty
-    table gives no rows.
+    and a null source, are one stream of weight ``rest``. A source's rows stand in a
+    hashed order of ``order`` and, where that is equal, of the whole row, so that every
+    run gives a row the same place; nulls there are values like any other. Only rows that
+    are equal in every column may swap places. Columns of the three names are replaced. An
+    empty table gives no rows.
     """
     values = [*weights.values(), rest]
     if any(int(w) != w or w < 1 for w in values) or sum(values) > MOST_WEIGHT:
@@ -147,19 +178,37 @@ def mix(
     added = ("mix_block", "mix_slot", "mix_position")
     columns = [c for c in df.columns if c.casefold() not in added]
     stream, rank = fresh_name(df, "_stream"), fresh_name(df, "_rank")
-    number = F.lit(len(weights))
-    for i, name in enumerate(weights):
-        number = F.when(quoted(source) == F.lit(name), F.lit(i)).otherwise(number)
-    rows = df.select(*map(quoted, columns), number.cast("int").alias(stream))
-    weight = F.element_at(
-        F.array(*[F.lit(w).cast("bigint") for w in values]), quoted(stream) + 1
-    )
-    sizes = rows.groupBy(quoted(stream)).agg(F.count(F.lit(1)).alias("rows"))
-    sizes = sizes.select(quoted(stream).alias("stream"), weight.alias("weight"), "rows")
+    rows = df.select(*map(quoted, columns))
+    same = fresh_name(df, "_same")
+    if weights:
+        # One row for each named source: as many as the caller lists.
+        named = _streams(df.sparkSession, weights).select(F.struct("*").alias(same))
+        rows = rows.join(
+            broadcast_if_small(named), quoted(source) == F.col(f"{same}.name"), "left"
+        )
+        number, weight = F.col(f"{same}.stream"), F.col(f"{same}.weight")
+    else:
+        number = weight = F.lit(None)
+    rows = rows.select(
+        *map(quoted, columns),
+        F.coalesce(number.cast("int"), F.lit(len(weights))).alias(stream),
+        F.coalesce(weight.cast("bigint"), F.lit(int(rest))).alias(same),
+    )
+    sizes = rows.groupBy(quoted(stream)).agg(
+        F.first(quoted(same)).alias("weight"), F.count(F.lit(1)).alias("rows")
+    )
+    sizes = sizes.withColumnRenamed(stream, "stream")
+    rows = rows.drop(same)
     plan = _schedules(sizes, block_rows)
     own = fresh_name(df, "_plan")
-    plan = plan.select(F.struct(*plan.columns).alias(own))
-    ranked = group_ranks(rows, [stream], [quoted(c) for c in order], rank, rows.count())
+    plan = stage(plan.select(F.struct(*plan.columns).alias(own)), "mix-plan")
+    held = F.lit(100) + 8 * (F.size(f"{own}.places") + 2 * F.size(f"{own}.late"))
+    if (plan.agg(F.sum(held)).first()[0] or 0) <= BROADCAST_BYTES:
+        plan = F.broadcast(plan)
+    total = rows.count()
+    ranked = group_ranks(
+        rows, [stream], [*[quoted(c) for c in order], row_hash(rows)], rank, total
+    )
     block = F.expr(f"`{rank}` div {block_rows}")
     slot = F.expr(
         f"{own}.base + (mix_block div {own}.weight - {own}.from_round) * {own}.slots"
@@ -167,13 +216,13 @@ def mix(
     )
     # Blocks before are full, but for the last ones of sources that have ended.
     position = F.expr(
-        f"mix_slot * {block_rows} + `{rank}` % {block_rows}"
+        f"mix_slot * {block_rows} + `{rank}` % {block_rows} - {own}.late_before"
         f" - aggregate({own}.late, 0L, (a, x) -> a + if(x.slot < mix_slot, x.lack, 0L))"
     )
     return (
         ranked.withColumn("mix_block", block)
         .join(
-            F.broadcast(plan),
+            plan,
             (quoted(stream) == F.col(f"{own}.stream"))
             & (F.expr(f"mix_block div {own}.weight >= {own}.from_round"))
             & (F.expr(f"mix_block div {own}.weight < {own}.to_round")),

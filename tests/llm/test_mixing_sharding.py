@@ -83,6 +83,31 @@ def test_mix_of_nothing_and_of_one_source(spark):
         mixing.mix(same, {"a": 0}, 1)
 
 
+def test_very_many_sources(spark):
+    names = [f"s{i:04d}" for i in range(2_000)]
+    rows = [(i, names[i % 2_000]) for i in range(2_600)] + [(9_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    out = mixing.mix(docs, dict.fromkeys(names, 2), 5, block_rows=1).collect()
+    assert sorted(r.mix_position for r in out) == list(range(len(rows)))
+    assert sorted((r.doc_id, r.source) for r in out if r.source) == sorted(rows[:-1])
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_rows_of_one_id_keep_their_places(spark, monkeypatch, limit):
+    """Whatever order and partitions the rows come in, and however the plan is joined."""
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", limit)
+    rows = [(i % 7 or None, "ab"[i % 3 % 2], f"text {i}") for i in range(400)]
+
+    def mixed(some, parts):
+        docs = spark.createDataFrame(some, "doc_id long, source string, text string").repartition(parts)
+        frame = mixing.mix(docs, {"a": 2, "b": 3}, 1, block_rows=8)
+        return sorted((r.mix_position, r.text, r.mix_slot) for r in frame.collect())
+
+    first = mixed(rows, 3)
+    assert [p for p, *_ in first] == list(range(400))
+    assert mixed(rows[::-1], 5) == first
+
+
 def test_mix_order_is_written(spark):
     mixed = mixing.mix(sources(spark, 400), {"a": 1, "b": 1}, 1, block_rows=4)
     parts = mixing.in_mix_order(mixed).rdd.map(lambda r: r.mix_position).glom().collect()
