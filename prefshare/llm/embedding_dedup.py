@@ -74,7 +74,12 @@ class Tables:
 
 
 def unit_rows(vectors: list[np.ndarray]) -> np.ndarray:
+    """Rows of length one, of vectors of any finite size that are not zero."""
     rows = np.array(vectors, np.float64)
+    # The largest component becomes one, so that no square is too large or too small. A
+    # power of two leaves the other components' digits as they are.
+    top = np.abs(rows).max(axis=1, initial=0.0, keepdims=True)
+    rows = np.ldexp(rows, 1 - np.frexp(top)[1])
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
@@ -262,8 +267,8 @@ def near_vectors(
     good = (
         F.col("vec_id").isNotNull()
         & (F.size("v") > 0)
-        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e150))
-        & F.exists("v", lambda x: F.abs(x) > 1e-150)
+        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        & F.exists("v", lambda x: x != 0)
     )
     # 128 bits of hash stand for the vector; null keys are joined with nothing.
     keyed = rows.select(

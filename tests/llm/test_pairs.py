@@ -192,6 +192,21 @@ def test_near_vectors_odd_rows(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_size_are_compared(spark):
+    importable(spark)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(40, 16))
+    rows = [(i, (v * s).tolist()) for i, v in enumerate(base) for s in (1e250, 1e-250, 1.0)]
+    data = [(100 * k + i, v) for k, (i, v) in enumerate(rows)]
+    data += [(90_001, [float("inf")] * 16), (90_002, [1e300] * 15 + [float("nan")])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df).collect()}
+    for at in range(0, len(rows), 3):
+        ids = [data[at + k][0] for k in range(3)]
+        assert all(got[i].n_links >= 2 and got[i].component_id <= ids[0] for i in ids)
+    assert all(got[i].n_links == 0 and got[i].kept for i in (90_001, 90_002))
+
+
 def test_hadamard_is_orthogonal():
     h = embedding_dedup.hadamard(np.eye(16)) / 4
     assert np.allclose(h @ h.T, np.eye(16))
