@@ -3,10 +3,13 @@
 Nodes of a document's field are its tokens with a digit or an at sign. Neighbours
 in the text share a chain potential, near (parts of one entity) or far; tokens
 that repeat, or hold the same digits or the same mailbox name, share a skip
-potential with the occurrence before, wherever in the document that is. Loopy
-belief propagation makes the labels of such tokens agree. The field is fitted by
-pseudo-likelihood to the patterns' own labels on a bounded sample; what it finds
-beyond the patterns is added to their spans.
+potential with the first and the last occurrence before, wherever in the document
+those are. Tokens that a pattern covers are known; loopy belief propagation, until
+the messages settle, carries what is known to the tokens like them. The field is
+fitted by pseudo-likelihood to the patterns' labels on a bounded sample, where a
+token that is like a covered one but not covered itself has no label: whether such
+tokens agree is what the field is for. What it finds beyond the patterns is added to
+their spans.
 """
 
 from __future__ import annotations
@@ -31,9 +34,17 @@ FIT_DOCUMENTS = 2_000
 FIT_CHARS = 20_000
 FIT_STEPS = 300
 HASHES = 1 << 40
-BP_ROUNDS = 10
-# A token beyond the patterns needs this marginal probability.
-ADDED = 0.95
+# Messages have settled when none changes by more than this (in logarithms).
+SETTLED = 1e-4
+# Rounds after which steps get smaller, so that messages that swing settle as well.
+FULL_STEPS = 100
+# The weight of knowing a node's label.
+KNOWN = 50.0
+# Penalties of the weights; skip potentials have few examples and a small one.
+PENALTY, SKIP_PENALTY = 1e-4, 1e-7
+# A token beyond the patterns needs this marginal probability if skip edges lead to a
+# covered one, and this one if only its shape and its neighbours speak for it.
+ALIKE, ADDED = 0.5, 0.95
 CHUNK_BYTES = 2 << 20
 
 _DIGIT = re.compile("[0-9]")
@@ -142,17 +153,18 @@ def nodes_of(text: str) -> Nodes:
                 features[i - 1].append(_AT["near_after"])
                 if _AT["plus"] in features[i - 1]:
                     features[i].append(_AT["plus_before"])
-        # One edge to the last occurrence, so that a token repeated very often
-        # gives as many edges as occurrences.
+        # Edges to the first and the last occurrence, so that a token repeated very
+        # often gives as many edges as occurrences, and each hears of the first.
         keys = {("token", core.casefold())}
         if len(digits) >= 7:
             keys.add(("digits", digits))
             keys.add(("digits", digits[-7:]))
         if "@" in core and len(core.split("@")[0]) >= 4:
             keys.add(("token", core.split("@")[0].casefold()))
-        for earlier in {seen[k] for k in keys if k in seen} - {i - 1}:
+        for earlier in {j for k in keys for j in seen.get(k, ())}:
             edges.append((earlier, i, 2))
-        seen.update(dict.fromkeys(keys, i))
+        for k in keys:
+            seen[k] = (seen[k][0] if k in seen else i, i)
     return Nodes(spans, features, edges)
 
 
@@ -183,6 +195,39 @@ def _labels(spans: list[tuple[int, int]], base: list[Span]) -> list[int]:
     return out
 
 
+def _like_known(edges: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """For each node the label of the first known node that skip edges lead to, over any
+    number of steps; NONE without one."""
+    head = list(range(len(known)))
+
+    def root(i: int) -> int:
+        while head[i] != i:
+            head[i] = head[head[i]]
+            i = head[i]
+        return i
+
+    for i, j, kind in edges.tolist():
+        if kind == 2:
+            a, b = root(i), root(j)
+            head[max(a, b)] = min(a, b)
+    label: dict[int, int] = {}
+    for i in np.flatnonzero(known != NONE).tolist():
+        label.setdefault(root(i), int(known[i]))
+    return np.array([label.get(root(i), NONE) for i in range(len(known))], np.int64)
+
+
+def _tied(gap: np.ndarray) -> np.ndarray:
+    """Gradients of skip potentials that are one for all kinds: equal kinds, different
+    kinds, a kind and none, none and none."""
+    kinds, same = np.arange(NONE), np.eye(NONE, dtype=bool)
+    out = gap.copy()
+    out[kinds, kinds] = gap[:NONE, :NONE][same].sum()
+    inner = out[:NONE, :NONE]
+    inner[~same] = gap[:NONE, :NONE][~same].sum()
+    out[:NONE, NONE] = out[NONE, :NONE] = gap[:NONE, NONE].sum() + gap[NONE, :NONE].sum()
+    return out
+
+
 @dataclass
 class Field:
     """Unary weights (features x labels) and pair potentials (3 x labels x labels)."""
@@ -195,7 +240,10 @@ class Field:
         """Pseudo-likelihood: each label given the labels of its neighbours.
 
         Tokens are seen with their own and their neighbours' shapes; a small
-        penalty keeps the weights finite. Without any node the field is flat.
+        penalty keeps the weights finite. A token that no pattern covers but that a
+        skip edge joins to a covered one has no label, neither for itself nor for its
+        neighbours. Skip potentials are the same for all kinds. Without any node the
+        field is flat.
         """
         count = NONE + 1
         field = Field(np.zeros((len(FEATURES), count)), np.zeros((3, count, count)))
@@ -211,14 +259,30 @@ class Field:
         x, y = _matrix(features), np.array(labels)
         u, v, kind = np.array(edges, np.int64).reshape(-1, 3).T
         hot = np.eye(count)[y]
+        skip = kind == 2
+        open_ends = np.zeros(len(y), bool)
+        open_ends[u[skip][(y[u[skip]] == NONE) & (y[v[skip]] != NONE)]] = True
+        open_ends[v[skip][(y[v[skip]] == NONE) & (y[u[skip]] != NONE)]] = True
+        told = ~open_ends
+        hot[open_ends] = 0
         around = np.zeros((3, len(y), count))
         np.add.at(around, (kind, u), hot[v])
         np.add.at(around, (kind, v), hot[u])
         rows = np.concatenate([x, *around], axis=1)
+        # Shapes alone explain the patterns' labels. So each token with a labelled one
+        # like it counts once more by that one only: this is what skip potentials weigh.
+        alike = np.zeros_like(rows)
+        alike[:, -count:] = around[2]
+        more = told & (around[2].sum(axis=1) > 0)
+        rows = np.concatenate([rows[told], alike[more]])
+        hot = np.concatenate([hot[told], hot[more]])
         weights = np.zeros((rows.shape[1], count))
         memory = np.full_like(weights, 1e-8)
+        penalty = np.full((len(weights), 1), PENALTY)
+        penalty[-count:] = SKIP_PENALTY
         for _ in range(steps):
-            gap = rows.T @ (_soft(rows @ weights) - hot) / len(y) + 1e-4 * weights
+            gap = rows.T @ (_soft(rows @ weights) - hot) / len(rows) + penalty * weights
+            gap[-count:] = _tied(gap[-count:])
             memory += gap * gap
             weights -= 0.5 * gap / np.sqrt(memory)
         field.unary = weights[: len(FEATURES)]
@@ -226,9 +290,16 @@ class Field:
         field.pair = (pair + pair.transpose(0, 2, 1)) / 2
         return field
 
-    def marginals(self, x: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """Beliefs after a fixed number of damped rounds of loopy propagation."""
+    def marginals(
+        self, x: np.ndarray, edges: np.ndarray, known: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Beliefs of loopy propagation when its messages have settled. ``known`` holds
+        the labels of nodes that are known, and NONE for the others."""
         unary = x @ self.unary
+        if known is not None:
+            sure = np.flatnonzero(known != NONE)
+            unary[sure] = 0
+            unary[sure, known[sure]] = KNOWN
         if not len(edges):
             return _soft(unary)
         u, v, kind = edges.T
@@ -236,14 +307,27 @@ class Field:
         reverse = np.concatenate([np.arange(len(u)) + len(u), np.arange(len(u))])
         pair = self.pair[np.concatenate([kind, kind])]
         messages = np.zeros((len(source), NONE + 1))
-        for _ in range(BP_ROUNDS):
+        if known is not None:
+            # What is known has reached the tokens like it before the others speak: many
+            # copies of a token would else hold each other to their shape.
+            like = _like_known(edges, known)
+            reached = (np.concatenate([kind, kind]) == 2) & (like[source] != NONE)
+            messages[reached] = self.pair[2][like[source[reached]]]
+            messages -= messages.max(axis=1, keepdims=True)
+        turn = 0
+        while True:
+            turn += 1
             belief = unary.copy()
             np.add.at(belief, target, messages)
             out = (belief[source] - messages[reverse])[:, :, None] + pair
             top = out.max(axis=1)
             new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
             new -= new.max(axis=1, keepdims=True)
-            messages = 0.5 * messages + 0.5 * new
+            change = np.abs(new - messages).max()
+            messages += 0.5 * min(1.0, FULL_STEPS / turn) * (new - messages)
+            # Later steps are small, so that what is left to change counts less.
+            if change * min(1.0, FULL_STEPS / turn) ** 2 <= SETTLED:
+                break
         belief = unary
         np.add.at(belief, target, messages)
         return _soft(belief)
@@ -256,16 +340,20 @@ class Field:
         if not sum(counts):
             return [(b, b) for b in base]
         shift = np.cumsum(counts) - counts
-        edges = [(s + i, s + j, t) for s, n in zip(shift, nodes, strict=True) for i, j, t in n.edges]
+        edges = np.array(
+            [(s + i, s + j, t) for s, n in zip(shift, nodes, strict=True) for i, j, t in n.edges],
+            np.int64,
+        ).reshape(-1, 3)
+        covers = [_labels(n.spans, b) for n, b in zip(nodes, base, strict=True)]
+        known = np.array([k for c in covers for k in c])
         beliefs = self.marginals(
-            _matrix([f for n in nodes for f in n.features]),
-            np.array(edges, np.int64).reshape(-1, 3),
+            _matrix([f for n in nodes for f in n.features]), edges, known
         )
         best = beliefs.argmax(axis=1)
-        best[beliefs.max(axis=1) < ADDED] = NONE
+        alike = _like_known(edges, known) != NONE
+        best[beliefs.max(axis=1) < np.where(alike, ALIKE, ADDED)] = NONE
         out = []
-        for b, n, s in zip(base, nodes, shift.tolist(), strict=True):
-            covered = _labels(n.spans, b)
+        for b, n, s, covered in zip(base, nodes, shift.tolist(), covers, strict=True):
             added: list[list[int]] = []
             before = -2
             for i, (start, end) in enumerate(n.spans):

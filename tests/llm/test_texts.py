@@ -112,6 +112,79 @@ def test_personal_data_of_a_table(spark, field):
 
 ENGLISH = "the house and the garden that was sold with all of the things in there"
 GERMAN = "das haus und der garten der mit allen dingen darin verkauft worden ist"
+@pytest.fixture(scope="module")
+def fitted_field(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return pii.fit_field(docs)
+
+
+@pytest.mark.parametrize("repeats", [1, 5, 20, 40])
+@pytest.mark.parametrize(
+    "entity, like, kind",
+    [
+        ("+1 (687) 555-2224", "6875552224", 3),
+        ("dh.46@mail3.example.com", "dh.46@mail3", 0),
+        ("+49 30 1234567 89", "301234567", 3),
+    ],
+)
+def test_repeats_of_known_data_are_added(fitted_field, entity, like, kind, repeats):
+    """With the field as the query fits it, however often the token stands there."""
+    text = f"please call {entity} today. " + f"then some words {like} and more words " * repeats
+    ((base, every),) = fitted_field.spans([text])
+    assert [k for _, k, _ in base] == [kind]
+    added = [s for s in every if s not in base]
+    assert [(k, text[a:b]) for a, k, b in added] == [(kind, like)] * repeats
+
+
+def test_numbers_like_nothing_known_are_left_alone(fitted_field):
+    texts = [
+        "in 2024 the 12 teams of 6875552224 and 6875552224 played 3 games",
+        "order 12345678 came 3 times, order 12345678 went",
+        "please call +1 (687) 555-2224 today or 3015550000 or 9876543 in 2024",
+        "no digits at all", "",
+    ]
+    for text, (base, every) in zip(texts, fitted_field.spans(texts), strict=True):
+        assert base == every, text
+
+
+def test_marginals_of_a_small_loopy_field():
+    """Close to those of all labellings on a loop of six nodes, equal on a tree, and
+    settled where the potentials are strong."""
+    rng = np.random.default_rng(5)
+    count = pii.NONE + 1
+    pair = rng.normal(size=(3, count, count)) * 0.4
+    field = pii.Field(np.zeros((len(pii.FEATURES), count)), (pair + pair.transpose(0, 2, 1)) / 2)
+    x = np.zeros((6, len(pii.FEATURES)))
+    x[:, :6] = np.eye(6)
+    field.unary[:6] = rng.normal(size=(6, count))
+    tree = [(0, 1, 0), (1, 2, 1), (2, 3, 0), (1, 4, 2), (4, 5, 0)]
+    for edges, known, close in (
+        (tree, None, 1e-3),
+        (tree, [4, 0, 4, 4, 4, 2], 1e-3),
+        ([*tree, (3, 5, 2), (0, 4, 2)], None, 0.05),
+        ([*tree, (3, 5, 2), (0, 4, 2)], [1, 4, 4, 4, 4, 4], 0.05),
+    ):
+        want = np.zeros((6, count))
+        for labels in np.ndindex(*[count] * 6):
+            if known and any(k != pii.NONE and k != y for k, y in zip(known, labels, strict=True)):
+                continue
+            score = sum(field.unary[i, y] for i, y in enumerate(labels) if not known or known[i] == pii.NONE)
+            score += sum(field.pair[t][labels[i], labels[j]] for i, j, t in edges)
+            want[range(6), labels] += math.exp(score)
+        want /= want.sum(axis=1, keepdims=True)
+        given = None if known is None else np.array(known)
+        got = field.marginals(x, np.array(edges), given)
+        assert np.abs(got - want).max() < close
+    field.pair *= -20
+    assert np.isfinite(field.marginals(x, np.array([*tree, (3, 5, 2), (0, 4, 2), (0, 3, 1)]))).all()
+
+
+def test_very_long_documents_are_labelled(fitted_field):
+    text = "+1 (687) 555-2224 " + "a 12 6875552224 b " * 20_000
+    ((base, every),) = fitted_field.spans([text])
+    assert len(base) == 1 and len(every) == 20_001
+
+
 VOCABULARY = langid.vocabulary_pieces(langid.default_vocabulary())
 
 
