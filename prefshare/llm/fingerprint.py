@@ -6,8 +6,10 @@ distinct texts, so that copies do not make their terms common. A document's dist
 lexicon terms, sorted, are hashed once for each of several random subsets of the
 lexicon. Subsets come in levels that keep ever fewer terms, one in 2**level, so
 that short documents have terms in the dense ones and an edit of a long document
-leaves some of the sparse ones untouched. Two fingerprints are as alike as the
-share of the subsets on which they agree, among those in which either has a term.
+leaves some of the sparse ones untouched. A level has a subset in each of four
+lanes; a lane hashes the terms once, and its subset of a level is what is left of the
+one of the level before. Two fingerprints are as alike as the share of the subsets on
+which they agree, among those in which either has a term; those without any are equal.
 
 All of it is DataFrame expressions. Terms are carried as 64-bit hashes.
 """
@@ -24,9 +26,10 @@ from prefshare.sources.scratch import stage
 # A band between common and rare words. Its lower end of df, N / e**6, bounds the
 # lexicon: e**6 times the mean number of distinct terms of a document.
 IDF_BAND = (2.0, 6.0)
-# Subset 0 is the whole lexicon (level 0); each level after it has so many.
+# Subset 0 is the whole lexicon (level 0); each level after it has one in each lane,
+# as far as there are subsets.
 SUBSETS = 32
-PER_LEVEL = 4
+LANES = 4
 SEPARATOR = r"[^\p{L}\p{N}]+"
 # Stands for a null doc_id, which comes first in the order.
 FIRST = -(2**63)
@@ -56,13 +59,30 @@ def lexicon(texts: DataFrame, text: str, band: tuple[float, float] = IDF_BAND) -
     )
 
 
-def subset_hashes(found: str) -> Column:
-    """The hash of each subset of a sorted array of terms; null where it has none."""
-    return F.expr(
-        f"""transform(transform(sequence(0, {SUBSETS - 1}), k -> filter({found}, t ->
-          pmod(xxhash64(t, k), shiftleft(1L, cast((k + {PER_LEVEL - 1}) div {PER_LEVEL} as int))) = 0)),
-        s -> if(size(s) = 0, null, hash(s)))"""
-    )
+def with_subset_hashes(df: DataFrame, found: str, name: str) -> DataFrame:
+    """The frame with ``name``, the hash of each subset of the sorted terms ``found``
+    (null where it has none), in place of them."""
+    kept = [c for c in df.columns if c != found]
+    hashed = "if(size({0}) = 0, null, hash({0}))"
+    done = [hashed.format(found)]
+    # Each term with its hash in every lane; filtered further from level to level.
+    lanes = {
+        f"_lane{j}": f"transform({found}, t -> named_struct('t', t, 'x', xxhash64(t, {j})))"
+        for j in range(LANES)
+    }
+    work = df.selectExpr(*kept, f"array({done[0]}) as {name}", *[f"{e} as {c}" for c, e in lanes.items()])
+    level = 0
+    while LANES * level + 1 < SUBSETS:
+        level += 1
+        left = list(lanes)[: SUBSETS - 1 - LANES * (level - 1)]
+        work = work.selectExpr(
+            *kept,
+            name,
+            *[f"filter({c}, y -> pmod(y.x, {1 << level}L) = 0) as {c}" for c in left],
+        )
+        parts = [hashed.format(f"transform({c}, y -> y.t)") for c in left]
+        work = work.selectExpr(*kept, f"concat({name}, array({', '.join(parts)})) as {name}", *left)
+    return work.select(*kept, name)
 
 
 def written(hashes: str) -> Column:
@@ -73,13 +93,14 @@ def written(hashes: str) -> Column:
 
 
 def likeness(mine: str, theirs: str) -> Column:
-    """Subsets with equal hashes over those where either has one; 0 without any."""
+    """Subsets with equal hashes over those where either has one; without any the
+    fingerprints are equal, and 1."""
     return F.expr(
         f"""aggregate(zip_with({mine}, {theirs}, (a, b) -> struct(a, b)),
         named_struct('same', 0, 'any', 0),
         (s, x) -> named_struct('same', s.same + if(x.a <=> x.b and x.a is not null, 1, 0),
                                'any', s.any + if(coalesce(x.a, x.b) is null, 0, 1)),
-        s -> if(s.any = 0, 0D, cast(s.same as double) / s.any))"""
+        s -> if(s.any = 0, 1D, cast(s.same as double) / s.any))"""
     )
 
 
@@ -154,15 +175,8 @@ def _whole_terms(hashed: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataF
         F.sort_array(terms(F.col("t"))).alias("own"),
         F.sort_array(terms(F.col("e"))).alias("changed"),
     ).dropDuplicates(["k", "h"])
-    whole = stage(
-        found.select(
-            "k",
-            "h",
-            subset_hashes("own").alias("whole_f"),
-            subset_hashes("changed").alias("whole_g"),
-        ),
-        "whole-terms",
-    )
+    found = with_subset_hashes(found, "own", "whole_f")
+    whole = stage(with_subset_hashes(found, "changed", "whole_g"), "whole-terms")
     return join_small(hashed, whole, ["k", "h"], "left").select(
         "k",
         "h",
@@ -185,9 +199,9 @@ def fingerprint_documents(
     A null text is empty. Documents of one doc_id follow each other by a hash of
     their texts; equal rows are one document in the order and each get its row.
     A null doc_id comes first. A document without a lexicon term has an empty
-    fingerprint, which is like no other; with ``whole_terms`` only one without any
-    term has, and where none is in the lexicon all terms are hashed. Other columns
-    are not read.
+    fingerprint, which is like empty ones only; with ``whole_terms`` only one without
+    any term has, and where none is in the lexicon all terms are hashed. Other columns
+    are not read. An empty table gives no rows.
     """
     whole = F.coalesce(quoted(text), F.lit(""))
     rows = docs.select(
@@ -223,6 +237,10 @@ def fingerprint_documents(
             F.concat(terms(F.col("one.x")), F.array(F.lit(None).cast("bigint")))
         ).alias("term"),
     )
+    # The digest travels once for each document, beside the null.
+    listed = listed.withColumn(
+        "edited_sha256", F.when(F.col("term").isNull() & (F.col("kind") == 0), F.col("edited_sha256"))
+    )
     kept = join_small(listed, chosen, ["term"], "left").filter("known or term is null")
 
     def collected(kind: int) -> Column:
@@ -231,18 +249,12 @@ def fingerprint_documents(
     hashed = (
         kept.groupBy("k", "h")
         .agg(
-            F.first("edited_sha256").alias("edited_sha256"),
+            F.max("edited_sha256").alias("edited_sha256"),
             collected(0).alias("own"),
             collected(1).alias("changed"),
         )
-        .select(
-            "k",
-            "h",
-            "edited_sha256",
-            subset_hashes("own").alias("f"),
-            subset_hashes("changed").alias("g"),
-        )
     )
+    hashed = with_subset_hashes(with_subset_hashes(hashed, "own", "f"), "changed", "g")
     hashed = stage(hashed, "fingerprints")
     if whole_terms:
         hashed = stage(_whole_terms(hashed, rows, wanted), "fingerprints")

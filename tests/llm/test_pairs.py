@@ -247,7 +247,7 @@ def test_fingerprints(spark, capsys):
         for theirs, value in ((edit, got[i].near_edited), (other, got[i].near_next)):
             either = [(a, b) for a, b in zip(mine, theirs, strict=True) if {a, b} != {"-"}]
             same = sum(a == b for a, b in either)
-            assert value == (same / len(either) if either else 0)
+            assert value == (same / len(either) if either else 1)
     frame.explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
@@ -292,6 +292,37 @@ def test_fingerprints_without_lexicon_terms(spark):
     assert [got[i].near_next for i in (0, 1, 9)] == [1, 1, 1]
 
 
+def test_equal_fingerprints_are_alike(spark):
+    """Also where a text has no term at all."""
+    rows = [(1, "...!"), (2, "...!"), (3, "-"), (4, ""), (5, "one two three four"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprint.fingerprint_documents(docs, whole_terms=True).collect()}
+    for i in (1, 2, 3, 4):
+        assert got[i].fingerprint == got[i].edited_fingerprint and got[i].near_edited == 1
+    assert got[1].near_next == got[2].near_next == 1
+    assert got[5].near_next == got[4].near_next == 0
+
+
+def test_fingerprints_by_shuffle_joins(spark, settings, monkeypatch):
+    """The same rows where no side may be broadcast, and with a very long text."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(90)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(60)] + ["!", None]
+    texts += [" ".join(rng.choices(words, k=60_000))] + texts[:20]
+    rows = [(i % 70, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def found():
+        frame = fingerprint.fingerprint_documents(docs, band=(0.3, 5.0), whole_terms=True)
+        return frame, sorted(tuple(r) for r in frame.collect())
+
+    _, want = found()
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(common, "broadcast_if_small", lambda df, *_: df)
+    frame, got = found()
+    assert got == want and len(got) == len(rows)
+
+
 def pairs_at(cosine, count, dimension, seed):
     rng = np.random.default_rng(seed)
     x, z = (embedding_dedup.unit_rows(list(rng.normal(size=(count, dimension)))) for _ in range(2))
