@@ -5,11 +5,13 @@ its characters and the tags met since the line before. The ratios of the lines
 are smoothed with a Gaussian over their neighbours and split in two clusters by a
 threshold; regions of the page that reach the upper cluster are its content.
 Regions are the page's sections, so that a short line inside the article stays;
-a marked article is one region, and where it reaches the upper cluster it alone
-is the content. Smoothing stays within a region, so that a long paragraph does
-not lift the menu beside it. What a page marks as navigation, advert, form or
-comment is no candidate. Where only a name says so and the element holds an article
-or most of the text, its lines are candidates with a lower ratio.
+a marked article is one region, and where one reaches the upper cluster the articles of
+its size are the content, without the cards beside them. Smoothing stays within a
+region, so that a long paragraph does not lift the menu beside it. What a page marks as
+navigation, advert, form or comment is no candidate, nor are articles within an article,
+which are its comments. Where only a name says so, no other article is on the page, and
+the element holds one article or most of the text, its lines are candidates with a lower
+ratio.
 """
 
 from __future__ import annotations
@@ -57,6 +59,11 @@ HINTS = frozenset(
     "related reply replies share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget".split()
 )
+# Words that name what readers wrote, and words that make them a setting of the page.
+COMMENTS = frozenset("comment comments commentlist reply replies disqus".split())
+SETTINGS = frozenset("open closed on off enabled disabled allowed".split())
+# An article of less than this share of the longest one's text is a card beside it.
+CARD = 0.25
 SMOOTH = 2.0
 # The weight of a ratio within an element that a hint speaks against.
 HINTED = 0.5
@@ -70,15 +77,21 @@ class Line:
     text: str
     section: int
     ratio: float
+    heading: bool = False
 
 
 @dataclass
 class Hinted:
-    """An element that a hint names: the one around it (0: none) and what it holds."""
+    """An element that a hint names, or an article within an article: the one around it
+    (0: none), the article around it if it is within one, whether it is named as comments,
+    and what it holds."""
 
     above: int
+    within: int | None = None
+    comments: bool = False
     chars: int = 0
-    article: bool = False
+    articles: int = 0
+    mains: int = 0
 
 
 class _Lines(HTMLParser):
@@ -91,44 +104,77 @@ class _Lines(HTMLParser):
         self.hinted = [Hinted(0)]
         self.sections = 0
         self.article = 0
-        # Sections that are an article or the page's main element.
-        self.articles: set[int] = set()
-        # Those of them that stand in a hinted element.
-        self.doubted: set[int] = set()
-        # Blocks with section and tags before; their parts with hinted elements.
-        self.blocks: list[tuple[list[tuple[str, int]], int, int]] = []
+        # Sections that are an article, and those that are a main element, with the
+        # hinted element they stand in.
+        self.articles: dict[int, int] = {}
+        self.mains: dict[int, int] = {}
+        # Blocks with section, tags before and whether they are a first heading; their
+        # parts with hinted elements.
+        self.blocks: list[tuple[list[tuple[str, int]], int, int, bool]] = []
         self.parts: list[tuple[str, int]] = []
         self.tags = 0
 
     def _flush(self) -> None:
         if self.parts:
             section = self.open[-1][2] if self.open else 0
-            self.blocks.append((self.parts, section, self.tags))
+            heading = bool(self.open) and self.open[-1][0] == "h1"
+            self.blocks.append((self.parts, section, self.tags, heading))
             self.parts, self.tags = [], 0
 
-    def _settle(self) -> None:
-        """The lines, once it is known what the hinted elements hold."""
-        for parts, _, _ in self.blocks:
+    def _shown(self) -> list[bool]:
+        """Which hinted elements are candidates, once it is known what they hold."""
+        own: dict[tuple[int, int], int] = {}
+        for parts, section, _, _ in self.blocks:
             for data, hint in parts:
-                self.hinted[hint].chars += len("".join(data.split()))
+                chars = len("".join(data.split()))
+                self.hinted[hint].chars += chars
+                own[section, hint] = own.get((section, hint), 0) + chars
+        nested: dict[int, int] = {}
         for one in self.hinted[:0:-1]:
             above = self.hinted[one.above]
             above.chars += one.chars
-            above.article |= one.article
+            above.articles += one.articles
+            above.mains += one.mains
+            if one.within is not None:
+                nested[one.within] = nested.get(one.within, 0) + 1
         total = self.hinted[0].chars
+        # Text of the elements that mark content and that no hint speaks against.
+        plain = any(not hint and own.get((s, 0)) for s, hint in self.articles.items())
+        marked = sum(own.get((s, 0), 0) for s in (*self.articles, *self.mains))
         shown = [True]
         for one in self.hinted[1:]:
-            holds = one.article or 2 * one.chars > total
+            if one.within is not None:
+                # The only article in an article without text is the article itself.
+                around = own.get((one.within, self.articles[one.within]), 0)
+                holds = nested[one.within] == 1 and around < CARD * one.chars
+                holds &= not one.comments
+            else:
+                marks = one.articles or one.mains
+                holds = marks == 1 or not marks and 2 * one.chars > total
+                holds &= not (one.comments or plain) and marked < one.chars
             shown.append(holds and shown[one.above])
+        if total and not any(
+            shown[hint] and data.strip() for parts, *_ in self.blocks for data, hint in parts
+        ):
+            # Nothing is left: names are wrong about an element that holds most.
+            shown = [True]
+            for one in self.hinted[1:]:
+                holds = one.articles or one.mains or 2 * one.chars > total
+                shown.append(bool(holds) and shown[one.above])
+        return shown
+
+    def _settle(self) -> None:
+        """The lines, without those of hinted elements that are no candidates."""
+        shown = self._shown()
         tags = 0
-        for parts, section, more in self.blocks:
+        for parts, section, more, heading in self.blocks:
             tags += more
             parts = [(data, hint) for data, hint in parts if shown[hint]]
             text = " ".join("".join(data for data, _ in parts).split())
             if text:
                 hinted = any(hint and data.strip() for data, hint in parts)
                 ratio = len(text) / max(1, tags) * (HINTED if hinted else 1)
-                self.lines.append(Line(text, section, ratio))
+                self.lines.append(Line(text, section, ratio, heading))
                 tags = 0
 
     def _hidden(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -142,14 +188,19 @@ class _Lines(HTMLParser):
                 return True
         return False
 
-    def _hint(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _hint(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether a name of the element speaks against it, and whether it names comments."""
+        found = comments = False
+        if tag in ("html", "body", "main"):
+            return found, comments
         for name, value in attrs:
-            if name in ("class", "id", "role") and value and tag not in (
-                "html", "body", "main", "article"
-            ):
-                if not HINTS.isdisjoint(re.split("[^a-z]+", value.lower())):
-                    return True
-        return False
+            if name in ("class", "id", "role") and value:
+                for token in value.lower().split():
+                    words = [w for w in re.split("[^a-z]+", token) if w]
+                    hinted = not HINTS.isdisjoint(words)
+                    found |= hinted
+                    comments |= bool(words) and words[0] in COMMENTS and SETTINGS.isdisjoint(words)
+        return found or comments, comments
 
     def _close_head(self, tag: str) -> None:
         """The end tag of a head may be left out."""
@@ -175,22 +226,26 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         above = self.open[-1] if self.open else ("", False, 0, 0)
-        section = above[2]
-        if tag in SECTIONS and above[2] not in self.articles:
+        section, hint = above[2], above[3]
+        hidden = above[1] or self._hidden(tag, attrs)
+        named, comments = self._hint(tag, attrs)
+        within = section if tag == "article" and section in self.articles else None
+        if not hidden and (named or within is not None):
+            self.hinted.append(Hinted(hint, within, comments))
+            hint = len(self.hinted) - 1
+        if tag == "article" or tag in SECTIONS and not (
+            section in self.articles or section in self.mains
+        ):
             self.sections += 1
             section = self.sections
-            if tag in ("article", "main"):
-                self.articles.add(section)
-                if above[3]:
-                    self.doubted.add(section)
+            if tag == "article":
+                self.articles[section] = hint
+            elif tag == "main":
+                self.mains[section] = hint
         self.article += tag == "article"
-        hidden = above[1] or self._hidden(tag, attrs)
-        hint = above[3]
-        if tag in ("article", "main") and not hidden:
-            self.hinted[hint].article = True
-        if not hidden and self._hint(tag, attrs):
-            self.hinted.append(Hinted(hint))
-            hint = len(self.hinted) - 1
+        if not hidden and within is None:
+            self.hinted[hint].articles += tag == "article"
+            self.hinted[hint].mains += tag == "main"
         if tag in BLOCKS or (hidden, hint) != (above[1], above[3]) or above[0] == "head":
             self.open.append((tag, hidden, section, hint))
 
@@ -273,9 +328,27 @@ def main_text(html: str) -> str:
     regions = {section: smoothed(ratios) for section, ratios in regions.items()}
     border = threshold([v for values in regions.values() for v in values])
     content = {section for section, values in regions.items() if max(values) >= border}
-    if content & page.articles:
-        content = page.articles - (page.doubted - content)
-    return "\n".join(line.text for line in page.lines if line.section in content)
+    chars = dict.fromkeys(regions, 0)
+    for line in page.lines:
+        chars[line.section] += len(line.text)
+    articles = {s for s in regions if s in page.articles and (not page.articles[s] or s in content)}
+    mains = {s for s in regions if s in page.mains and (not page.mains[s] or s in content)}
+    if content & (articles | mains):
+        around = max((chars[s] for s in mains), default=0)
+        longest = max((chars[s] for s in articles), default=0)
+        if not content & articles or around > longest:
+            content = articles | mains if around <= longest else {
+                s for s in articles | mains if s in mains or chars[s] >= CARD * around
+            }
+        else:
+            content = {s for s in articles if chars[s] >= CARD * longest}
+    else:
+        mains = set()
+    return "\n".join(
+        line.text
+        for line in page.lines
+        if line.section in content or line.heading and line.section in mains
+    )
 
 
 def extract_text(
