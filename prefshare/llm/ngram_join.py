@@ -17,7 +17,11 @@ suffice.
    groups, classes are compared across groups. Inside a group all is linked
    already, so a large group of copies is not expanded into pairs.
 
-Token lists travel as packed arrays, one row for each batch and token bucket.
+Token lists travel as packed arrays, one row for each batch and token bucket. Tokens
+that very many classes share do not: a sample of the texts names them, each in several
+sampled classes, so they are known to be shared and are counted where the text is read.
+In step 2 and 3 the list of a frequent token is cut in blocks of classes; step 2 takes a
+star from each, step 3 compares each two blocks in a group of their own.
 """
 
 from __future__ import annotations
@@ -52,6 +56,12 @@ LEAST_BUCKETS = 16
 # are told to the tasks. Both only order the tokens: any order gives all links.
 FREQUENT = 16
 MOST_FREQUENT = 500_000
+# Distinct texts of the sample, about, and how many of them must share a hot token.
+SAMPLED_TEXTS = 8_000
+HOT_SAMPLED = 16
+# Classes in a block of a frequent token's list, and pairs that are put out at once.
+BLOCK_CLASSES = 2_048
+PAIR_ROWS = 1_000_000
 PACKED = "bucket int, packed binary"
 SETS = "key bigint, n bigint, tokens binary"
 
@@ -133,9 +143,19 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _token_rows(buckets: int):
+def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values are among the ordered ones."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values
+
+
+def _token_rows(buckets: int, hot: np.ndarray):
     """Packed (class, its size, token) of a batch's distinct sets. A class has a
-    number in its batch; its key and size stand once, in front of its tokens."""
+    number in its batch; its key and size stand once, in front of its tokens. Of the hot
+    tokens only their number is put out, as (class, its size, count) in rows of negative
+    buckets, by class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rechunked(batches, "_text", CHUNK_BYTES):
@@ -149,6 +169,19 @@ def _token_rows(buckets: int):
             tokens = np.concatenate(list(found.values()))
             owner = np.repeat(np.arange(len(found), dtype=np.uint32), sizes)
             keys = np.array(list(found), np.int64)
+            shared = _member(tokens, hot)
+            if shared.any():
+                count = np.bincount(owner[shared], minlength=len(found)).astype(np.uint32)
+                some = np.flatnonzero(count)
+                home = (mixed(keys[some].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                known = _pack(home, [keys[some], sizes[some], count[some]])
+                below = np.int32(-1) - known.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(below, pa.int32()), known.column(1)], ["bucket", "packed"]
+                )
+                tokens, owner = tokens[~shared], owner[~shared]
+                if not len(tokens):
+                    continue
             bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket * len(found) + owner, kind="stable")
             bucket, owner = bucket[order], owner[order]
@@ -183,6 +216,13 @@ def _shared(buckets: int):
     packed by class; and frequent tokens, in rows with a null bucket."""
 
     def run(table: pa.Table) -> pa.Table:
+        home = table["bucket"][0].as_py()
+        if home < 0:
+            # Numbers of hot tokens, from each batch that has the class.
+            keys, sizes, counts = _unpack(table, [np.int64, np.uint32, np.uint32])
+            key, first = np.unique(keys, return_index=True)
+            home = np.full(len(key), -1 - home)
+            return pa.Table.from_batches([_pack(home, [key, sizes[first], counts[first]])])
         keys, sizes, owners, tokens, base = [], [], [], [], 0
         for row in table["packed"]:
             raw = row.as_buffer()
@@ -276,8 +316,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _POSTING = [np.int64, np.int64, np.uint32, np.uint32, np.float32, np.uint64]
 
 
-def _postings(token_buckets: int, buckets: int, frequent: np.ndarray, df: np.ndarray):
-    """Packed (class, group, size, place, share of frequent tokens, token) of the
+def _units(
+    token: np.ndarray, key: np.ndarray, df: np.ndarray, pairs: bool, block: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and the names of the lists they go to. The list of a token in more classes
+    than a block holds is one for each block of classes, or with ``pairs`` for each two
+    blocks, to which a class goes for every other block."""
+    blocks = np.maximum(1, -(-df // block)).astype(np.uint64)
+    own = mixed(key.view(np.uint64)) % blocks
+    rows = np.arange(len(token))
+    if pairs:
+        count = blocks.astype(np.int64)
+        rows = np.repeat(rows, count)
+        other = (np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)).astype(np.uint64)
+    else:
+        other = own
+    lo, hi = np.minimum(own[rows], other), np.maximum(own[rows], other)
+    part = mixed(lo * blocks[rows] + hi + np.uint64(1))
+    return rows, np.where(blocks[rows] > 1, mixed(token[rows] ^ part), token[rows])
+
+
+def _postings(
+    token_buckets: int, buckets: int, frequent: np.ndarray, df: np.ndarray, pairs: bool
+):
+    """Packed (class, group, size, place, share of frequent tokens, list) of the
     tokens in front of each class's list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,12 +347,12 @@ def _postings(token_buckets: int, buckets: int, frequent: np.ndarray, df: np.nda
             keys = batch.column(batch.schema.get_field_index("key")).to_numpy()
             groups = batch.column(batch.schema.get_field_index("grp")).to_numpy()
             columns: list[list[np.ndarray]] = [[] for _ in _POSTING]
+            often: list[np.ndarray] = []
             raws = batch.column(batch.schema.get_field_index("tokens"))
             for key, group, raw in zip(keys, groups, raws, strict=True):
                 tokens = np.frombuffer(raw.as_buffer(), np.uint64)
                 n = len(tokens)
-                name = (tokens >> np.uint64(32)) % np.uint64(token_buckets)
-                name = (name << np.uint64(32) | tokens & np.uint64(0xFFFFFFFF)).view(np.int64)
+                name = token_names(tokens, token_buckets)
                 rank = np.zeros(n, np.int64)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, name), len(frequent) - 1)
@@ -305,17 +367,29 @@ def _postings(token_buckets: int, buckets: int, frequent: np.ndarray, df: np.nda
                         column.append(np.full(front, value))
                 columns[3].append(np.arange(front))
                 columns[5].append(tokens[order])
+                often.append(rank[order])
             if not columns[0]:
                 continue
             flat = [
                 np.concatenate(c).astype(k) for c, k in zip(columns, _POSTING, strict=True)
             ]
-            home = (mixed(flat[5]) % np.uint64(buckets)).astype(np.int64)
-            yield _pack(home, flat)
+            rows, lists = _units(flat[5], flat[0], np.concatenate(often), pairs, BLOCK_CLASSES)
+            # A class of very many blocks' lists goes out in parts.
+            for at in range(0, len(rows), PAIR_ROWS):
+                some = slice(at, at + PAIR_ROWS)
+                part = [c[rows[some]] for c in flat[:5]] + [lists[some]]
+                home = (mixed(part[5]) % np.uint64(buckets)).astype(np.int64)
+                yield _pack(home, part)
 
     return run
 
 
+def token_names(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Tokens as they are called where they are counted: bucket and lower half."""
+    name = (tokens >> np.uint64(32)) % np.uint64(buckets)
+    return (name << np.uint64(32) | tokens & np.uint64(0xFFFFFFFF)).view(np.int64)
+
+
 def _possible(n, i, m, j) -> np.ndarray:
     """Whether sets whose first common token stands at places i and j can be
     linked: what follows it must suffice."""
@@ -349,26 +423,30 @@ def _stars(table: pa.Table) -> pa.Table:
     return _pairs(key[a[keep]], key[b[keep]])
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """All possible pairs of classes of different groups on a token's list. Those
-    of the largest group on the list are not compared with each other."""
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All possible pairs of classes of different groups on a list, block by block.
+    Those of the largest group on the list are not compared with each other."""
+    table = pa.Table.from_batches(list(batches))
     key, group, n, place, _, starts, sizes = _sorted_postings(table)
     least = np.minimum.reduceat(group, starts)
     most = np.maximum.reduceat(group, starts)
-    out_a, out_b = [], []
+    held, count = [], 0
     for r in np.flatnonzero(least != most).tolist():
         rows = np.arange(starts[r], starts[r] + sizes[r])
         names, counts = np.unique(group[rows], return_counts=True)
         others = rows[group[rows] != names[counts.argmax()]]
-        step = max(1, 1_000_000 // len(rows))
+        step = max(1, PAIR_ROWS // len(rows))
         for at in range(0, len(others), step):
             a = np.repeat(others[at : at + step], len(rows))
             b = np.tile(rows, len(a) // len(rows))
             keep = (group[a] != group[b]) & _possible(n[a], place[a], n[b], place[b])
-            out_a.append(key[a[keep]])
-            out_b.append(key[b[keep]])
-    none = np.zeros(0, np.int64)
-    return _pairs(np.concatenate([none, *out_a]), np.concatenate([none, *out_b]))
+            held.append((key[a[keep]], key[b[keep]]))
+            count += int(keep.sum())
+            if count >= PAIR_ROWS:
+                yield from _pairs(*map(np.concatenate, zip(*held, strict=True))).to_batches()
+                held, count = [], 0
+    if count:
+        yield from _pairs(*map(np.concatenate, zip(*held, strict=True))).to_batches()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,6 +493,42 @@ def _candidates(sets: DataFrame, postings, reduce) -> DataFrame:
     return stage(pairs.distinct(), "pairs")
 
 
+def _hot_tokens(rows: DataFrame, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens, in order, that at least ``HOT_SAMPLED`` classes of one in ``share`` of the
+    distinct texts have, and about how many classes in all. There are fewer of them
+    than the tokens of the sample by that factor."""
+    text = F.coalesce(F.col("_text"), F.lit(""))
+    some = rows.select(F.xxhash64(text).alias("h"), text.alias("_text"))
+    # The text's hash decides, so all copies of a text are one.
+    some = some.filter(F.pmod(F.xxhash64("h"), F.lit(share)) == 0)
+    texts = some.groupBy("h").agg(F.first("_text").alias("_text"))
+    sets = texts.select("_text").mapInArrow(_sampled_sets, "key bigint, tokens binary")
+    tokens = sets.dropDuplicates(["key"]).select("tokens").mapInArrow(_unfold, "token bigint")
+    hot = tokens.groupBy("token").count().filter(F.col("count") >= HOT_SAMPLED).toPandas()
+    found = hot["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], hot["count"].to_numpy(np.int64)[order] * share
+
+
+def _sampled_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rechunked(batches, "_text", CHUNK_BYTES):
+        sets = [s for s in shingle_sets(text_column(batch, "_text")) if len(s)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([set_key(s) for s in sets], pa.int64()),
+                pa.array([s.tobytes() for s in sets], pa.binary()),
+            ],
+            ["key", "tokens"],
+        )
+
+
+def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flat = [np.frombuffer(raw.as_buffer(), np.int64) for raw in batch.column(0)]
+        if flat:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(flat))], ["token"])
+
+
 def _text_hash(text: str) -> Column:
     return F.xxhash64(F.coalesce(quoted(text), F.lit("")))
 
@@ -435,12 +549,14 @@ def _joined(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]
     its smallest key, and component_id, its smallest doc_id."""
     classes = stage(shingle_classes(docs, doc, text), "shingle-classes")
     named = classes.filter("key is not null and doc_id is not null")
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    total, texts = classes.agg(F.sum("n"), F.approx_count_distinct("h")).first()
+    total = total or 0
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_TOKENS))
     rows = docs.filter(quoted(doc).isNotNull()).select(
         quoted(doc).cast("bigint").alias("doc_id"), quoted(text).alias("_text")
     )
-    packed = rows.select("_text").mapInArrow(_token_rows(buckets), PACKED)
+    hot, hot_df = _hot_tokens(rows, max(1, texts // SAMPLED_TEXTS))
+    packed = rows.select("_text").mapInArrow(_token_rows(buckets, hot), PACKED)
     counted = stage(
         packed.groupBy("bucket").applyInArrow(_shared(buckets), PACKED), "shared-tokens"
     )
@@ -455,6 +571,9 @@ def _joined(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]
         .select("packed")
         .mapInArrow(_unfold_frequent, "token bigint, df bigint")
     )
+    frequent = np.concatenate([frequent, token_names(hot, buckets)])
+    df, order = np.concatenate([df, hot_df]), np.argsort(frequent, kind="stable")
+    frequent, df = frequent[order], df[order]
     # One document stands for a class.
     chosen = named.groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(similar, "key")
     sets = stage(
@@ -466,9 +585,9 @@ def _joined(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]
     )
     fronts = sets.agg(F.sum(F.expr("n div 4 + 1"))).first()[0] or 0
     homes = max(LEAST_BUCKETS, -(-fronts // BUCKET_TOKENS))
-    postings = _postings(buckets, homes, frequent, df)
+    lists = [_postings(buckets, homes, frequent, df, pairs) for pairs in (False, True)]
     alone = sets.withColumn("grp", F.col("key"))
-    first = _candidates(alone, postings, _stars)
+    first = _candidates(alone, lists[0], _stars)
     links = stage(_linked(first, sets), "links")
     groups = components(links, "groups").withColumnsRenamed(
         {"node": "key", "component": "grp"}
@@ -476,7 +595,7 @@ def _joined(docs: DataFrame, doc: str, text: str) -> tuple[DataFrame, DataFrame]
     grouped = join_small(sets, groups, ["key"], "left").withColumn(
         "grp", F.coalesce("grp", "key")
     )
-    second = _candidates(grouped, postings, _across).join(first, ["a", "b"], "left_anti")
+    second = _candidates(grouped, lists[1], _across).join(first, ["a", "b"], "left_anti")
     more = stage(_linked(second, sets), "links")
     # Groups are one node each by now.
     heads = components(links.unionAll(more), "components").withColumnsRenamed(

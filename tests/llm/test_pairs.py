@@ -101,10 +101,16 @@ def near_texts(seed):
     return texts + [None, "", "  ", "A b", "a B", "x " * 3000]
 
 
-@pytest.mark.parametrize("seed, frequent", [(1, 16), (2, 2), (3, 10**6)])
-def test_near_documents_lose_no_link(spark, monkeypatch, seed, frequent):
+@pytest.mark.parametrize("seed, frequent, block", [(1, 16, 2048), (2, 2, 5), (3, 10**6, 2048), (4, 2, 3)])
+def test_near_documents_lose_no_link(spark, monkeypatch, seed, frequent, block):
+    """Also where frequent tokens' lists are cut in blocks, and with a sample of few texts
+    whose hot tokens are counted apart."""
     importable(spark)
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", block)
+    if block < 2048:
+        monkeypatch.setattr(ngram_join, "SAMPLED_TEXTS", 100)
+        monkeypatch.setattr(ngram_join, "HOT_SAMPLED", 2)
     texts = near_texts(seed)
     ids = [i * 7 % 10_007 for i in range(len(texts))]
     rows = [(i, t, 1, "g") for i, t in zip(ids, texts, strict=True)]
@@ -120,6 +126,20 @@ def test_near_documents_lose_no_link(spark, monkeypatch, seed, frequent):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in ids if root[i] == i)
 
 
+def test_texts_of_shared_lines(spark, monkeypatch):
+    """Hot tokens throughout: texts are made of the same few lines."""
+    importable(spark)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 64)
+    rng = random.Random(8)
+    lines = [" ".join(f"l{i}w{k}" for k in range(8)) for i in range(14)]
+    texts = [" ".join(sorted(rng.sample(lines, rng.randint(6, 12)))) for _ in range(700)]
+    texts += [" ".join([*sorted(rng.sample(lines, 9)), f"x{i} y{i}"]) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.near_documents(docs).collect()}
+    links = similar(word_sets(texts))
+    assert len(links) > 20 and got == roots(range(len(texts)), links)
+
+
 def test_near_documents_odd_rows(spark):
     importable(spark)
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other"), (None, "a b c d e f"), (3, "a b c d e f"), (4, None)]
