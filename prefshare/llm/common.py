@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from prefshare.functions.flags import quoted
@@ -15,6 +15,8 @@ from prefshare.sources.scratch import stage
 
 BUCKET_ROWS = 10_000
 LEAST_BUCKETS = 1024
+# Buckets whose sizes are summed in one window.
+SUMMED_BUCKETS = 1000
 
 
 def fresh_name(df: DataFrame, wish: str) -> str:
@@ -34,7 +36,8 @@ def group_ranks(
     The rows of a key are dealt into hashed buckets; a row's rank is its place in
     the bucket plus the sizes of the key's buckets before. Places come from a
     window over (key, bucket), which holds about ``BUCKET_ROWS`` rows of the
-    hottest key; sizes from a table with one row for each (key, bucket). The
+    hottest key; sizes from a table with one row for each (key, bucket), summed in
+    two steps over ranges of ``SUMMED_BUCKETS`` buckets. The
     hash and the order make the ranks the same in every run, so that a lost
     task can be repeated. ``rows`` is the number of rows of the frame.
     """
@@ -45,11 +48,24 @@ def group_ranks(
     )
     both = [*keys, bucket]
     sizes = dealt.groupBy(*map(quoted, both)).agg(F.count(F.lit(1)).alias(start))
-    before = Window.partitionBy(*map(quoted, keys)).orderBy(quoted(bucket))
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn(
-        start, F.coalesce(F.sum(quoted(start)).over(before), F.lit(0))
+    span, base = fresh_name(dealt, "_span"), fresh_name(dealt, "_base")
+    sizes = sizes.withColumn(span, F.expr(f"`{bucket}` div {SUMMED_BUCKETS}"))
+
+    def before(of: list[str], along: str) -> WindowSpec:
+        rows = Window.partitionBy(*map(quoted, of)).orderBy(quoted(along))
+        return rows.rowsBetween(Window.unboundedPreceding, -1)
+
+    own = fresh_name(dealt, "_own")
+    spans = sizes.groupBy(*map(quoted, [*keys, span])).agg(F.sum(quoted(start)).alias(base))
+    spans = spans.select(
+        *[quoted(k).alias(fresh_name(dealt, f"_of{i}")) for i, k in enumerate(keys)],
+        quoted(span).alias(own),
+        F.coalesce(F.sum(quoted(base)).over(before(keys, span)), F.lit(0)).alias(base),
     )
+    inside = F.coalesce(F.sum(quoted(start)).over(before([*keys, span], bucket)), F.lit(0))
+    same = [quoted(k) == F.col(t) for k, t in zip([*keys, span], spans.columns, strict=False)]
+    starts = sizes.withColumn(start, inside).join(spans, same)
+    starts = starts.withColumn(start, quoted(start) + quoted(base))
     place = Window.partitionBy(*map(quoted, both)).orderBy(*order)
     placed = dealt.withColumn(rank, (F.row_number().over(place) - 1).cast("bigint"))
     # Plain equality, so that the join takes the rows as the window left them.

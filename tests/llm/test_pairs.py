@@ -40,7 +40,8 @@ def test_components(spark, seed):
 
 
 def test_group_ranks(spark, monkeypatch):
-    monkeypatch.setattr(common, "LEAST_BUCKETS", 3)
+    monkeypatch.setattr(common, "LEAST_BUCKETS", 7)
+    monkeypatch.setattr(common, "SUMMED_BUCKETS", 2)
     rows = [(7 if i % 3 else i % 2, i // 2, "x") for i in range(200)]
     df = spark.createDataFrame(rows, "k int, v int, _bucket string")
     from pyspark.sql import functions as F
