@@ -11,7 +11,8 @@ from prefshare.sources.scratch import stage
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go."""
+    """Documents in a language of the model. Texts without a letter go, and those in
+    letters that no piece learned from the labelled documents has."""
     catalog.importable(spark)
     model = langid.fit_model(docs, langid.default_vocabulary())
     return langid.keep_identified(docs, model)
