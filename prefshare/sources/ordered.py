@@ -97,8 +97,11 @@ def read_ordered(
         ends = parts.where(_held(low, high)).agg(F.min("part"), F.max("part")).first()
         held = F.col(PART).between(ends[0], ends[1]) if ends[0] is not None else F.lit(False)
         rows = rows.where(held)
-    starts = parts.select(F.col("part").alias(PART), F.col("first").alias("_first"))
-    number = (F.col("_first") + F.col(PLACE)).cast("bigint")
+    first = "_first"
+    while first in {c.casefold() for c in columns.names}:
+        first = "_" + first
+    starts = parts.select(F.col("part").alias(PART), F.col("first").alias(first))
+    number = (F.col(first) + F.col(PLACE)).cast("bigint")
     rows = rows.join(F.broadcast(starts), PART)
     if low is not None:
         rows = rows.where(number >= low)

@@ -30,6 +30,11 @@ def test_index_of_text_keys(spark):
     assert got == list(enumerate(sorted(keys)))
 
 
+def test_index_keeps_columns_of_clashing_names(spark):
+    df = spark.createDataFrame([("b", 1, 2, 3), ("a", 4, 5, 6)], "k string, _First int, `__first` int, rows int")
+    assert rows_of(dense_index(df, "k")) == [(0, "a", 4, 5, 6), (1, "b", 1, 2, 3)]
+
+
 def test_index_of_nothing(spark):
     assert dense_index(spark.range(0).toDF("k"), "k").collect() == []
 
