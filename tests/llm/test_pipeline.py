@@ -34,6 +34,14 @@ def test_each_stage_takes_effect(spark):
     assert sorted(r.doc_id for r in packed.collect()) == [*range(40), 202]
 
 
+def test_empty_tables_pass_all_stages(spark):
+    docs = catalog.table(spark, SF_DIR, "documents").limit(0)
+    for name, work in corpus_pipeline.STAGES:
+        docs = stage(work(spark, docs, SF_DIR), name)
+        assert docs.count() == 0
+    assert "sequence_id" in docs.columns
+
+
 def test_mix_decides_the_order_of_the_sequences(spark):
     """The last stage numbers its sequences by the order the mix was written in."""
     docs = catalog.table(spark, SF_DIR, "documents")
@@ -57,7 +65,7 @@ def test_pipeline_on_the_tables(spark):
 
 def test_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
     assert "pipeline" in names and set(catalog.ORACLE) <= names
 
 
