@@ -6,11 +6,15 @@ and its sign. A table joins the axes of several rotations in one key; besides it
 own key a vector probes the keys in which one axis is the second closest. Vectors
 that meet under a key are compared in double precision.
 
-Equal vectors are one class and are hashed once. A pair may meet several times;
-it counts under the first key that both have, own or probed, so links are counted
-without a list of pairs. For the components a task gives each set of
-linked vectors as a star. A key that holds many vectors is cut in blocks, and
-each two blocks are compared in a group of their own.
+Equal vectors are one class and are hashed once. Keys are shuffled by themselves
+first, with the class's id. There are more keys than vectors, so unrelated vectors
+seldom meet and most keys have one vector; only the keys that several vectors have
+are then given their vectors.
+
+A pair may meet several times; it counts under the first key that both have, own or
+probed, so links are counted without a list of pairs. For the components a task gives
+each set of linked vectors as a star. A key that holds many vectors is cut in blocks,
+and each two blocks are compared in a group of their own.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ PAIR_ROWS = 1 << 15
 # Pairs and tables of the trial that sizes the tables.
 TRIAL = 256, 16
 ROUNDS = 3
+# A key's table stands above so many bits of its hash, and tables count modulo 256.
+KEY_BITS, BANDS = 55, 256
 SIGNATURE = "rep bigint, weight bigint, vector binary, keys array<bigint>"
 FOUND = "a bigint, b bigint, n bigint"
 
@@ -51,10 +57,10 @@ class Tables:
 
     @staticmethod
     def sized(rows: int, dimension: int, miss: float = 0.01, least: float = 0.9) -> Tables:
-        """Keys so many that a bucket holds few unrelated vectors, and tables so
-        many that a pair at the threshold is missed with about that chance."""
+        """At least as many keys as vectors, so that few unrelated ones meet, and tables
+        so many that a pair at the threshold is missed with about that chance."""
         width = 2 * max(2, dimension)
-        axes = max(2, round(math.log(max(rows, 2)) / math.log(width)))
+        axes = max(2, math.ceil(math.log(max(rows, 2)) / math.log(width)))
         together = Tables.together(axes, max(2, dimension), least)
         return Tables(axes, math.ceil(math.log(miss) / math.log(1 - together)), axes)
 
@@ -95,7 +101,7 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def keys_of(x: np.ndarray, shape: Tables) -> np.ndarray:
-    """Keys (rows x tables x 1 + probes); the first of a table is the own key."""
+    """Keys (rows x tables x 1 + probes), above zero; the first of a table is the own key."""
     count, dimension = x.shape
     padded = 1 << max(1, (dimension - 1).bit_length())
     base = np.zeros((count, padded))
@@ -124,7 +130,8 @@ def keys_of(x: np.ndarray, shape: Tables) -> np.ndarray:
                 second = (order[:, probe - 1] == k).astype(int) if probe else 0
                 axis = closest[at, k, second]
                 key = mixed(key * np.uint64(1_000_003) + axis + np.uint64(1))
-            out[:, t, probe] = key
+            band = np.uint64(t % BANDS << KEY_BITS)
+            out[:, t, probe] = key >> np.uint64(64 - KEY_BITS) | band
     return out.view(np.int64)
 
 
@@ -164,20 +171,33 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _first_met(mine: np.ndarray, theirs: np.ndarray, table: int, key: int) -> np.ndarray:
-    """Whether the key of that table is the first one that the rows have in common,
-    by table and then by value."""
-    same = (mine[:, table, :, None] == theirs[:, table, None, :]).any(axis=2)
-    least = np.where(same, mine[:, table], np.iinfo(np.int64).max).min(axis=1)
-    first = least == key
-    for before in range(table):
-        same = mine[:, before, :, None] == theirs[:, before, None, :]
-        first &= ~same.any(axis=(1, 2))
+def _by_band(keys: list[list[int]], pad: int) -> np.ndarray:
+    """Rows x bands x places; the keys of each row by the band they are of, then ``pad``."""
+    sizes = np.array([len(k) for k in keys])
+    flat = np.array([x for k in keys for x in sorted(k)], np.int64)
+    cell = np.repeat(np.arange(len(keys)), sizes) * BANDS + (flat >> KEY_BITS)
+    starts = np.flatnonzero(np.diff(cell, prepend=-1))
+    place = np.arange(len(flat)) - np.repeat(starts, np.diff(starts, append=len(flat)))
+    bands, column = np.unique(flat >> KEY_BITS, return_inverse=True)
+    out = np.full((len(keys), len(bands), int(place.max()) + 1), pad, np.int64)
+    out[cell // BANDS, column, place] = flat
+    return out
+
+
+def _first_met(mine: np.ndarray, theirs: np.ndarray, key: int) -> np.ndarray:
+    """Whether the key is the smallest one that the rows have in common."""
+    first = np.ones(len(mine), bool)
+    for band in range(mine.shape[1]):
+        a, b = mine[:, band], theirs[:, band]
+        if a.size and max(a.max(), 0) >> KEY_BITS > key >> KEY_BITS:
+            break
+        same = (a[:, :, None] == b[:, None, :]).any(axis=2)
+        first &= ~(same & (a < key)).any(axis=1)
     return first
 
 
 def _compare(
-    group: dict, shape: Tables, least: float, kind: type
+    group: dict, least: float, kind: type
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows (a, n) of link counts and (a, b) of stars of one group."""
     x = unit_rows([np.frombuffer(v, kind) for v in group["vector"]])
@@ -189,13 +209,12 @@ def _compare(
         near &= block[:, None] != block[None, :]
     i, j = np.nonzero(np.triu(near))
     rep, weight = np.array(group["rep"]), np.array(group["weight"])
-    keys = np.array(group["keys"]).reshape(len(rep), shape.tables, 1 + shape.probes)
-    key = group["key"]
-    table = int(np.flatnonzero((keys[0] == key).any(axis=1))[0])
+    # The two sides' empty places differ, so that they are not taken as common.
+    mine, theirs = _by_band(group["keys"], -1), _by_band(group["keys"], -2)
     counts = np.zeros(len(i), bool)
     for at in range(0, len(i), PAIR_ROWS):
         part = slice(at, at + PAIR_ROWS)
-        counts[part] = _first_met(keys[i[part]], keys[j[part]], table, key)
+        counts[part] = _first_met(mine[i[part]], theirs[j[part]], group["key"])
     i, j = i[counts], j[counts]
     links = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
     some = np.flatnonzero(links)
@@ -207,7 +226,7 @@ def _compare(
     )
 
 
-def _meet(shape: Tables, least: float, kind: type):
+def _meet(least: float, kind: type):
     names = ["key", "lo", "hi"]
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -231,7 +250,7 @@ def _meet(shape: Tables, least: float, kind: type):
             group = {c: table[c].to_pylist() for c in ("vector", "rep", "weight", "keys", "block")}
             group["key"] = table["key"][0].as_py()
             group["pair"] = table["lo"][0].as_py(), table["hi"][0].as_py()
-            counts, stars = _compare(group, shape, least, kind)
+            counts, stars = _compare(group, least, kind)
             if len(counts) or len(stars):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -295,17 +314,21 @@ def near_vectors(
         classes.select("rep", "weight", "v").mapInArrow(_sign(shape, kind), SIGNATURE),
         "vector-keys",
     )
-    met = signed.select("*", F.explode(F.array_distinct("keys")).alias("key"))
-    large = met.groupBy("key").count().filter(f"count > {BLOCK_ROWS}")
-    large = large.select(
-        "key", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks")
+    keys = signed.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
+    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
+    blocks = F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks")
+    # Written, so that a key of very many vectors can be split where it is joined.
+    counted = stage(counted.select("key", blocks), "shared-keys")
+    shared = join_small(keys, counted, ["key"], "inner").groupBy("rep").agg(
+        F.collect_list(F.struct("key", "blocks")).alias("met")
     )
-    placed = join_small(met, stage(large, "large-keys"), ["key"], "left").withColumn(
-        "block", F.expr("coalesce(cast(pmod(xxhash64(rep), blocks) as int), 0)")
+    met = shared.join(signed.select("rep", "weight", "vector"), "rep").select(
+        "rep", "weight", "vector", F.col("met.key").alias("keys"), F.expr("inline(met)")
     )
-    placed = placed.withColumn(
-        "other", F.explode(F.expr("sequence(0, coalesce(blocks, 1) - 1)"))
-    ).select(
+    placed = met.withColumn(
+        "block", F.expr("cast(pmod(xxhash64(rep), blocks) as int)")
+    )
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "key",
         F.least("block", "other").alias("lo"),
         F.greatest("block", "other").alias("hi"),
@@ -316,7 +339,7 @@ def near_vectors(
         "keys",
     )
     together = placed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    found = stage(together.mapInArrow(_meet(shape, least, kind), FOUND), "vector-links")
+    found = stage(together.mapInArrow(_meet(least, kind), FOUND), "vector-links")
     links = found.filter("n is not null").groupBy("a").agg(F.sum("n").alias("links"))
     joined = components(found.filter("b is not null").select("a", "b"), "vector-components")
     by_class = (

@@ -374,7 +374,7 @@ def test_every_verified_pair_counts_once():
                 "vector": [(v * 1.0000001).tobytes() for v in (a, b)], "rep": [0, 1], "weight": [1, 1],
                 "keys": keys.tolist(), "block": [0, 0], "key": key, "pair": (0, 0),
             }
-            counts, stars = embedding_dedup._compare(group, shape, 0.8999, np.float64)
+            counts, stars = embedding_dedup._compare(group, 0.8999, np.float64)
             assert stars.tolist() == [[1, 0]]
             links += len(counts) // 2
         common_ = bool(set(keys[0].tolist()) & set(keys[1].tolist()))
