@@ -19,6 +19,7 @@ and each two blocks are compared in a group of their own.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,14 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefshare.functions.flags import quoted
-from prefshare.llm.common import components, join_small
+from prefshare.llm.common import components, join_small, ragged
 from prefshare.llm.words import mixed
 from prefshare.sources.scratch import stage
 
 SEED = 20240601
 BLOCK_ROWS = 2048
-# Pairs whose keys are held at once.
+# Pairs whose keys or vectors are held at once.
 PAIR_ROWS = 1 << 15
+# Groups of so few rows are compared together.
+FEW_ROWS = 32
 # Pairs and tables of the trial that sizes the tables.
 TRIAL = 256, 16
 ROUNDS = 3
@@ -159,12 +162,13 @@ def _sign(shape: Tables, kind: type):
     return run
 
 
-def _labels(linked: np.ndarray) -> np.ndarray:
+def _labels(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest row that each row is linked with, over any number of steps."""
-    label = np.arange(len(linked))
+    label = np.arange(count)
     while True:
-        least = np.where(linked, label[None, :], len(label)).min(axis=1)
-        least = np.minimum(label, least)
+        least = label.copy()
+        np.minimum.at(least, i, label[j])
+        np.minimum.at(least, j, label[i])
         least = least[least]
         if (least == label).all():
             return label
@@ -184,73 +188,128 @@ def _by_band(keys: list[list[int]], pad: int) -> np.ndarray:
     return out
 
 
-def _first_met(mine: np.ndarray, theirs: np.ndarray, key: int) -> np.ndarray:
+def _first_met(mine: np.ndarray, theirs: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Whether the key is the smallest one that the rows have in common."""
     first = np.ones(len(mine), bool)
     for band in range(mine.shape[1]):
         a, b = mine[:, band], theirs[:, band]
-        if a.size and max(a.max(), 0) >> KEY_BITS > key >> KEY_BITS:
-            break
         same = (a[:, :, None] == b[:, None, :]).any(axis=2)
-        first &= ~(same & (a < key)).any(axis=1)
+        first &= ~(same & (a < key[:, None])).any(axis=1)
     return first
 
 
-def _compare(
-    group: dict, least: float, kind: type
-) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (a, n) of link counts and (a, b) of stars of one group."""
-    x = unit_rows([np.frombuffer(v, kind) for v in group["vector"]])
+def _unit_vectors(group: dict, kind: type) -> np.ndarray:
+    """Rows of length one. Should a key's hash hold vectors of several lengths, each
+    length stands in columns of its own, so that their cosines are zero."""
+    vectors = [np.frombuffer(v, kind) for v in group["vector"]]
+    sizes = np.array([len(v) for v in vectors])
+    out = np.zeros((len(vectors), int(np.unique(sizes).sum())))
+    at = 0
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        out[rows, at : at + size] = unit_rows([vectors[r] for r in rows])
+        at += size
+    return out
+
+
+def _near_in_large(group: dict, least: float, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j of rows of one group whose cosine is at least so large."""
+    x = _unit_vectors(group, kind)
     near = x @ x.T >= least
-    np.fill_diagonal(near, False)
-    lo, hi = group["pair"]
-    block = np.array(group["block"])
-    if lo != hi:
+    if group["lo"][0] != group["hi"][0]:
+        block = np.array(group["block"])
         near &= block[:, None] != block[None, :]
-    i, j = np.nonzero(np.triu(near))
+    return np.nonzero(np.triu(near, 1))
+
+
+def _near_in_few(
+    group: dict, starts: np.ndarray, sizes: np.ndarray, least: float, kind: type
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same of many groups, which are given by their first rows and sizes."""
+    x = _unit_vectors(group, kind)
+    block = np.array(group["block"])
+    cut = np.array(group["lo"]) != np.array(group["hi"])
+    found = [np.empty((2, 0), np.int64)]
+    for size in np.unique(sizes).tolist():
+        first, second = np.triu_indices(size, 1)
+        of = starts[sizes == size][:, None]
+        i, j = (of + first).ravel(), (of + second).ravel()
+        for at in range(0, len(i), PAIR_ROWS):
+            a, b = i[at : at + PAIR_ROWS], j[at : at + PAIR_ROWS]
+            near = np.einsum("ij,ij->i", x[a], x[b]) >= least
+            near &= ~cut[a] | (block[a] != block[b])
+            found.append(np.stack([a[near], b[near]]))
+    return tuple(np.concatenate(found, axis=1))
+
+
+def _links(group: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (a, n) of link counts and (a, b) of stars, from the near pairs."""
     rep, weight = np.array(group["rep"]), np.array(group["weight"])
-    # The two sides' empty places differ, so that they are not taken as common.
-    mine, theirs = _by_band(group["keys"], -1), _by_band(group["keys"], -2)
-    counts = np.zeros(len(i), bool)
-    for at in range(0, len(i), PAIR_ROWS):
-        part = slice(at, at + PAIR_ROWS)
-        counts[part] = _first_met(mine[i[part]], theirs[j[part]], group["key"])
-    i, j = i[counts], j[counts]
-    links = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
-    some = np.flatnonzero(links)
-    label = _labels(near)
+    label = _labels(len(rep), i, j)
     ends = np.flatnonzero(label != np.arange(len(rep)))
+    linked = np.zeros(len(rep), bool)
+    linked[i] = linked[j] = True
+    used, place = np.flatnonzero(linked), np.cumsum(linked) - 1
+    links = np.zeros(len(rep))
+    if len(used):
+        keys = [group["keys"][u] for u in used]
+        # The two sides' empty places differ, so that they are not taken as common.
+        mine, theirs = _by_band(keys, -1), _by_band(keys, -2)
+        key = np.array(group["key"], np.int64)
+        counts = np.zeros(len(i), bool)
+        for at in range(0, len(i), PAIR_ROWS):
+            part = slice(at, at + PAIR_ROWS)
+            a, b = place[i[part]], place[j[part]]
+            counts[part] = _first_met(mine[a], theirs[b], key[i[part]])
+        i, j = i[counts], j[counts]
+        links = np.bincount(i, weight[j], len(rep)) + np.bincount(j, weight[i], len(rep))
+    some = np.flatnonzero(links)
     return (
         np.stack([rep[some], links[some].astype(np.int64)], 1),
         np.stack([rep[ends], rep[label[ends]]], 1),
     )
 
 
+def _compare(
+    group: dict, starts: np.ndarray, sizes: np.ndarray, least: float, kind: type
+) -> tuple[np.ndarray, np.ndarray]:
+    """Link counts and stars of groups of few rows, or of one group of any size."""
+    if len(sizes) == 1 and sizes[0] > FEW_ROWS:
+        return _links(group, *_near_in_large(group, least, kind))
+    return _links(group, *_near_in_few(group, starts, sizes, least, kind))
+
+
 def _meet(least: float, kind: type):
     names = ["key", "lo", "hi"]
+    read = [*names, "block", "rep", "weight", "vector", "keys"]
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """The rows of each (key, lo, hi), which arrive sorted."""
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list, list]]:
+        """Whole groups (key, lo, hi), whose rows arrive sorted: those of few rows
+        together, with their first rows and sizes, and each other one by itself."""
         held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                held = table if held is None else pa.concat_tables([held, table])
+            if held is None:
+                return
             ids = np.stack([held[c].to_numpy() for c in names], 1)
             cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
-            starts = [0, *cuts.tolist()]
-            for at, upto in zip(starts, starts[1:], strict=False):
-                if upto - at > 1:
-                    yield held.slice(at, upto - at)
-            held = held.slice(starts[-1]).combine_chunks()
-        if held is not None and held.num_rows > 1:
-            yield held
+            edges = np.concatenate([[0], cuts, [len(ids)] if batch is None else []]).astype(int)
+            starts, sizes = edges[:-1], np.diff(edges)
+            few = (sizes > 1) & (sizes <= FEW_ROWS)
+            if few.any():
+                yield held.slice(0, edges[-1]), starts[few], sizes[few]
+            for at, size in zip(starts[sizes > FEW_ROWS], sizes[sizes > FEW_ROWS], strict=True):
+                yield held.slice(at, size), np.array([0]), np.array([size])
+            held = held.slice(edges[-1]).combine_chunks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches):
-            group = {c: table[c].to_pylist() for c in ("vector", "rep", "weight", "keys", "block")}
-            group["key"] = table["key"][0].as_py()
-            group["pair"] = table["lo"][0].as_py(), table["hi"][0].as_py()
-            counts, stars = _compare(group, least, kind)
+        for table, starts, sizes in groups(batches):
+            rows = ragged(starts, sizes)
+            part = table.take(pa.array(rows))
+            group = {c: part[c].to_pylist() for c in read}
+            counts, stars = _compare(group, np.cumsum(sizes) - sizes, sizes, least, kind)
             if len(counts) or len(stars):
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -180,9 +180,11 @@ def brute_cosines(rows):
     return [(good[i], good[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_near_vectors(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, few", [(2048, 32), (16, 32), (16, 3)])
+def test_near_vectors(spark, monkeypatch, block, few):
+    """Also where keys of many vectors are cut, and where few groups are compared together."""
     importable(spark)
+    monkeypatch.setattr(embedding_dedup, "FEW_ROWS", few)
     monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", block)
     rows = vectors(block) + [None, [], [0.0] * 48, [float("nan")] * 48, [None] * 48]
     ids = [(i * 13) % 4099 for i in range(len(rows))]
@@ -372,9 +374,9 @@ def test_every_verified_pair_counts_once():
         for key in set(keys[0].tolist()) & set(keys[1].tolist()):
             group = {
                 "vector": [(v * 1.0000001).tobytes() for v in (a, b)], "rep": [0, 1], "weight": [1, 1],
-                "keys": keys.tolist(), "block": [0, 0], "key": key, "pair": (0, 0),
+                "keys": keys.tolist(), "block": [0, 0], "key": [key] * 2, "lo": [0, 0], "hi": [0, 0],
             }
-            counts, stars = embedding_dedup._compare(group, 0.8999, np.float64)
+            counts, stars = embedding_dedup._compare(group, np.array([0]), np.array([2]), 0.8999, np.float64)
             assert stars.tolist() == [[1, 0]]
             links += len(counts) // 2
         common_ = bool(set(keys[0].tolist()) & set(keys[1].tolist()))
