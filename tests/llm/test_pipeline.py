@@ -72,7 +72,8 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for name_ in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF_DIR}/{name_}.parquet'")
     connection.execute(f"CREATE VIEW twin AS {catalog.ORACLE[name]}")
     result = connection.execute("SELECT * FROM twin")
     want = result.fetchall()
