@@ -121,6 +121,7 @@ SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(n_links AS BIGINT) AS n_links,
   CAST(component_id AS BIGINT) AS component_id, coalesce(vec_id = component_id, true) AS kept
 FROM joined"""
 
+# All columns of the periodic runs but their list, so it is compared in the tests only.
 # A run of smallest period q holds 2**k words, q <= 2**k <= 2q, from its start, and they
 # stand next exactly q words on. So the distances to the next occurrence of 1, 2, 4, ..
 # words are all periods that a text can have; each is then laid over the whole text.
@@ -128,7 +129,8 @@ PERIODIC_RUNS = rf"""WITH RECURSIVE {_LOOKUP},
 hexed AS (
   SELECT row_number() OVER () AS r, doc_id,
     hex(encode(coalesce(CAST(doc_id AS VARCHAR), ''))) AS h,
-    list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'),
+    list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'),
       lambda w: w <> '') AS words FROM documents),
 codes AS (
   SELECT r, doc_id, words, list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2),
@@ -180,5 +182,4 @@ ORACLE = {
     "op7_ngram_join": NEAR_DOCUMENTS,
     "op10_embedding_dedup": NEAR_VECTORS,
     "op12_spelling_variants": SPELLING,
-    "op13_periodic_runs": PERIODIC_RUNS,
 }

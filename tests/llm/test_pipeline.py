@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from prefshare.llm import catalog, mixing
+from prefshare.llm.oracle import PERIODIC_RUNS
 from prefshare.sources.scratch import stage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -84,6 +85,18 @@ def test_query_equals_sql(spark, name):
     assert sorted(got, key=repr) == sorted(want, key=repr) and got
 
 
+def test_runs_equal_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    result = connection.execute(PERIODIC_RUNS)
+    columns = [c[0] for c in result.description]
+    want = result.fetchall()
+    df = catalog.QUERIES["op13_periodic_runs"](spark, SF_DIR)
+    assert set(df.columns) == {*columns, "runs"}
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and any(r[1] for r in got)
+
+
 def test_texts_of_one_id_are_judged_separately(spark):
     words = [f"w{i}" for i in range(60)]
     near = " ".join([*words[:-1], "x"])
