@@ -383,3 +383,17 @@ def test_every_verified_pair_counts_once():
         assert links == common_
         counted.add(links)
     assert counted == {0, 1}
+
+
+@pytest.mark.parametrize("few", [32, 1])
+def test_vectors_of_two_lengths_under_one_key(monkeypatch, few):
+    """A clash of hashes brings them together; they are not alike."""
+    monkeypatch.setattr(embedding_dedup, "FEW_ROWS", few)
+    values = [[1.0, 0.0], [1.0, 0.0, 0.0], [2.0, 0.1], [1.0, 0.1, 0.0]]
+    group = {
+        "vector": [np.array(v).tobytes() for v in values], "rep": [5, 6, 7, 8], "weight": [1, 1, 3, 1],
+        "keys": [[9]] * 4, "block": [0] * 4, "key": [9] * 4, "lo": [0] * 4, "hi": [0] * 4,
+    }
+    counts, stars = embedding_dedup._compare(group, np.array([0]), np.array([4]), 0.9, np.float64)
+    assert counts.tolist() == [[5, 3], [6, 1], [7, 1], [8, 1]]
+    assert stars.tolist() == [[7, 5], [8, 6]]
