@@ -131,15 +131,15 @@ def score_by_ranges(
     table_format: str = "csv",
     most: int | None = None,
 ) -> None:
-    """One score of a sparse persona, written range by range of ``batch`` customers. The
-    same call goes on where a run was stopped."""
+    """One score of a sparse persona, written range by range of ``batch`` customers, small
+    ranges by one job. The same call goes on where a run was stopped."""
     flags = readers.read_features(spark, preferences, table_format)
 
     def rows(low: int, high: int) -> DataFrame:
         some = read_ordered(spark, persona, low=low, high=high)
         return sparse_scores(some, flags, KEYS, [SCORES[kind]])
 
-    write_ranges(spark, out, ranges_of(spark, persona, batch), rows, kind, most)
+    write_ranges(spark, out, ranges_of(spark, persona, batch), rows, kind, most, name="id")
 
 
 def all_scores(

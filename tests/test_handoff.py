@@ -335,6 +335,63 @@ def test_a_stopped_run_goes_on(spark, tmp_path, monkeypatch):
         batches.ranges_over(6, 0)
 
 
+def test_small_ranges_are_written_together(spark, tmp_path, monkeypatch):
+    rows = [(f"c{i:02d}", f"p{1 + i % 3}", 1.0 + i) for i in range(25)]
+    inputs = sample_inputs(spark, purchases=rows)
+    derived, out = str(tmp_path / "d"), str(tmp_path / "s")
+    jobs.preprocess(inputs, derived, table_format="parquet", shape="sparse")
+    asked = []
+    plain = jobs.read_ordered
+
+    def noted(*args, **options):
+        asked.append((options["low"], options["high"]))
+        return plain(*args, **options)
+
+    monkeypatch.setattr(jobs, "read_ordered", noted)
+    for most in (1, None):
+        jobs.score_by_ranges(
+            spark, "duration", f"{derived}/package_preferences", f"{derived}/customer_persona", out, 2, "parquet", most
+        )
+    # Twelve ranges are left after the first run; one job writes them.
+    assert asked == [(0, 1), (2, 24)]
+    want = rows_of(indexed_scores(inputs, [DURATION]))
+    assert rows_of(batches.read_ranges(spark, out).select("id", "analytic_id", *DURATION.columns)) == want
+    ledger = batches.Ledger(spark, out)
+    assert ledger.finished() == set(batches.ranges_over(25, 2))
+    for low, high in batches.ranges_over(25, 2):
+        folder = ledger.folder(low, high)
+        assert sorted(r.id for r in spark.read.parquet(folder).select("id").collect()) == list(range(low, high + 1))
+        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1 or (low, high) == (0, 1)
+
+
+def test_groups_of_ranges():
+    together = batches.written_together
+    assert together([]) == [] and together([(0, 1), (2, 3), (4, 4)]) == [[(0, 1), (2, 3), (4, 4)]]
+    # A gap, another width and too many ids end a group.
+    assert together([(0, 1), (4, 5), (6, 9), (10, 11)]) == [[(0, 1)], [(4, 5)], [(6, 9), (10, 11)]]
+    assert together([(0, 1), (2, 2), (3, 4)]) == [[(0, 1), (2, 2)], [(3, 4)]]
+    assert together(batches.ranges_over(10, 2), 5) == [[(0, 1), (2, 3)], [(4, 5), (6, 7)], [(8, 9)]]
+    assert together(batches.ranges_over(10, 5), 5) == [[(0, 4)], [(5, 9)]]
+
+
+def test_ranges_without_rows_and_of_a_stopped_run(spark, tmp_path):
+    out = str(tmp_path / "s")
+    ranges = [(0, 1), (2, 3), (4, 5), (6, 6)]
+    # What a stopped run left does not count, also where no row replaces it.
+    for left in ("000000000002-000000000003", "000000000004-000000000005"):
+        spark.range(2, 3).write.parquet(f"{out}/ids={left}")
+
+    def rows(low, high):
+        return spark.range(low, high + 1).where("id NOT IN (2, 3)")
+
+    assert batches.write_ranges(spark, out, ranges, rows, name="id") == ranges
+    assert [r[0] for r in batches.read_ranges(spark, out).orderBy("id").collect()] == [0, 1, 4, 5, 6]
+    with pytest.raises(ValueError):
+        batches.write_ranges(
+            spark, str(tmp_path / "t"), ranges, lambda low, high: rows(low, high).withColumn("IDS", F.lit(1)), name="id"
+        )
+
+
 # Block products
 
 
