@@ -316,7 +316,8 @@ def months_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of purchases that came in parts, one of which was wrong and is replaced."""
     store = scratch_path(spark, "months")
     inputs = retail_inputs(spark, sf_dir)
-    dated = purchases_by_year(spark, sf_dir)
+    # The purchases meet their orders once, not once for each part.
+    dated = stage(purchases_by_year(spark, sf_dir), "dated-purchases", folders=["year"])
     years = [r[0] for r in dated.select("year").distinct().orderBy("year").collect()]
     rows = dated.drop("year")
     months.put_month(rows.where(F.col("total_transaction") > 20), store, str(years[0]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +48,10 @@ def removed_afterwards(spark: SparkSession) -> Iterator[None]:
             store.delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a written table: what reads it twice computes it once."""
+def stage(df: DataFrame, label: str, folders: Sequence[str] = ()) -> DataFrame:
+    """The frame as a written table: what reads it twice computes it once. With
+    ``folders``, the last columns, reading some of their values leaves the others out."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    write = df.write.partitionBy(*folders) if folders else df.write
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Tables handed from job to job: by customer, by month, in id order, in ranges."""
 
+import datetime as dt
 import os
 import random
 import re
@@ -7,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from prefshare.catalog import queries, tables
 from prefshare.catalog.queries import scores_by_customer, scores_in_id_order
 from prefshare.functions.flags import quoted
 from prefshare.operators import index, matrix
@@ -178,6 +180,31 @@ def test_jobs_take_a_folder_of_months(spark, tmp_path):
         listed_bytes(spark, [str(tmp_path / "none*")])
 
 
+def test_parts_of_dated_purchases_meet_their_orders_once(spark, tmp_path, monkeypatch):
+    def table(name, rows):
+        spark.createDataFrame(rows, tables.SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    days = [dt.datetime(1995 + i % 3, 1 + i, 5) for i in range(9)] + [None]
+    table("orders", [(i, i % 4, day) for i, day in enumerate(days)])
+    # Some lines have no order; those of nobody's year go to year 0.
+    table("lineitem", [(i % 12, 1 + i % 5, 1.0 + 7 * i % 50) for i in range(60)])
+    table("part", [(i, f"new {i % 3}", f"old {i}", "PROMO", 9 * i, 900.0 + i) for i in range(1, 6)])
+    plans = []
+    plain = queries.months.put_month
+
+    def noted(rows, *args, **options):
+        plans.append(plan_of(rows))
+        plain(rows, *args, **options)
+
+    monkeypatch.setattr(queries.months, "put_month", noted)
+    got = rows_of(queries.months_replaced(spark, str(tmp_path)))
+    assert len(got) == 4
+    assert got == rows_of(customer_scores(tables.retail_inputs(spark, str(tmp_path)), [DURATION]))
+    # Four years, and the first one again; the parts of a year read its rows alone.
+    assert len(plans) == 5 and not any("Join" in p or exchanges(p) for p in plans)
+    assert all(re.search(r"PartitionFilters: \[.*year#\d+ = \d+", p) for p in plans[1:])
+
+
 # Ids
 
 
