@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from prefshare.functions.flags import sql_name, unique_names
 from prefshare.functions.weights import share
 
+# Columns up to which a row is compared with each of them.
+SUMMED_COLUMNS = 256
+
 
 def with_customer(rows: DataFrame) -> DataFrame:
     """Rows without a customer belong to nobody and are left out."""
@@ -57,16 +60,36 @@ def package_shares(quantities: DataFrame, few_packages: bool) -> DataFrame:
 
 
 def widen(
-    tall: DataFrame, keys: Sequence[str], packages: Sequence[str], value: str
+    tall: DataFrame,
+    keys: Sequence[str],
+    packages: Sequence[str],
+    value: str,
+    total: str | None = None,
 ) -> DataFrame:
     """One column per listed package, 0 where the customer has none.
 
-    Rows of unlisted packages add no column but keep their customer. Pass rows
-    that are partitioned by customer already, as ``package_shares`` returns
-    them: else the mostly empty wide rows are what is shuffled.
+    Rows of unlisted packages add no column but keep their customer, and count in the
+    column ``total``, if one is named. Pass rows that are partitioned by customer already:
+    else the mostly empty wide rows are what is shuffled.
+
+    Up to ``SUMMED_COLUMNS`` packages are summed in one aggregate, which holds a row for
+    each customer. A pivot holds one for each customer and package besides, but compares no
+    row with every column, so it is left to wider tables.
     """
-    unique_names([*keys, *packages])
-    wide = tall.groupBy(*keys).pivot("package", list(packages)).agg(F.sum(value))
+    own = [*keys] if total is None else [*keys, total]
+    unique_names([*own, *packages])
+    if len(packages) > SUMMED_COLUMNS:
+        if total is not None:
+            mine = Window.partitionBy(*keys)
+            tall = tall.withColumn(total, F.sum(value).over(mine))
+        wide = tall.groupBy(*own).pivot("package", list(packages)).agg(F.sum(value))
+    else:
+        sums = [] if total is None else [F.sum(value).alias(total)]
+        for p in packages:
+            amount = F.when(F.col("package") == F.lit(p), F.col(value))
+            sums.append(F.sum(amount).alias(p))
+        grouped = tall.groupBy(*keys)
+        wide = grouped.agg(*sums) if sums else tall.select(*keys).distinct()
     return wide.selectExpr(
-        *keys, *[f"coalesce({sql_name(p)}, 0) AS {sql_name(p)}" for p in packages]
+        *own, *[f"coalesce({sql_name(p)}, 0) AS {sql_name(p)}" for p in packages]
     )

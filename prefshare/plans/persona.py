@@ -91,9 +91,11 @@ def persona_shares_wide(
 ) -> DataFrame:
     """``analytic_id`` and one share column per bought or given package."""
     tall, columns = _wide_source(inputs, packages)
-    shares = package_shares(tall, inputs.few_packages)
-    # Divided after widening, so that a zero total is null in every column.
-    counts = widen(shares, ["analytic_id", "total"], columns, "qty")
+    # The tall rows move to their customer before they turn wide. Divided after widening, so
+    # that a zero total is null in every column.
+    counts = widen(
+        tall.repartition("analytic_id"), ["analytic_id"], columns, "qty", total="total"
+    )
     return share_columns(counts, "total", keep=["analytic_id"])
 
 
@@ -102,10 +104,11 @@ def numbered_quantities(tall: DataFrame) -> DataFrame:
 
     ``tall`` is read twice, because the ids need all customers first. These are
     numbered as narrow rows and meet the tall ones, so no wide row is ever
-    sorted or staged.
+    sorted or staged. A customer has one row among them, so a task holds its customers
+    and lets the tall rows pass, which need no sort.
     """
     customers = dense_index(quantity_totals(tall), "analytic_id")
-    return tall.join(customers, "analytic_id")
+    return tall.join(customers.hint("shuffle_hash"), "analytic_id")
 
 
 def customer_persona_tall(

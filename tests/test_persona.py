@@ -1,7 +1,8 @@
 import pytest
-from tests.samples import sample_inputs
+from tests.samples import PURCHASES, sample_inputs
 
 from prefshare.functions import vocab
+from prefshare.operators import persona as persona_ops
 from prefshare.plans.persona import (
     customer_persona,
     persona_quantities,
@@ -100,3 +101,20 @@ def test_same_current_name_keeps_smallest_code(spark):
 def test_packages_without_plan_type_are_dropped(spark):
     inputs = sample_inputs(spark, attributes=[("old A", 3.0, 6.0, None)])
     assert package_preferences(inputs).collect() == []
+
+
+def test_very_wide_tables_are_the_same(spark, monkeypatch):
+    rows = [*PURCHASES, ("c5", "p1", None), ("c6", "p2", None), ("c6", "p2", 1.5), ("c7", "p3", None)]
+    inputs = sample_inputs(spark, purchases=rows)
+    builds = [
+        customer_persona,
+        lambda i: persona_quantities_wide(i, ["C", "A", "none"]),
+        lambda i: persona_shares_wide(i, ["C", "A", "none"]),
+        lambda i: persona_shares_wide(i, []),
+    ]
+    summed = [build(inputs) for build in builds]
+    monkeypatch.setattr(persona_ops, "SUMMED_COLUMNS", -1)
+    for frame, build in zip(summed, builds):
+        pivoted = build(inputs)
+        assert frame.schema.simpleString() == pivoted.schema.simpleString()
+        assert rows_of(frame) == rows_of(pivoted) and frame.count() == 7

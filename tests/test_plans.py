@@ -66,6 +66,14 @@ def test_wide_tables_shuffle_tall_rows_not_wide_ones(spark, no_auto_broadcast):
         assert not [s for s in shuffles(plan) if "pivot" in s.lower()]
 
 
+def test_wide_tables_hold_a_row_for_each_customer(spark, no_auto_broadcast):
+    """Neither a sort nor an aggregate holds a row for each customer and package."""
+    inputs = sample_inputs(spark)
+    for wide in (customer_persona(inputs), persona_shares_wide(inputs, ["A", "B B"])):
+        plan = plan_of(wide)
+        assert "pivot" not in plan.lower() and "Sort" not in plan and "Window" not in plan
+
+
 def test_persona_ids_meet_tall_rows(spark, no_auto_broadcast):
     plan = plan_of(customer_persona(sample_inputs(spark)))
     # The staged quantities and the numbered customers, both by customer.
