@@ -3,11 +3,11 @@
 import re
 
 import pytest
-from tests.conftest import SF_DIR, plan_of
+from tests.conftest import SF_DIR, plan_of, rows_of
 from tests.samples import sample_inputs
 
 from prefshare.catalog.queries import range_union, sparse_matmul
-from prefshare.catalog.tables import purchases, retail_inputs
+from prefshare.catalog.tables import SCHEMAS, purchases, purchases_by_year, retail_inputs
 from prefshare.operators.scores import DURATION, PRICE, QUOTA, SPEED
 from prefshare.plans import jobs, persona
 from prefshare.plans.persona import (
@@ -87,6 +87,21 @@ def test_bought_packages_do_not_read_the_orders(spark):
     assert "o_custkey" not in plan and "orders.parquet" not in plan
 
 
+def test_line_items_meet_their_orders_unsorted(spark, tmp_path, settings):
+    """Tables of any size; what a task holds are its orders, with their repeated keys."""
+    for limit in ("-1", "10MB"):
+        settings(spark__sql__autoBroadcastJoinThreshold=limit)
+        for build in (purchases, purchases_by_year):
+            plan = plan_of(build(spark, SF_DIR))
+            assert "ShuffledHashJoin LeftOuter BuildRight" in plan and "Sort" not in plan
+    orders = [(1, 10, None), (1, 11, None), (2, None, None), (None, 12, None)]
+    lines = [(1, 5, 2.0), (1, 5, 2.0), (2, 6, None), (None, 7, 1.0), (3, None, 4.0)]
+    for name, rows in (("orders", orders), ("lineitem", lines)):
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = [(10, 5, 2.0)] * 2 + [(11, 5, 2.0)] * 2 + [(None, 6, None), (None, 7, 1.0), (None, None, 4.0)]
+    assert rows_of(purchases(spark, str(tmp_path))) == sorted(want, key=repr)
+
+
 def test_scans_read_only_what_is_used(spark):
     plan = plan_of(purchases(spark, SF_DIR))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
